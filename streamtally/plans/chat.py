@@ -9,6 +9,7 @@ from streamtally.functions import text
 from streamtally.functions.ratio import ratio, rows, when_positive
 from streamtally.functions.time import day_of, hour_of
 from streamtally.operators.latest import is_small
+from streamtally.operators.product import each_with_all
 from streamtally.schemas import GLOBAL_CHANNEL
 from streamtally.settings import Settings
 
@@ -89,22 +90,14 @@ def emote_usage(chat: DataFrame, catalog: DataFrame, settings: Settings) -> Data
     return native.unionByName(typed)
 
 
-def emote_catalog_coverage(chat: DataFrame, catalog: DataFrame, usage: DataFrame, settings: Settings) -> DataFrame:
+def emote_catalog_coverage(chat: DataFrame, catalog: DataFrame, usage: DataFrame) -> DataFrame:
     """Every emote a channel could use, with how often it was used.
 
-    The global emotes apply to each channel seen in chat. They reach the channels
-    through an equi-join on a salt: each channel has one salt, the catalog is
-    repeated once per salt, so the work spreads at any size of either side.
+    The global emotes apply to each channel seen in chat.
     """
-    salts = 64
-    channels = chat.select("channel").distinct().withColumn("_salt", F.pmod(F.xxhash64("channel"), F.lit(salts)))
-    everywhere = (
-        catalog.where(F.col("scope") == "global")
-        .select("service", "emote_id", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt"))
-        .withColumn("_salt", F.col("_salt").cast("long"))
-        .join(channels, "_salt")
-        .select("channel", "service", "emote_id")
-    )
+    channels = chat.select("channel").distinct()
+    shared = catalog.where(F.col("scope") == "global").select("service", "emote_id")
+    everywhere = each_with_all(channels, shared, "channel").select("channel", "service", "emote_id")
     own = catalog.where(F.col("scope") == "channel").select("channel", "service", "emote_id")
     used = usage.groupBy("channel", "service", "emote_id").agg(F.sum("usage_count").alias("_used"))
     return (

@@ -73,7 +73,7 @@ class Models:
 
     @cached_property
     def emote_catalog_coverage(self):
-        return chat.emote_catalog_coverage(self.stg_chat, self.stg_emotes, self.emote_usage, self.settings)
+        return chat.emote_catalog_coverage(self.stg_chat, self.stg_emotes, self.emote_usage)
 
     @cached_property
     def emote_trends(self):

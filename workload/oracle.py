@@ -630,10 +630,13 @@ def needed(text: str, steps: dict[str, str]) -> list[str]:
     return [name for name in steps if name in found]
 
 
-def statement(text: str, steps: dict[str, str] = STEPS) -> str:
+def statement(text: str, steps: dict[str, str]) -> str:
     chain = ", ".join(f"{name} as ({steps[name]})" for name in needed(text, steps))
     return f"with {chain} {text}" if chain else text
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: statement(text) for name, text in RESULTS.items()}
+    from workload import ingest_oracle
+
+    steps = {**STEPS, **ingest_oracle.STEPS}
+    return {name: statement(text, steps) for name, text in {**RESULTS, **ingest_oracle.RESULTS}.items()}

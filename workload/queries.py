@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from streamtally.plans import chatters
-from workload import tables
+from workload import ingest, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,6 +75,7 @@ PLAIN: dict[str, Query] = {
     "leaderboard_top_breadth": _board(lambda b: chatters.top_breadth(b, 50)),
     "leaderboard_top_event": _board(lambda b: chatters.top_event(b, 50)),
     "chatter_quarter_hour_incremental": _incremental_quarter_hours,
+    **ingest.QUERIES,
 }
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from streamtally.settings import Settings
 
 SLICE = "_slice"
+_CUT_FROM = "_cut_from"
 _WHOLE = -1  # slice of a key that was not cut
 
 
@@ -41,28 +42,26 @@ def slice_hot_keys(
     axis: Column,
     settings: Settings,
     nulls_first: bool = False,
+    extent_of: DataFrame | None = None,
 ) -> DataFrame:
     """Adds `_slice`; slices of one key are ordered like `axis`.
 
     Slice borders are a pure function of the data (count, minimum and maximum per
     key), so a recomputed partition lands in the same slice. The broadcast table
-    has at most rows / hot_key_rows rows.
+    has at most rows / hot_key_rows rows. Where `df` is costly to compute, pass in
+    `extent_of` a cheaper table with the same keys and axis values.
     """
-    count = F.count(F.lit(1))
     spread = df.withColumn("_axis", axis.cast("double"))
+    measured = spread if extent_of is None else extent_of.withColumn("_axis", axis.cast("double"))
+    extent = [F.count(F.lit(1)).alias("_n"), F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi")]
+    large = F.col("_n") > settings.hot_key_rows
     if keys:
-        hot = (
-            spread.groupBy(*keys)
-            .agg(count.alias("_n"), F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi"))
-            .where(F.col("_n") > settings.hot_key_rows)
-            .select(*keys, "_lo", "_hi")
-        )
+        hot = measured.groupBy(*keys).agg(*extent).where(large).select(*keys, "_lo", "_hi")
         spread = spread.join(F.broadcast(hot), list(keys), "left")
     else:
-        extent = spread.agg(count.alias("_n"), F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi"))
-        large = F.col("_n") > settings.hot_key_rows
-        spread = spread.withColumn("_lo", extent.select(F.when(large, F.col("_lo"))).scalar())
-        spread = spread.withColumn("_hi", extent.select(F.when(large, F.col("_hi"))).scalar())
+        whole = measured.agg(*extent)
+        spread = spread.withColumn("_lo", whole.select(F.when(large, F.col("_lo"))).scalar())
+        spread = spread.withColumn("_hi", whole.select(F.when(large, F.col("_hi"))).scalar())
     n = settings.hot_key_slices
     position = F.floor((F.col("_axis") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(n))
     cut = (
@@ -71,11 +70,18 @@ def slice_hot_keys(
         .when(F.col("_hi") > F.col("_lo"), F.least(position, F.lit(n - 1)) + 1)
         .otherwise(F.lit(1))
     )
-    return spread.withColumn(SLICE, cut.cast("int")).drop("_axis", "_lo", "_hi")
+    return spread.withColumn(SLICE, cut.cast("int")).withColumnRenamed("_lo", _CUT_FROM).drop("_axis", "_hi")
+
+
+def uncut(df: DataFrame) -> DataFrame:
+    """Drops the helper columns of `slice_hot_keys`."""
+    return df.drop(SLICE, _CUT_FROM)
 
 
 def _cut_only(df: DataFrame) -> DataFrame:
-    return df.where(F.col(SLICE) != _WHOLE)
+    """Rows of hot keys. The test is on a column of the hot-key table, so the lookup becomes
+    an inner join and, with no hot key, adaptive execution drops the whole branch unread."""
+    return df.where(F.col(_CUT_FROM).isNotNull())
 
 
 def _across_slices(keys: Sequence[str]) -> Window:

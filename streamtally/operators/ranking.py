@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from streamtally.operators.ordered import SLICE, running_sum, slice_hot_keys
+from streamtally.operators.ordered import running_sum, slice_hot_keys
 from streamtally.settings import Settings
 
 
@@ -31,4 +31,4 @@ def rank_descending(
     match = F.col(value).eqNullSafe(F.col("_level"))
     for k in keys:
         match = match & (F.col(k) == F.col(f"_k_{k}"))
-    return df.join(ranked, match).drop("_level", SLICE, *[f"_k_{k}" for k in keys])
+    return df.join(ranked, match).drop("_level", *[f"_k_{k}" for k in keys])

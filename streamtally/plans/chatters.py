@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from streamtally.functions.ratio import ratio, rows
 from streamtally.functions.text import has_long_digit_suffix
 from streamtally.functions.time import day_of, hour_of, plus_seconds, quarter_hour_of, seconds_between
-from streamtally.operators.ordered import SLICE, micros, order_key, previous_row, slice_hot_keys
+from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut
 from streamtally.operators.ranking import rank_descending
 from streamtally.settings import Settings
 
@@ -146,7 +146,7 @@ def timeline(chat: DataFrame, settings: Settings) -> DataFrame:
         "chatter_id", "channel", "message_sent_at", "id"
     )
     cut = slice_hot_keys(said, ["chatter_id"], micros("message_sent_at"), settings)
-    return previous_row(cut, ["chatter_id"], ["message_sent_at", "id"], ["channel", "message_sent_at"]).drop(SLICE)
+    return uncut(previous_row(cut, ["chatter_id"], ["message_sent_at", "id"], ["channel", "message_sent_at"]))
 
 
 def inter_arrival(ordered: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from streamtally.functions.ratio import ratio, rows, when_positive
 from streamtally.functions.time import day_of, hour_of, seconds_between
 from streamtally.operators.asof import asof_join
 from streamtally.operators.latest import latest_per_key
-from streamtally.operators.ordered import SLICE, micros, previous_row, slice_hot_keys
+from streamtally.operators.ordered import micros, previous_row, slice_hot_keys
 from streamtally.operators.ranking import rank_descending
 from streamtally.schemas import MONEY
 from streamtally.settings import Settings
@@ -58,12 +58,12 @@ def rank(snapshots: DataFrame, settings: Settings) -> DataFrame:
         "snapshot_id", "twitch_login", "display_name", "ingested_at", "donation_amount_eur"
     )
     ranked = rank_descending(named, ["ingested_at"], "donation_amount_eur", "donation_rank", settings)
-    cut = slice_hot_keys(ranked, ["twitch_login"], micros("ingested_at"), settings)
+    cut = slice_hot_keys(ranked, ["twitch_login"], micros("ingested_at"), settings, extent_of=named)
     return previous_row(cut, ["twitch_login"], _POLL_ORDER, ["donation_rank"]).select(
         "snapshot_id", "twitch_login", "display_name", "ingested_at", "donation_amount_eur", "donation_rank",
         F.col("prev.donation_rank").alias("prev_donation_rank"),
         (F.col("donation_rank") - F.col("prev.donation_rank")).alias("rank_change"),
-    ).drop(SLICE)
+    )
 
 
 def rank_hourly(ranks: DataFrame) -> DataFrame:

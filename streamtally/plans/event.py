@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamtally.functions.ratio import ratio, rows
 from streamtally.functions.time import day_of, seconds_between
-from streamtally.operators.ordered import SLICE, micros, next_row, slice_hot_keys
+from streamtally.operators.ordered import micros, next_row, slice_hot_keys
 from streamtally.settings import Settings
 
 
@@ -67,4 +67,4 @@ def mode_timeline(changes: DataFrame, settings: Settings) -> DataFrame:
         (F.col("next.total_donation_amount_eur") - F.col("total_donation_amount_eur")).alias(
             "donation_delta_during_segment"
         ),
-    ).drop(SLICE)
+    )

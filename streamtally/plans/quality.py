@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from streamtally.functions.ratio import rows
 from streamtally.functions.time import seconds_between
-from streamtally.operators.ordered import SLICE, micros, next_row, slice_hot_keys
+from streamtally.operators.ordered import micros, next_row, slice_hot_keys
 from streamtally.schemas import PROFILES, SCOPES, SERVICES
 from streamtally.settings import Settings
 
@@ -63,7 +63,7 @@ def gaps(df: DataFrame, ts: str, tie: str, threshold_seconds: int, settings: Set
     keys = [key] if key else []
     timed = df.where(F.col(ts).isNotNull()).select(*keys, ts, tie)
     cut = slice_hot_keys(timed, keys, micros(ts), settings)
-    ordered = next_row(cut, keys, [ts, tie], [ts]).drop(SLICE)
+    ordered = next_row(cut, keys, [ts, tie], [ts])
     length = seconds_between(ts, f"next.{ts}")
     return ordered.where(length > threshold_seconds).select(
         *keys,

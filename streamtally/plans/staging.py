@@ -22,15 +22,23 @@ def metadata(bronze: DataFrame) -> DataFrame:
 
 
 def snapshots(bronze: DataFrame) -> DataFrame:
-    """One row per (snapshot, streamer); a snapshot without streamers leaves no row."""
-    return bronze.select(
-        F.col("id").alias("snapshot_id"), "batch_id", "row_number", "website_mode",
-        "total_donation_amount_eur", "total_viewer_count", "ingested_at", F.inline("streamers"),
-    ).select(
-        "snapshot_id", "batch_id", "row_number", "website_mode", "total_donation_amount_eur",
-        "total_viewer_count", "ingested_at", "twitch_id", F.lower("twitch_login").alias("twitch_login"),
-        "display_name", "profile_url", F.col("online").alias("is_online"), "game", "viewer_count",
-        "donation_amount_eur",
+    """One row per (snapshot, streamer); a snapshot without streamers leaves no row.
+
+    The outer form with a filter behind it keeps the planner from testing the array in a
+    filter of its own, which would parse it again where it comes from JSON.
+    """
+    return (
+        bronze.select(
+            F.col("id").alias("snapshot_id"), "batch_id", "row_number", "website_mode", "total_donation_amount_eur",
+            "total_viewer_count", "ingested_at", F.posexplode_outer("streamers").alias("_at", "_s"),
+        )
+        .where(F.col("_at").isNotNull())
+        .select(
+            "snapshot_id", "batch_id", "row_number", "website_mode", "total_donation_amount_eur",
+            "total_viewer_count", "ingested_at", "_s.twitch_id", F.lower("_s.twitch_login").alias("twitch_login"),
+            "_s.display_name", "_s.profile_url", F.col("_s.online").alias("is_online"), "_s.game", "_s.viewer_count",
+            "_s.donation_amount_eur",
+        )
     )
 
 

@@ -9,7 +9,7 @@ from streamtally.functions.ratio import ratio, rows
 from streamtally.functions.time import hour_of, plus_seconds, seconds_between
 from streamtally.operators.asof import asof_join
 from streamtally.operators.intervals import points_in_spans
-from streamtally.operators.ordered import SLICE, micros, next_row, order_key, previous_row, running_sum, slice_hot_keys
+from streamtally.operators.ordered import micros, next_row, order_key, previous_row, running_sum, slice_hot_keys
 from streamtally.settings import Settings
 
 _POLL_ORDER = ["snapshot_at", "id"]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamtally.functions.ratio import rows
 from streamtally.functions.time import seconds_between
-from streamtally.operators.ordered import SLICE, last_known, micros, previous_row, slice_hot_keys
+from streamtally.operators.ordered import last_known, micros, previous_row, slice_hot_keys
 from streamtally.operators.product import each_with_all
 from streamtally.settings import Settings
 
@@ -56,7 +56,7 @@ def stream_end_events(metadata: DataFrame, settings: Settings) -> DataFrame:
     ordered = previous_row(cut, ["channel"], ["snapshot_at", "id"], ["is_live"])
     return ordered.where(F.col("prev.is_live") & ~F.col("is_live")).select(
         "channel", F.col("snapshot_at").alias("stream_ended_at")
-    ).drop(SLICE)
+    )
 
 
 def roster_additions(snapshots: DataFrame, known: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamtally import Models, Settings
-from streamtally.schemas import BRONZE, STREAMER
+from streamtally.schemas import BRONZE
 from streamtally.session import configure
 
 CHANNELS = 12
@@ -181,20 +181,17 @@ def metadata_snapshots(b: DataFrame) -> DataFrame:
     return project(b.where(METADATA_FILTER), METADATA)
 
 
-def snapshots_wire(b: DataFrame) -> DataFrame:
-    """Event snapshots with the streamers as JSON text; no streamers at k = 13 (empty) and 14 (null)."""
-    fields = ", ".join(
-        f"{spark_expr(e)} as {name}" for name, e in STREAMER_FIELDS.items() if name != "amount_cents"
-    )
-    amount = spark_expr(STREAMER_FIELDS["amount_cents"])
-    amount = f"cast(cast({amount} as decimal(18,0)) / 100 as decimal(18,2)) as donation_amount_eur"
-    listed = f"transform(sequence(0, {CHANNELS - 1}), c -> struct({fields}, {amount}))"
-    streamers = f"case when k = 13 then '[]' when k = 14 then null else to_json({listed}) end"
-    return project(b.where(SNAPSHOT_FILTER), {**SNAPSHOT, "streamers": streamers})
-
-
 def event_snapshots(b: DataFrame) -> DataFrame:
-    return snapshots_wire(b).withColumn("streamers", F.from_json("streamers", f"array<{STREAMER}>"))
+    """Event snapshots with their array of streamers; none at k = 13 (empty) and 14 (null)."""
+    amount = STREAMER_FIELDS["amount_cents"]
+    fields = {
+        **{name: e for name, e in STREAMER_FIELDS.items() if name != "amount_cents"},
+        "donation_amount_eur": f"cast(cast({amount} as decimal(18,0)) / 100 as decimal(18,2))",
+    }
+    streamer = ", ".join(f"{spark_expr(e)} as {name}" for name, e in fields.items())
+    numbers = f"slice(sequence(0, {CHANNELS - 1}), 1, if(k = 13, 0, {CHANNELS}))"
+    listed = f"case when k <> 14 then transform({numbers}, c -> struct({streamer})) end"
+    return project(b.where(SNAPSHOT_FILTER), {**SNAPSHOT, "streamers": listed})
 
 
 def donation_goals(part: DataFrame) -> DataFrame:

@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from streamtally.operators.ordered import SLICE, last_known, micros, slice_hot_keys
+from streamtally.settings import Settings
+
 
 def asof_join(
     left: DataFrame,
@@ -18,64 +21,40 @@ def asof_join(
     right_tie: str,
     payload: Sequence[str],
     lookback_seconds: int,
+    settings: Settings,
     into: str = "match",
 ) -> DataFrame:
     """Adds struct `into` (right_ts and `payload`) of the latest right row of the same key
     in [left_ts - lookback, left_ts], both ends included; null where there is none.
 
-    Time is cut into cells one lookback wide, so a match lies in the left row's cell
-    or the one before. Each right cell hands its last row on to the next cell, and
-    one forward-filling window per (key, cell) finds every match: rows are shuffled
-    once, nothing is paired up, and a hot key is spread over as many tasks as it has
-    cells. Left rows with a null key or time are kept unmatched.
+    Both sides go into one timeline per key, shuffled once; filling the right rows forward
+    over it finds every match, so nothing is paired up. A hot key's timeline is cut into
+    slices. Left rows with a null key or time match nothing; those without a key are
+    spread by their time, as they form no sequence.
     """
-    width = lookback_seconds * 1_000_000
-
-    def cell(ts: str):
-        return F.floor(F.unix_micros(ts) / F.lit(width))
-
     keep = F.struct(*[F.col(c) for c in left.columns]).alias("_left")
     seen = F.struct(F.col(right_ts), *payload)
-    probe = left.select(
+    seen_type = right.select(seen.alias("s")).schema["s"].dataType
+    probes = left.select(
         F.col(left_key).alias("_key"),
-        cell(left_ts).alias("_cell"),
         F.col(left_ts).alias("_ts"),
         F.lit(1).alias("_side"),
         F.lit(None).cast("long").alias("_tie"),
-        F.lit(None).cast(right.select(seen.alias("s")).schema["s"].dataType).alias("_seen"),
+        F.lit(None).cast(seen_type).alias("_seen"),
         keep,
     )
     facts = right.where(F.col(right_key).isNotNull() & F.col(right_ts).isNotNull()).select(
         F.col(right_key).alias("_key"),
-        cell(right_ts).alias("_cell"),
         F.col(right_ts).alias("_ts"),
-        F.lit(0).alias("_side"),
+        F.lit(0).alias("_side"),  # at equal times the fact comes first, so it matches
         F.col(right_tie).cast("long").alias("_tie"),
         seen.alias("_seen"),
     )
-    handed_on = (
-        facts.groupBy("_key", "_cell")
-        .agg(F.max_by(F.struct("_ts", "_tie", "_seen"), F.struct("_ts", "_tie")).alias("_last"))
-        .select(
-            "_key",
-            (F.col("_cell") + 1).alias("_cell"),
-            F.col("_last._ts").alias("_ts"),
-            F.lit(0).alias("_side"),
-            F.col("_last._tie").alias("_tie"),
-            F.col("_last._seen").alias("_seen"),
-        )
-    )
-    timeline = probe.unionByName(facts.unionByName(handed_on), allowMissingColumns=True)
-    sweep = (
-        Window.partitionBy("_key", "_cell")
-        .orderBy("_ts", "_side", "_tie")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    latest = F.last("_seen", ignorenulls=True).over(sweep)
-    fresh = F.unix_micros(F.col(f"{into}.{right_ts}")) >= F.unix_micros("_ts") - F.lit(width)
-    return (
-        timeline.withColumn(into, latest)
-        .where(F.col("_side") == 1)
-        .withColumn(into, F.when(fresh, F.col(into)))
-        .select("_left.*", into)
+    timeline = slice_hot_keys(
+        probes.unionByName(facts, allowMissingColumns=True), ["_key"], micros("_ts"), settings
     )
+    spread = -2 - F.pmod(F.xxhash64("_ts"), F.lit(64)).cast("int")
+    timeline = timeline.withColumn(SLICE, F.when(F.col("_key").isNull(), spread).otherwise(F.col(SLICE)))
+    filled = last_known(timeline, ["_key"], ["_ts", "_side", "_tie"], ["_seen"]).where(F.col("_side") == 1)
+    age = F.unix_micros("_ts") - F.unix_micros(F.col(f"_seen.{right_ts}"))
+    return filled.select("_left.*", F.when(age <= lookback_seconds * 1_000_000, F.col("_seen")).alias(into))

@@ -65,25 +65,26 @@ def emote_usage(chat: DataFrame, catalog: DataFrame, settings: Settings) -> Data
         .select("channel", "hour_bucket", F.lit("twitch").alias("service"), "emote_id", "usage_count")
     )
     codes = catalog.where(F.col("service").isin("7tv", "bttv", "ffz")).select(
-        F.col("channel").alias("_owner"), F.col("emote_code").alias("token"), "service", "emote_id"
+        F.col("channel").alias("_owner"), F.col("emote_code").alias("_token"), "service", "emote_id"
+    )
+    words = (
+        chat.where(F.col("message_text") != "")
+        .select("channel", hour, F.explode(text.tokens("message_text")).alias("_token"))
+        .where(F.col("_token") != "")
     )
-    words = chat.where(F.col("message_text") != "").select(
-        "channel", hour, F.explode(text.tokens("message_text")).alias("token")
-    ).where(F.col("token") != "")
     if is_small(codes, settings):
-        # Both joins run map-side, so only matches are ever shuffled.
+        # The join runs map-side, so only matches are ever shuffled.
         codes = F.broadcast(codes)
         words = words.withColumn("_n", F.lit(1))
     else:
-        # Fold repeats first: a popular token then costs one row per channel-hour in the joins.
-        words = words.groupBy("channel", "hour_bucket", "token").agg(rows().alias("_n"))
-    # One equi-join per scope instead of one join on either condition.
-    own = words.join(
-        codes.where(F.col("_owner") != GLOBAL_CHANNEL).withColumnRenamed("_owner", "channel"), ["channel", "token"]
-    )
-    everywhere = words.join(codes.where(F.col("_owner") == GLOBAL_CHANNEL).drop("_owner"), "token")
+        # Fold repeats first: a popular token then costs one row per channel-hour in the join.
+        words = words.groupBy("channel", "hour_bucket", "_token").agg(rows().alias("_n"))
+    # A token is looked up twice, as the channel's own and as a global code: one equi-join
+    # over one pass instead of a join on either condition.
+    owners = F.array(F.col("channel"), F.lit(GLOBAL_CHANNEL))
     typed = (
-        own.unionByName(everywhere)
+        words.withColumn("_owner", F.explode(owners))
+        .join(codes, ["_owner", "_token"])
         .groupBy("channel", "hour_bucket", "service", "emote_id")
         .agg(F.sum("_n").alias("usage_count"))
     )

@@ -88,7 +88,7 @@ def by_title(moves: DataFrame, metadata: DataFrame, settings: Settings) -> DataF
     return asof_join(
         gained, metadata.select("channel", "snapshot_at", "id", "title", "category"),
         "twitch_login", "ingested_at", "channel", "snapshot_at", "id", ["title", "category"],
-        settings.asof_lookback_seconds,
+        settings.asof_lookback_seconds, settings,
     ).select(
         "twitch_login", "display_name", "ingested_at", "donation_delta_eur", "match.title", "match.category"
     )

@@ -210,7 +210,8 @@ def liveness_reconciliation(snapshots: DataFrame, metadata: DataFrame, settings:
     claims = snapshots.select("twitch_login", "snapshot_id", "ingested_at", "is_online")
     matched = asof_join(
         claims, metadata.select("channel", "snapshot_at", "id", "is_live"),
-        "twitch_login", "ingested_at", "channel", "snapshot_at", "id", ["is_live"], settings.asof_lookback_seconds,
+        "twitch_login", "ingested_at", "channel", "snapshot_at", "id", ["is_live"],
+        settings.asof_lookback_seconds, settings,
     )
     return matched.select(
         "twitch_login", "snapshot_id",

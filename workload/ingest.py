@@ -27,8 +27,17 @@ def _part(spark: SparkSession, d: str) -> DataFrame:
 # Sources ---------------------------------------------------------------------------
 
 
+def _lines(spark, d):
+    """The lines as a capture process leaves them: written once to the shared folder. Parsing
+    then starts from a stored column instead of from the expression that makes up a line."""
+    path = scratch_dir(configure(spark), "lines")
+    lines = raw.chat_lines(_base(spark, d))
+    lines.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(lines.schema).parquet(path)
+
+
 def parse_chat_lines(spark, d):
-    return chat_lines.parse_chat_lines(raw.chat_lines(_base(spark, d)))
+    return chat_lines.parse_chat_lines(_lines(spark, d))
 
 
 def parse_badges(spark, d):
@@ -285,7 +294,7 @@ def stream_ingest(spark, d):
     sent = raw.chat_envelopes(_base(spark, d)).unionByName(raw.emote_envelopes(_part(spark, d)))
     sent.write.mode("append").text(f"{root}/inbox")
     sent.write.mode("append").text(f"{root}/inbox")
-    inbox = spark.readStream.option("maxFilesPerTrigger", 8).text(f"{root}/inbox")
+    inbox = spark.readStream.option("maxFilesPerTrigger", 64).text(f"{root}/inbox")
     ingest.start(inbox, f"{root}/bronze", f"{root}/checkpoint", S, every=None).awaitTermination()
     chat = ingest.stored(spark, f"{root}/bronze", "live_chat").select(
         F.lit("live_chat").alias("table"), F.concat_ws("/", "batch_id", "row_number").alias("identity"), "channel"

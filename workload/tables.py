@@ -24,7 +24,7 @@ BASE = {
     "user_id": "user_id",
     "event_type": "event_type",
     "value": "value",
-    "k": "cast(regexp_extract(props, '([0-9]+)', 1) as int)",
+    "k": "cast(replace(replace(props, '{\"k\": ', ''), '}', '') as int)",
     "us": f"{T0} + ($US - {T0}) $DIV 12",
 }
 BASE_MORE = {

@@ -12,16 +12,23 @@ from streamtally.settings import Settings
 
 
 def rank_descending(
-    df: DataFrame, keys: Sequence[str], value: str, into: str, settings: Settings
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    into: str,
+    settings: Settings,
+    levels: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the rank of `value` within `keys` (none: over all rows), greatest and null first.
 
     Rows are first reduced to one per distinct value with its row count; the rank
     of a value is one plus the rows on greater values. Rows that share a value
     therefore never meet in one window partition, however many they are. `keys`
-    must not be null.
+    must not be null. Where `df` is costly to compute, pass the reduced table (keys, value,
+    `_rows`) in `levels`.
     """
-    levels = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"))
+    if levels is None:
+        levels = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"))
     sliced = slice_hot_keys(levels, keys, -F.col(value).cast("double"), settings, nulls_first=True)
     ranked = running_sum(sliced, keys, [F.col(value).desc_nulls_first()], "_rows", "_upto").select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],

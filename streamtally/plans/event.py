@@ -11,10 +11,12 @@ from streamtally.operators.ordered import micros, next_row, slice_hot_keys
 from streamtally.settings import Settings
 
 
-def phase_rows(moves: DataFrame, settings: Settings) -> DataFrame:
+def phase_rows(moves: DataFrame, snapshots: DataFrame, settings: Settings) -> DataFrame:
     """Each donation move with its place in the observed span. A span of zero length
-    has no progress, and without progress a row counts as the final push."""
-    bounds = moves.agg(F.min("ingested_at").alias("_from"), F.max("ingested_at").alias("_to"))
+    has no progress, and without progress a row counts as the final push. The span is read
+    off the named snapshots, which the moves have one row for each."""
+    named = snapshots.where(F.col("twitch_login").isNotNull())
+    bounds = named.agg(F.min("ingested_at").alias("_from"), F.max("ingested_at").alias("_to"))
     start, end = bounds.select("_from").scalar(), bounds.select("_to").scalar()
     progress = ratio(seconds_between(start, "ingested_at"), seconds_between(start, end))
     return moves.select(

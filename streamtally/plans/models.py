@@ -321,7 +321,7 @@ class Models:
     # Event
     @cached_property
     def event_phase_rows(self):
-        return event.phase_rows(self.donation_deltas, self.settings)
+        return event.phase_rows(self.donation_deltas, self.stg_snapshots, self.settings)
 
     @cached_property
     def event_phase_totals(self):

@@ -13,13 +13,15 @@ SEMANTIC_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
-# Plans depend on these: runtime re-planning, and splitting of hot join keys
-# even where the split costs one more exchange downstream.
+# Plans depend on these: runtime re-planning, splitting of hot join keys even where
+# the split costs one more exchange downstream, and pushing a list of batch ids to the
+# Parquet reader value by value instead of as one range.
 PHYSICAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 

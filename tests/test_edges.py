@@ -140,8 +140,8 @@ def test_spikes_need_variation(spark):
 
 
 def test_single_instant_event_is_final_push(spark):
-    moves = donations.deltas(snapshots(spark, [{"twitch_login": "a", "ingested_at": T0, "donation_amount_eur": 1}]), S)
-    (r,) = event.phase_rows(moves, S).collect()
+    snaps = snapshots(spark, [{"twitch_login": "a", "ingested_at": T0, "donation_amount_eur": 1}])
+    (r,) = event.phase_rows(donations.deltas(snaps, S), snaps, S).collect()
     assert r["event_progress_pct"] is None and r["event_phase"] == "final_push"
 
 

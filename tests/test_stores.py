@@ -20,6 +20,18 @@ def test_append_drops_replays_and_repeats(spark):
     fresh = stores.append_dedup(target, batch, S)
     assert sorted((r["batch_id"], r["row_number"], r["v"]) for r in fresh.collect()) == [("a", 1, "new"), ("c", 0, "new")]
     assert stores.rows_merged(fresh).collect()[0]["rows_merged"] == 2
+    joined = stores.append_dedup(target, batch, Settings(pushed_ids=1))
+    assert sorted(joined.collect()) == sorted(fresh.collect())
+
+
+def test_replay_check_reaches_the_files(spark, tmp_path):
+    ddl = "batch_id string, row_number int, v string"
+    spark.createDataFrame([("a", 0, "old")], ddl).write.parquet(str(tmp_path / "t"))
+    target = spark.read.schema(ddl).parquet(str(tmp_path / "t"))
+    fresh = stores.append_dedup(target, spark.createDataFrame([("a", 0, "x"), ("b", 0, "y")], ddl), S)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "In(batch_id, [a,b])" in plan or "In(batch_id, [b,a])" in plan
+    assert [r["v"] for r in fresh.collect()] == ["y"]
 
 
 def test_upsert_keeps_latest_and_absent_keys(spark):

@@ -320,3 +320,4 @@ QUERIES = {
         stream_ingest,
     ]
 }
+QUERIES["dq_freshness"] = source_freshness

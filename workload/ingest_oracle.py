@@ -229,3 +229,4 @@ RESULTS = {
         "select 'emote_catalog', concat_ws('/', service, scope, emote_id, emote_code), channel from latest_emotes"
     ),
 }
+RESULTS["dq_freshness"] = RESULTS["source_freshness"]

@@ -1,5 +1,5 @@
-"""The same results when every key is treated as hot, nothing may be broadcast, and long
-channel sets are split."""
+"""The same results when nearly every key is treated as hot, no table passes the size check
+for a broadcast, and long channel sets are split."""
 
 import pytest
 

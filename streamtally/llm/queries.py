@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streamtally.llm import bpe
+from streamtally.llm import bpe, language, quality
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,7 +20,25 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), VOCABULARY)
 
 
+def held_out(doc_id: str = "doc_id"):
+    """Rows the language model must not learn from: remainder 2 of the id's checksum."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
+
+
+def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return quality.rate(docs, quality.references(docs))
+
+
+def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language.learn(docs.where(~held_out()))
+    return language.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 QUERIES: dict[str, Query] = {
+    "op7_distribution_divergence": op7_distribution_divergence,
     "op9_bpe": op9_bpe,
+    "op10_language_codes": op10_language_codes,
 }
 ORACLE: dict[str, str] = {}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally.llm import bpe, language, quality
+from streamtally.llm import bpe, language, quality, urls
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+URL_RULES = [
+    urls.Rule("org", "/", "allow"),
+    urls.Rule("example.org", "/es/", "block"),
+    urls.Rule("example.org", "/en/1", "block"),
+    urls.Rule("com", "/fr/", "allow"),
+    urls.Rule("com", "/de/", "block"),
+]
+
+
+def op8_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return urls.judge(pages, urls.train(pages, rules=URL_RULES), URL_RULES)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), VOCABULARY)
 
@@ -38,6 +52,7 @@ def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op7_distribution_divergence": op7_distribution_divergence,
+    "op8_url_trees": op8_url_trees,
     "op9_bpe": op9_bpe,
     "op10_language_codes": op10_language_codes,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally.llm import bpe, language, quality, urls
+from streamtally.llm import bpe, language, quality, shards, urls, warc
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,18 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return warc.derive(warc.responses(pages, "2024-01-01T00:00:00Z"))
+
+
+def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = shards.shard(documents(spark, sf_dir), shards.metadata_dimensions(), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.rate(docs, quality.references(docs))
@@ -51,6 +63,8 @@ def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_warc_derivatives": op2_warc_derivatives,
+    "op3_kd_shards": op3_kd_shards,
     "op7_distribution_divergence": op7_distribution_divergence,
     "op8_url_trees": op8_url_trees,
     "op9_bpe": op9_bpe,

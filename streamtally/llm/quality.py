@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamtally.llm.common import map_texts
+from streamtally.llm.hashes import ASCII_WHITE, span_hashes
 
 # Frequent words of each language; all other words are one class of their own.
 COMMON_WORDS = {
@@ -29,7 +30,6 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un du une que est pour qui dans par plus pas au sur ne se ce il sont avec son aux d elle".split(),
 }
 SYMBOLS = "#*$%&|<>"
-ASCII_WHITE = [9, 10, 11, 12, 13, 32]
 
 MIN_CHARS = 200  # characters other than white space from which the character classes are judged
 MIN_WORDS = 50  # words from which the common words are judged
@@ -64,29 +64,6 @@ def tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     return kind, lower, noise, np.where(lower > 0, noise[lower], 0)
 
 
-_BASE = 0x9E3779B97F4A7C15
-_MASK = (1 << 64) - 1
-
-
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-@lru_cache(maxsize=2)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(n, _BASE), _powers(n, pow(_BASE, -1, 1 << 64))
-
-
-def _span_hashes(values: np.ndarray, place: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Order-sensitive hash of values[start:end], where value k stands at place[k] of its power."""
-    up, down = powers(1 << max(20, int(len(values)).bit_length()))
-    sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[place[: len(values)]], out=sums[1:])
-    return (sums[end] - sums[start]) * down[place[start]]
-
-
 def word_hash(word: str) -> int:
     """As `Counts.common` has it for this word."""
     return int(measure([word]).letters[0])
@@ -121,10 +98,10 @@ def measure(texts: list[str | None]) -> Counts:
     symbols = np.isin(cps, np.array([ord(c) for c in SYMBOLS], np.uint32))
 
     per_text = lambda mask: np.bincount(text_of[mask], minlength=n)
-    exact = _span_hashes(noise[cps], np.arange(len(cps) + 1), start, end)
+    exact = span_hashes(noise[cps], start, end)
     is_letter = letter_noise[cps] > 0
     rank = np.concatenate([[0], np.cumsum(is_letter)])
-    letters = _span_hashes(letter_noise[cps], rank, start, end)
+    letters = span_hashes(letter_noise[cps], start, end, rank)
 
     repeat = np.zeros(len(start), bool)
     if len(start) > 2:

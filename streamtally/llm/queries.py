@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally.llm import bpe, language, near_dups, quality, shards, urls, warc
+from streamtally.llm import bpe, language, near_dups, packing, quality, shards, urls, warc
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), percent=85)
 
 
+def op6_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(documents(spark, sf_dir), VOCABULARY))
+
+
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return quality.rate(docs, quality.references(docs))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op2_warc_derivatives": op2_warc_derivatives,
     "op3_kd_shards": op3_kd_shards,
     "op5_lsh_forest": op5_lsh_forest,
+    "op6_linear_grouping": op6_linear_grouping,
     "op7_distribution_divergence": op7_distribution_divergence,
     "op8_url_trees": op8_url_trees,
     "op9_bpe": op9_bpe,

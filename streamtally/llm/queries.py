@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally.llm import bpe, language, near_dups, packing, quality, shards, urls, warc
+from streamtally.llm import bpe, fingerprints, language, near_dups, packing, quality, shards, urls, warc
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,10 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 
 
+def op1_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return warc.derive(warc.responses(pages, "2024-01-01T00:00:00Z"))
@@ -71,6 +75,7 @@ def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_weighted_sampling": op1_weighted_sampling,
     "op2_warc_derivatives": op2_warc_derivatives,
     "op3_kd_shards": op3_kd_shards,
     "op5_lsh_forest": op5_lsh_forest,

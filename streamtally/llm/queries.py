@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally.llm import bpe, fingerprints, language, near_dups, packing, quality, shards, urls, warc
+from streamtally.llm import bpe, fingerprints, language, near_dups, packing, quality, repeats, shards, urls, warc
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,10 @@ def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_repeat_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed_digests(documents(spark, sf_dir)).drop("spans")
+
+
 def op5_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(documents(spark, sf_dir), percent=85)
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Query] = {
     "op1_weighted_sampling": op1_weighted_sampling,
     "op2_warc_derivatives": op2_warc_derivatives,
     "op3_kd_shards": op3_kd_shards,
+    "op4_repeat_intervals": op4_repeat_intervals,
     "op5_lsh_forest": op5_lsh_forest,
     "op6_linear_grouping": op6_linear_grouping,
     "op7_distribution_divergence": op7_distribution_divergence,

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamtally.session import scratch_dir
 
@@ -36,7 +37,7 @@ def text_batches(batches: Iterator[pa.RecordBatch], max_bytes: int = 8 << 20) ->
 
 
 def map_texts(
-    df: DataFrame, columns: list[str | Column], make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str
+    df: DataFrame, columns: list[str | Column], make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """Runs the function that `make` builds once a task over the batches of these columns."""
 

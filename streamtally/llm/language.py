@@ -181,3 +181,20 @@ def predict(df: DataFrame, model: Model) -> DataFrame:
     return map_texts(
         df, ["doc_id", "text"], make, "doc_id long, lang_pred string, score double, ambiguous boolean"
     )
+
+
+def identified(df: DataFrame, model: Model) -> DataFrame:
+    """The rows whose text has a learned language, all columns as they are."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    def make():
+        def work(batch):
+            texts, keep = batch.column("text").to_pylist(), []
+            step = max(1, len(texts) * PIECE // max(batch.nbytes, PIECE))
+            for k in range(0, len(texts), step):
+                keep += [p != UNKNOWN for p in judge(shared.value, texts[k : k + step])[0]]
+            return batch.filter(pa.array(keep, pa.bool_()))
+
+        return work
+
+    return map_texts(df, df.columns, make, df.schema)

@@ -261,3 +261,20 @@ def rate(df: DataFrame, refs: References) -> DataFrame:
         return work
 
     return map_texts(df, ["doc_id", "text", "lang"], make, SCHEMA)
+
+
+def accepted(df: DataFrame, refs: References) -> DataFrame:
+    """The rows that are kept, all columns as they are."""
+
+    def make():
+        def work(batch):
+            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
+            keep, at = [], 0
+            for part in sized(texts):
+                keep.append(judge(part, langs[at : at + len(part)], refs)["kept"])
+                at += len(part)
+            return batch.filter(pa.array(np.concatenate(keep)))
+
+        return work
+
+    return map_texts(df, df.columns, make, df.schema)

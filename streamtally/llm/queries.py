@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from streamtally.llm import bpe, fingerprints, language, near_dups, packing, quality, repeats, shards, urls, warc
 from streamtally.llm.common import documents
 
@@ -79,6 +80,7 @@ def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_weighted_sampling": op1_weighted_sampling,
     "op2_warc_derivatives": op2_warc_derivatives,
     "op3_kd_shards": op3_kd_shards,

@@ -30,6 +30,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from streamtally.llm.common import partitions
 from streamtally.llm.hashes import byte_noise, mixed, powers
@@ -341,7 +342,7 @@ def _answers(table: pa.Table) -> dict[int, bytes]:
     return dict(zip(table["bucket"].to_pylist(), table["answer"].to_pylist(), strict=True))
 
 
-def remove_repeats(df: DataFrame, finish, schema: str, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[str] | None = None) -> DataFrame:
     """Rows made by `finish(table of the batch's documents, Batch, removed runs of each)`, a pyarrow table per batch."""
     spark = df.sparkSession
     volume = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -415,8 +416,10 @@ def removed_digests(df: DataFrame) -> DataFrame:
 def cleaned(df: DataFrame) -> DataFrame:
     """The same rows and columns, `text` without its repeated strings; only whole characters are removed. Null texts become empty."""
 
+    columns = df.columns
+
     def finish(table, rows, gone):
         texts = [without(t, whole_characters(t, g)).decode() for t, g in zip(rows.texts, gone, strict=True)]
-        return pa.table({c: pa.array(texts, pa.string()) if c == "text" else table[c] for c in df.columns})
+        return pa.table({c: pa.array(texts, pa.string()) if c == "text" else table[c] for c in columns})
 
-    return remove_repeats(df, finish, df.schema.simpleString()[len("struct<") : -1], df.columns)
+    return remove_repeats(df, finish, df.schema, columns)

@@ -110,8 +110,8 @@ def measure(texts: list[str | None]) -> Counts:
         key = (key ^ (key >> np.uint64(29))) + owner[:-2].astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
         at = np.flatnonzero(same)
         order = at[np.argsort(key[at], kind="stable")]
-        equal = key[order][1:] == key[order][:-1]
-        twice = order[np.concatenate([equal, [False]]) | np.concatenate([[False], equal])]
+        equal = np.concatenate([[False], key[order][1:] == key[order][:-1], [False]])
+        twice = order[equal[: len(order)] | equal[1 : len(order) + 1]]
         for k in range(3):
             repeat[twice + k] = True
 

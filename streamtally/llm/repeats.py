@@ -326,6 +326,7 @@ def whole_characters(text: bytes, gone: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
+OWN_BATCH = "__batch"  # a name that documents do not have
 ANSWER = "batch long, bucket long, answer binary"
 
 
@@ -335,7 +336,7 @@ def _table(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.
 
 
 def _batch_of(table: pa.Table) -> tuple[int, Batch]:
-    return table["batch"][0].as_py(), Batch(table["doc_id"].to_pylist(), table["text"].to_pylist())
+    return table[OWN_BATCH][0].as_py(), Batch(table["doc_id"].to_pylist(), table["text"].to_pylist())
 
 
 def _answers(table: pa.Table) -> dict[int, bytes]:
@@ -351,7 +352,7 @@ def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[
     text = F.coalesce("text", F.lit(""))
     extra = [c for c in carry or [] if c not in ("doc_id", "text")]
     placed = df.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *extra).withColumn(
-        "batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
+        OWN_BATCH, F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))
     )
     order = {"names": ["bucket", "batch", "part"], "types": [pa.int64(), pa.int64(), pa.binary()]}
     back = {"names": ["batch", "bucket", "answer"], "types": [pa.int64(), pa.int64(), pa.binary()]}
@@ -380,11 +381,11 @@ def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[
         return finish(table, rows, spans(rows, covered(rows, shared, _answers(second), buckets)))
 
     sent = "bucket long, batch long, part binary"
-    heard = placed.groupBy("batch").applyInArrow(ask, sent).groupBy("bucket").applyInArrow(reply(answer_hashes), ANSWER)
-    shown = placed.groupBy("batch").cogroup(heard.groupBy("batch")).applyInArrow(show, sent)
+    heard = placed.groupBy(OWN_BATCH).applyInArrow(ask, sent).groupBy("bucket").applyInArrow(reply(answer_hashes), ANSWER)
+    shown = placed.groupBy(OWN_BATCH).cogroup(heard.groupBy("batch")).applyInArrow(show, sent)
     found = shown.groupBy("bucket").applyInArrow(reply(answer_pieces), ANSWER)
     both = heard.withColumn("kind", F.lit(0)).union(found.withColumn("kind", F.lit(1)))
-    return placed.groupBy("batch").cogroup(both.groupBy("batch")).applyInArrow(end, schema)
+    return placed.groupBy(OWN_BATCH).cogroup(both.groupBy("batch")).applyInArrow(end, schema)
 
 
 def _steady(table: pa.Table) -> pa.Table:

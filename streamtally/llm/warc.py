@@ -19,7 +19,8 @@ CRLF = "\r\n"
 # Named character references that are replaced; numeric ones are all replaced.
 ENTITIES = {"&nbsp;": " ", "&middot;": "·", "&copy;": "©", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
 LINK = r"""(?is)<(a|area|link|img|script|iframe|form|source)\b[^>]*?\s(href|src|action)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-HIDDEN = r"(?is)<!--.*?-->|<(script|style|noscript|template)\b[^>]*>.*?</\1\s*>"
+COMMENT = r"(?s)<!--.*?-->"
+SCRIPT = r"(?is)(<(script|style|noscript|template)\b[^>]*>).*?</\2\s*>"
 BREAK = r"(?i)</?(p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|nav|footer|header|title|body|head|html)\b[^>]*>"
 TAG = r"(?s)</?[a-zA-Z!][^>]*>"
 
@@ -54,7 +55,7 @@ def responses(pages: DataFrame, date: str) -> DataFrame:
 
 
 def links(html: Column) -> Column:
-    """Array of (tag, attribute, url) in the order of the page."""
+    """Array of (tag, attribute, url) in the order of the page, of markup without comments and scripts' text."""
     found = F.regexp_extract_all(html, F.lit(LINK), 0)
     return F.transform(
         found,
@@ -86,9 +87,8 @@ def unescape(text: Column) -> Column:
 
 
 def plain_text(html: Column) -> Column:
-    """Visible text: hidden parts and tags dropped, block tags ending lines, white space folded."""
-    shown = F.regexp_replace(html, HIDDEN, "")
-    lined = F.regexp_replace(F.regexp_replace(F.regexp_replace(shown, r"\s+", " "), BREAK, "\n"), TAG, "")
+    """Visible text of markup without comments and scripts' text: tags dropped, block tags ending lines, white space folded."""
+    lined = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, r"\s+", " "), BREAK, "\n"), TAG, "")
     return F.regexp_replace(F.regexp_replace(unescape(lined), r"[  ]*\n[  \n]*", "\n"), r"^\s+|\s+$", "")
 
 
@@ -103,11 +103,13 @@ def derive(df: DataFrame) -> DataFrame:
     """
     payload = F.coalesce("payload", F.lit(""))
     headers = F.coalesce("http_headers", F.lit(""))
-    read = df.select(
+    markup = F.regexp_replace(F.regexp_replace(payload, COMMENT, ""), SCRIPT, "$1")
+    bare = df.select(
         "page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", headers.alias("http_headers"),
-        sha1(F.encode(payload, "UTF-8")).alias("payload_digest"), links(payload).alias("links"),
-        title(payload).alias("title"), plain_text(payload).alias("text"),
+        sha1(F.encode(payload, "UTF-8")).alias("payload_digest"), markup.alias("markup"),
     )
+    shown = F.col("markup")
+    read = bare.withColumns({"links": links(shown), "title": title(shown), "text": plain_text(shown)})
     described = F.to_json(F.struct(F.col("http_headers").alias("response-headers"), "payload_digest", "title", "links"))
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/json").alias("content_type"), described.alias("block")),

@@ -53,7 +53,8 @@ def asof_join(
     timeline = slice_hot_keys(
         probes.unionByName(facts, allowMissingColumns=True), ["_key"], micros("_ts"), settings
     )
-    spread = -2 - F.pmod(F.xxhash64("_ts"), F.lit(64)).cast("int")
+    lanes = max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spread = -2 - F.pmod(F.xxhash64("_ts"), F.lit(lanes)).cast("int")
     timeline = timeline.withColumn(SLICE, F.when(F.col("_key").isNull(), spread).otherwise(F.col(SLICE)))
     filled = last_known(timeline, ["_key"], ["_ts", "_side", "_tie"], ["_seen"]).where(F.col("_side") == 1)
     age = F.unix_micros("_ts") - F.unix_micros(F.col(f"_seen.{right_ts}"))

@@ -1,4 +1,4 @@
-"""Latest row per key, and joins with a measured small side."""
+"""Latest row per key."""
 
 from __future__ import annotations
 
@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from streamtally.operators.ordered import order_key
-from streamtally.settings import Settings
 
 
 def latest_per_key(
@@ -18,15 +17,3 @@ def latest_per_key(
     reduced to one row per task before anything is shuffled."""
     picked = F.max_by(F.struct(*columns), order_key(order)).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*")
-
-
-def is_small(df: DataFrame, settings: Settings) -> bool:
-    """Counts at most broadcast_max_rows + 1 rows to decide whether `df` may be broadcast."""
-    limit = settings.broadcast_max_rows
-    return df.limit(limit + 1).count() <= limit
-
-
-def broadcast_if_small(df: DataFrame, settings: Settings) -> DataFrame:
-    """Broadcast hint behind a size check; beyond it the join shuffles both sides
-    and adaptive execution splits hot keys."""
-    return F.broadcast(df) if is_small(df, settings) else df

@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def each_with_all(rows: DataFrame, dimension: DataFrame, salt_by: str, salts: int = 64) -> DataFrame:
+def each_with_all(rows: DataFrame, dimension: DataFrame, salt_by: str) -> DataFrame:
     """`rows` x `dimension` as an equi-join on a salt: a row has one salt, taken from column
     `salt_by`, and the dimension is repeated once per salt. The planner may then broadcast
-    the dimension or shuffle it, and the work is spread at any size of either side."""
+    the dimension or shuffle it; there are as many salts as the session has shuffle partitions,
+    so the work spreads as far as any other shuffle's. The product itself is the result."""
+    salts = max(8, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
     repeated = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, "_salt").drop("_salt")

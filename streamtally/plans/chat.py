@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from streamtally.functions import text
 from streamtally.functions.ratio import ratio, rows, when_positive
 from streamtally.functions.time import day_of, hour_of
-from streamtally.operators.latest import is_small
 from streamtally.operators.product import each_with_all
 from streamtally.schemas import GLOBAL_CHANNEL
 from streamtally.settings import Settings
@@ -54,7 +53,7 @@ def spikes(hourly: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
-def emote_usage(chat: DataFrame, catalog: DataFrame, settings: Settings) -> DataFrame:
+def emote_usage(chat: DataFrame, catalog: DataFrame) -> DataFrame:
     """Uses per (channel, hour, service, emote): the platform's own emotes from the
     message tag, those of the other services by exact token match against the catalog."""
     hour = hour_of("message_sent_at").alias("hour_bucket")
@@ -72,13 +71,8 @@ def emote_usage(chat: DataFrame, catalog: DataFrame, settings: Settings) -> Data
         .select("channel", hour, F.explode(text.tokens("message_text")).alias("_token"))
         .where(F.col("_token") != "")
     )
-    if is_small(codes, settings):
-        # The join runs map-side, so only matches are ever shuffled.
-        codes = F.broadcast(codes)
-        words = words.withColumn("_n", F.lit(1))
-    else:
-        # Fold repeats first: a popular token then costs one row per channel-hour in the join.
-        words = words.groupBy("channel", "hour_bucket", "_token").agg(rows().alias("_n"))
+    # Fold repeats first: a popular token then costs one row per channel-hour in the join.
+    words = words.groupBy("channel", "hour_bucket", "_token").agg(rows().alias("_n"))
     # A token is looked up twice, as the channel's own and as a global code: one equi-join
     # over one pass instead of a join on either condition.
     owners = F.array(F.col("channel"), F.lit(GLOBAL_CHANNEL))

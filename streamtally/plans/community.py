@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from streamtally.functions.ratio import ratio, rows
 from streamtally.functions.time import hour_of
-from streamtally.operators.latest import broadcast_if_small
 from streamtally.operators.pairs import shared_members
 from streamtally.settings import Settings
 
@@ -72,7 +71,7 @@ def chatter_migrations(hops: DataFrame) -> DataFrame:
     )
 
 
-def peer_chat(chat: DataFrame, snapshots: DataFrame, settings: Settings) -> DataFrame:
+def peer_chat(chat: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Messages a streamer of the event wrote in somebody else's channel."""
     roster = (
         snapshots.where(F.col("twitch_login").isNotNull())
@@ -86,7 +85,7 @@ def peer_chat(chat: DataFrame, snapshots: DataFrame, settings: Settings) -> Data
         "message_sent_at",
     )
     return written.where(F.col("supporting_streamer_login") != F.col("supported_channel")).join(
-        broadcast_if_small(roster, settings), "supporting_streamer_login", "left_semi"
+        roster, "supporting_streamer_login", "left_semi"
     )
 
 

@@ -69,7 +69,7 @@ class Models:
 
     @cached_property
     def emote_usage(self):
-        return chat.emote_usage(self.stg_chat, self.stg_emotes, self.settings)
+        return chat.emote_usage(self.stg_chat, self.stg_emotes)
 
     @cached_property
     def emote_catalog_coverage(self):
@@ -183,7 +183,7 @@ class Models:
 
     @cached_property
     def peer_chat(self):
-        return community.peer_chat(self.stg_chat, self.stg_snapshots, self.settings)
+        return community.peer_chat(self.stg_chat, self.stg_snapshots)
 
     @cached_property
     def support_network(self):

@@ -58,17 +58,22 @@ def freshness(df: DataFrame, loaded_at: str, settings: Settings, as_of: Column |
     )
 
 
-def gaps(df: DataFrame, ts: str, tie: str, threshold_seconds: int, settings: Settings, key: str | None = None) -> DataFrame:
-    """Spans longer than the threshold without any row, per `key` or over everything."""
+def gaps(df: DataFrame, ts: str, threshold_seconds: int, settings: Settings, key: str | None = None) -> DataFrame:
+    """Spans longer than the threshold without any row, per `key` or over everything.
+
+    Rows of one threshold-wide cell are never that far apart, so a gap lies between the last row of a
+    cell and the first of the key's next one: rows are first reduced to one per (key, cell).
+    """
     keys = [key] if key else []
-    timed = df.where(F.col(ts).isNotNull()).select(*keys, ts, tie)
-    cut = slice_hot_keys(timed, keys, micros(ts), settings)
-    ordered = next_row(cut, keys, [ts, tie], [ts])
-    length = seconds_between(ts, f"next.{ts}")
+    width = threshold_seconds * 1_000_000
+    cell = F.floor(micros(ts) / F.lit(width)).alias("_cell")
+    cells = df.where(F.col(ts).isNotNull()).groupBy(*keys, cell).agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"))
+    ordered = next_row(slice_hot_keys(cells, keys, F.col("_cell"), settings), keys, ["_cell"], ["_first"])
+    length = seconds_between("_last", "next._first")
     return ordered.where(length > threshold_seconds).select(
         *keys,
-        F.col(ts).alias("gap_started_at"),
-        F.col(f"next.{ts}").alias("gap_ended_at"),
+        F.col("_last").alias("gap_started_at"),
+        F.col("next._first").alias("gap_ended_at"),
         length.alias("gap_seconds"),
     )
 

@@ -34,8 +34,6 @@ class Settings:
     # At most rows/hot_key_rows keys can qualify, which bounds the hot-key table.
     hot_key_rows: int = 5_000_000
     hot_key_slices: int = 8192
-    # A dimension is broadcast only after a bounded count finds at most this many rows.
-    broadcast_max_rows: int = 1_000_000
     # Up to this many batch ids of a micro-batch are looked up through a filter pushed to the files.
     pushed_ids: int = 1000
     # Channel pairs one row may fan out to before its work is split over more rows.

@@ -8,11 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamtally.operators.latest import broadcast_if_small
-from streamtally.settings import Settings
 
-# Fixed pattern of a message line: optional tags, sender, channel, text.
-MESSAGE_LINE = r"^(?:@(\S+) )?:([^!]+)!\S+ PRIVMSG #(\S+) :(.*)$"
+# Fixed pattern of a message line: optional tags, sender, channel, text. `(?d)`: only a line feed
+# ends a line; the other terminators of Unicode and a lone carriage return are text.
+MESSAGE_LINE = r"(?d)^(?:@(\S+) )?:([^!]+)!\S+ PRIVMSG #(\S+) :(.*)$"
 
 
 def pairs_of(raw: str | Column, between: str, within: str) -> Column:
@@ -44,11 +43,12 @@ def emotes_of(raw: str | Column) -> Column:
 
 def parse_chat_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """One row per message line with `tags` (map), `nick`, `channel`, `text`; other lines
-    are dropped. All other input columns are kept."""
+    are dropped. Line ends around a line are no part of it. All other input columns are kept."""
     kept = [c for c in lines.columns if c != column]
-    # All four groups in one pass of the pattern, joined by a character no line contains.
-    groups = F.split(F.regexp_replace(column, MESSAGE_LINE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", 4)
-    parts = lines.where(F.col(column).rlike(MESSAGE_LINE)).select(*kept, groups.alias("_g"))
+    line = F.btrim(F.col(column), F.lit("\r\n"))
+    # All four groups in one pass of the pattern, joined by a character that only the last may contain.
+    groups = F.split(F.regexp_replace(line, MESSAGE_LINE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", 4)
+    parts = lines.where(line.rlike(MESSAGE_LINE)).select(*kept, groups.alias("_g"))
     tags = F.col("_g")[0]
     return parts.select(
         *kept,
@@ -59,7 +59,7 @@ def parse_chat_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def build_chat_rows(parsed: DataFrame, roster: DataFrame, captured_at: str, settings: Settings) -> DataFrame:
+def build_chat_rows(parsed: DataFrame, roster: DataFrame, captured_at: str) -> DataFrame:
     """Typed chat rows of the channels in `roster` (column `channel`); account facts come
     later, from `enrich_accounts`. A message without its own time takes the capture time."""
 
@@ -70,7 +70,7 @@ def build_chat_rows(parsed: DataFrame, roster: DataFrame, captured_at: str, sett
     known = roster.select(F.lower("channel").alias("_login"), F.col("channel").alias("_spelled"))
     kept = [c for c in parsed.columns if c not in ("nick", "channel", "text", "tags", captured_at)]
     return (
-        parsed.join(broadcast_if_small(known, settings), F.lower("channel") == F.col("_login"))
+        parsed.join(known, F.lower("channel") == F.col("_login"))
         .select(
             *kept,
             F.col("_spelled").alias("channel"),
@@ -94,7 +94,9 @@ def enrich_accounts(rows: DataFrame, accounts: DataFrame) -> DataFrame:
         F.col("chatter_id").alias("_id"), "account_created_at", "broadcaster_type", "resolved_at"
     )
     in_time = F.col("resolved_at") <= F.col("captured_at")
-    return rows.join(facts, F.col("chatter_id") == F.col("_id"), "left").select(
+    # Messages without an id match nothing and would meet in one task.
+    nameless = F.when(F.col("chatter_id").isNull(), F.concat(F.lit("?"), F.xxhash64("channel", "message_text", "captured_at").cast("string")))
+    return rows.join(facts, F.coalesce("chatter_id", nameless) == F.col("_id"), "left").select(
         *rows.columns,
         F.when(in_time, F.col("account_created_at")).alias("account_created_at"),
         F.when(in_time, F.col("broadcaster_type")).alias("broadcaster_type"),
@@ -106,7 +108,3 @@ def pending_accounts(rows: DataFrame, accounts: DataFrame) -> DataFrame:
     seen = rows.where(F.col("chatter_id").isNotNull()).select("chatter_id").distinct()
     return seen.join(accounts.select("chatter_id"), "chatter_id", "left_anti")
 
-
-def running_counts(rows: DataFrame) -> DataFrame:
-    """Messages so far per (channel, chatter); channel totals are its roll-up."""
-    return rows.groupBy("channel", "chatter").agg(F.count(F.lit(1)).alias("message_count"))

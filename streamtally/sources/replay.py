@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally.operators.ordered import running_sum, slice_hot_keys
-from streamtally.settings import Settings
 
 DOCUMENT = (
     "streamer struct<name: string, login: string, id: bigint>, video struct<id: string>, "
@@ -34,34 +32,26 @@ def _emotes(fragments: Column) -> Column:
     )
 
 
-def recover_replay_chat(documents: DataFrame, batch_id: str, settings: Settings) -> DataFrame:
-    """Live-chat rows from replay documents. The one `batch_id` marks where they came from;
-    row numbers run on from document to document, in the order of their video ids."""
-    sized = documents.withColumns(
-        {"_size": F.size("comments").cast("long"), "_hash": F.xxhash64("video.id"), "_video": F.col("video.id")}
+def recover_replay_chat(documents: DataFrame, marker: str) -> DataFrame:
+    """Live-chat rows from replay documents. A row is named by its document - `batch_id` is the marker,
+    the channel and the video id - and its place in it, so recovering again with more documents gives
+    the same names to the same messages."""
+    source = F.concat_ws("/", F.lit(marker), "streamer.login", "video.id")
+    opened = documents.select(
+        source.alias("batch_id"), F.col("streamer.login").alias("channel"), F.posexplode("comments").alias("row_number", "_c")
     )
-    numbered = running_sum(
-        slice_hot_keys(sized, [], F.col("_hash"), settings), [], [F.asc("_hash"), F.asc("_video")], "_size", "_upto"
-    )
-    return (
-        numbered.select(
-            F.col("streamer.login").alias("channel"),
-            (F.col("_upto") - F.col("_size")).alias("_before"),
-            F.posexplode("comments").alias("_at", "_c"),
-        )
-        .select(
-            F.lit(batch_id).alias("batch_id"),
-            (F.col("_before") + F.col("_at")).cast("int").alias("row_number"),
-            "channel",
-            F.col("_c.commenter.display_name").alias("chatter"),
-            F.col("_c.commenter._id").alias("chatter_id"),
-            F.col("_c.message.body").alias("message_text"),
-            F.col("_c.created_at").alias("message_sent_at"),
-            F.col("_c.created_at").alias("captured_at"),
-            F.coalesce(
-                F.map_from_entries(F.col("_c.message.user_badges")), F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")
-            ).alias("badges"),
-            _emotes(F.col("_c.message.fragments")).alias("emotes"),
-            F.col("_c.commenter.created_at").alias("account_created_at"),
-        )
+    return opened.select(
+        "batch_id",
+        "row_number",
+        "channel",
+        F.col("_c.commenter.display_name").alias("chatter"),
+        F.col("_c.commenter._id").alias("chatter_id"),
+        F.col("_c.message.body").alias("message_text"),
+        F.col("_c.created_at").alias("message_sent_at"),
+        F.col("_c.created_at").alias("captured_at"),
+        F.coalesce(
+            F.map_from_entries(F.col("_c.message.user_badges")), F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")
+        ).alias("badges"),
+        _emotes(F.col("_c.message.fragments")).alias("emotes"),
+        F.col("_c.commenter.created_at").alias("account_created_at"),
     )

@@ -1,135 +1,137 @@
 """The previous row of a key on a stream: what `lag` is in batch.
 
-Window functions are not available on streams, so the last row of each key is kept in
-the state store. Everything but the shift itself stays in Spark expressions.
+Window functions are not available on streams, so each micro-batch is worked off as a batch: its rows,
+the stored rows of the same keys that come after its earliest row, and each key's last stored row before
+that, go through `previous_row`, which cuts a hot key's rows over many tasks. A row that comes late thus
+finds its place, and the row after it is derived again. Every micro-batch writes folders of its own, which
+a repeated micro-batch overwrites; of a row derived more than once the last result counts.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from streamtally.functions.time import seconds_between
+from streamtally.operators.latest import latest_per_key
+from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut
 from streamtally.schemas import MONEY
 from streamtally.settings import Settings
 
 
-def with_previous(
-    stream: DataFrame, key: str, ts: str, tie: str, carry: Sequence[str], expire_after_minutes: int | None = None
-) -> DataFrame:
-    """Adds `prev_<c>` for each column in `carry`, null on a key's first row.
-
-    A row at or before the key's latest known row is late and is dropped. With
-    `expire_after_minutes` a key's state is dropped once the watermark has passed its last
-    row by that long (the stream then needs a watermark). A task holds the rows one key
-    has in one micro-batch, so bound the micro-batch at the source
-    (maxFilesPerTrigger, maxOffsetsPerTrigger).
-    """
-    types = {f.name: f.dataType for f in stream.schema.fields}
-    plain = list(stream.columns)
-    carried = list(carry)
-    texts = [f"_c_{c}" for c in carried]
-    prevs = [f"prev_{c}" for c in carried]
-    # Carried values travel as text, so nulls and large integers survive pandas unchanged;
-    # the row itself is folded into one JSON column and restored afterwards.
-    row_type = stream.select(F.struct(*plain).alias("r")).schema["r"].dataType
-    folded = stream.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
-        F.col(key).cast("string").alias("_key"),
-        F.unix_micros(ts).alias("_at"),
-        F.col(tie).cast("bigint").alias("_tie"),
-        F.to_json(F.struct(*plain), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("_row"),
-        *[F.col(c).cast("string").alias(t) for c, t in zip(carried, texts)],
-        *([F.col(ts)] if expire_after_minutes is not None else []),
-    )
-    expiry_ms = None if expire_after_minutes is None else expire_after_minutes * 60_000
-
-    def shift(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(frames), ignore_index=True).sort_values(["_at", "_tie"], kind="stable")
-        before: tuple = (None,) * len(texts)
-        if state.exists:
-            at, last_tie, *before = state.get
-            newer = (rows["_at"] > at) | ((rows["_at"] == at) & (rows["_tie"] > last_tie))
-            rows = rows[newer]
-        if len(rows):
-            out = pd.DataFrame({"_row": rows["_row"]})
-            for text, prev, first in zip(texts, prevs, before):
-                values = rows[text].astype(object).where(rows[text].notna(), None).tolist()
-                out[prev] = pd.Series([first, *values[:-1]], index=rows.index, dtype=object)
-            end = rows.iloc[-1]
-            state.update(
-                (int(end["_at"]), int(end["_tie"]), *[None if pd.isna(end[t]) else str(end[t]) for t in texts])
-            )
-            if expiry_ms is not None:
-                deadline = int(end["_at"]) // 1000 + expiry_ms
-                state.setTimeoutTimestamp(max(deadline, state.getCurrentWatermarkMs() + 1))
-            yield out
-
-    output = ", ".join(["_row string", *[f"{p} string" for p in prevs]])
-    kept = ", ".join(["at bigint", "tie bigint", *[f"{t} string" for t in texts]])
-    timeout = GroupStateTimeout.NoTimeout if expiry_ms is None else GroupStateTimeout.EventTimeTimeout
-    shifted = folded.groupBy("_key").applyInPandasWithState(shift, output, kept, "append", timeout)
-    return shifted.select(
-        F.from_json("_row", row_type).alias("_r"),
-        *[F.col(p).cast(types[c]).alias(p) for c, p in zip(carried, prevs)],
-    ).select("_r.*", *prevs)
-
-
-def donation_deltas(snapshots: DataFrame) -> DataFrame:
-    """The batch model `donation_deltas` on a stream of exploded snapshots."""
-    named = snapshots.where(F.col("twitch_login").isNotNull())
-    ordered = with_previous(
-        named, "twitch_login", "ingested_at", "snapshot_id", ["donation_amount_eur", "ingested_at"]
-    )
-    moved = F.col("donation_amount_eur") - F.col("prev_donation_amount_eur")
-    return ordered.select(
+@dataclass(frozen=True)
+class Job:
+    """`rows` makes the sequence's rows from the stream, `result` the output from rows with `prev`."""
+
+    rows: Callable[[DataFrame], DataFrame]
+    key: str
+    order: tuple[str, str]  # time, then the tie breaker
+    carry: tuple[str, ...]
+    result: Callable[[DataFrame, Settings], DataFrame]
+
+
+def _stored(spark: SparkSession, path: str, before: int) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path).where(F.col("epoch") < before)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def derive(rows: DataFrame, stored: DataFrame | None, job: Job, settings: Settings) -> DataFrame:
+    """The new rows, and the stored ones after them, with struct `prev`."""
+    order = list(job.order)
+    columns = rows.columns
+    fresh = rows.withColumn("_old", F.lit(False))
+    if stored is not None:
+        lowest = rows.groupBy(job.key).agg(F.min(order_key(order)).alias("_low"))
+        met = stored.select(columns).join(lowest, job.key)
+        at = order_key(order)
+        after = met.where(at > F.col("_low")).select(*columns, F.lit(False).alias("_old"))
+        rest = [c for c in columns if c != job.key]
+        before = latest_per_key(met.where(at < F.col("_low")), [job.key], order, rest)
+        fresh = fresh.unionByName(after).unionByName(before.select(*columns, F.lit(True).alias("_old")))
+    # A row delivered twice is one row.
+    once = fresh.dropDuplicates([job.key, *order])
+    cut = slice_hot_keys(once, [job.key], micros(order[0]), settings)
+    ordered = uncut(previous_row(cut, [job.key], order, list(job.carry)))
+    return ordered.where(~F.col("_old")).drop("_old")
+
+
+def start(
+    stream: DataFrame, job: Job, root: str, settings: Settings = Settings(), every: str | None = None
+) -> StreamingQuery:
+    """Rows without key or time form no sequence and are left out. `every=None` stops once all input is done."""
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.where(F.col(job.key).isNotNull() & F.col(job.order[0]).isNotNull()).persist()
+        try:
+            rows.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
+            derived = derive(rows, _stored(spark, f"{root}/rows", epoch), job, settings)
+            derived.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
+        finally:
+            rows.unpersist()
+
+    writer = job.rows(stream).writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(store)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
+
+
+def read(spark: SparkSession, job: Job, root: str, settings: Settings = Settings()) -> DataFrame:
+    """The job's result over everything stored so far."""
+    versions = spark.read.parquet(f"{root}/out")
+    keys = [job.key, *job.order]
+    rest = [c for c in versions.columns if c not in (*keys, "epoch")]
+    return job.result(latest_per_key(versions, keys, ["epoch"], rest), settings)
+
+
+def _deltas(rows: DataFrame, settings: Settings) -> DataFrame:
+    moved = F.col("donation_amount_eur") - F.col("prev.donation_amount_eur")
+    return rows.select(
         "snapshot_id", "twitch_login", "display_name", "viewer_count", "donation_amount_eur", "ingested_at",
-        "prev_ingested_at",
+        F.col("prev.ingested_at").alias("prev_ingested_at"),
         F.coalesce(moved, F.lit(0)).cast(MONEY).alias("donation_delta_eur"),
-        seconds_between("prev_ingested_at", "ingested_at").alias("seconds_since_prev_snapshot"),
+        seconds_between("prev.ingested_at", "ingested_at").alias("seconds_since_prev_snapshot"),
     )
 
 
-def mode_changes(snapshots: DataFrame) -> DataFrame:
-    """Changes of the site mode; one event-wide key, as a poll is a single row here.
-    `snapshots` are bronze snapshots, not exploded ones."""
-    polls = snapshots.select(
-        F.lit("event").alias("event"), "id", "ingested_at", "website_mode", "total_donation_amount_eur",
-        "total_viewer_count",
-    )
-    ordered = with_previous(polls, "event", "ingested_at", "id", ["website_mode"])
-    return ordered.where(~F.col("website_mode").eqNullSafe(F.col("prev_website_mode"))).select(
-        F.col("id").alias("snapshot_id"),
-        F.col("ingested_at").alias("changed_at"),
-        "prev_website_mode",
-        F.col("website_mode").alias("new_website_mode"),
-        "total_donation_amount_eur",
-        "total_viewer_count",
+def _mode_rows(snapshots: DataFrame) -> DataFrame:
+    return snapshots.select(
+        F.lit("event").alias("event"), "id", "ingested_at", "website_mode", "total_donation_amount_eur", "total_viewer_count"
     )
 
 
-def channel_hops(chat: DataFrame, settings: Settings) -> DataFrame:
-    """The batch model `chat_channel_hops` on a stream; a chatter's state is dropped once no
-    hop can follow any more."""
-    said = chat.where(F.col("chatter_id").isNotNull()).select("chatter_id", "channel", "message_sent_at", "id")
-    ordered = with_previous(
-        said.withWatermark("message_sent_at", f"{settings.quarter_hour_lookback_minutes} minutes"),
-        "chatter_id", "message_sent_at", "id", ["channel", "message_sent_at"], settings.hop_max_gap_minutes,
-    )
-    gap = seconds_between("prev_message_sent_at", "message_sent_at")
-    return ordered.where(
-        (F.col("channel") != F.col("prev_channel")) & (gap <= settings.hop_max_gap_minutes * 60)
-    ).select(
-        "chatter_id",
-        F.col("prev_channel").alias("from_channel"),
-        F.col("channel").alias("to_channel"),
-        F.col("prev_message_sent_at").alias("departed_at"),
-        F.col("message_sent_at").alias("arrived_at"),
-        gap.alias("gap_seconds"),
-    )
+def _modes(rows: DataFrame, settings: Settings) -> DataFrame:
+    return rows.where(~F.col("website_mode").eqNullSafe(F.col("prev.website_mode"))).select(
+        F.col("id").alias("snapshot_id"), F.col("ingested_at").alias("changed_at"),
+        F.col("prev.website_mode").alias("prev_website_mode"), F.col("website_mode").alias("new_website_mode"),
+        "total_donation_amount_eur", "total_viewer_count",
+    )
+
+
+def _hops(rows: DataFrame, settings: Settings) -> DataFrame:
+    gap = seconds_between("prev.message_sent_at", "message_sent_at")
+    moved = (F.col("channel") != F.col("prev.channel")) & (gap <= settings.hop_max_gap_minutes * 60)
+    return rows.where(moved).select(
+        "chatter_id", F.col("prev.channel").alias("from_channel"), F.col("channel").alias("to_channel"),
+        F.col("prev.message_sent_at").alias("departed_at"), F.col("message_sent_at").alias("arrived_at"), gap.alias("gap_seconds"),
+    )
+
+
+# The batch models `donation_deltas`, `mode_changes` and `chat_channel_hops` on streams of exploded
+# snapshots, bronze snapshots (one row per poll) and chat.
+DONATION_DELTAS = Job(
+    lambda s: s.select("snapshot_id", "twitch_login", "display_name", "viewer_count", "donation_amount_eur", "ingested_at"),
+    "twitch_login", ("ingested_at", "snapshot_id"), ("donation_amount_eur", "ingested_at"), _deltas,
+)
+MODE_CHANGES = Job(_mode_rows, "event", ("ingested_at", "id"), ("website_mode",), _modes)
+CHANNEL_HOPS = Job(
+    lambda s: s.select("chatter_id", "channel", "message_sent_at", "id"),
+    "chatter_id", ("message_sent_at", "id"), ("channel", "message_sent_at"), _hops,
+)

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from streamtally.operators.latest import latest_per_key
 from streamtally.session import scratch_dir
 
 
-def drain(spark: SparkSession, stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Processes everything available and returns what was emitted. Append results are
-    written as files; update and complete results keep the last row set of the last epoch."""
+def drain(spark: SparkSession, stream: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Processes everything available and returns what was emitted. With `keys` the stream runs in
+    update mode: every micro-batch writes the rows it changed to a folder of its own, which a repeated
+    micro-batch overwrites, and the last row of each key is returned."""
     root = scratch_dir(spark, "stream")
     out = f"{root}/out"
     writer = stream.writeStream.option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True)
-    if mode == "append":
-        query = writer.format("parquet").outputMode("append").option("path", out).start()
-    else:
-        query = (
-            writer.outputMode(mode)
-            .foreachBatch(lambda batch, epoch: batch.write.mode("overwrite").parquet(out))
-            .start()
-        )
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    if not keys:
+        writer.format("parquet").outputMode("append").option("path", out).start().awaitTermination()
+        return spark.read.schema(stream.schema).parquet(out)
+    columns = stream.columns
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    writer.outputMode("update").foreachBatch(store).start().awaitTermination()
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema.fields)
+    versions = spark.read.schema(f"{fields}, epoch bigint").parquet(out)
+    return latest_per_key(versions, list(keys), ["epoch"], [c for c in columns if c not in keys]).select(columns)

@@ -24,46 +24,55 @@ def dedup(
     return stream.withWatermark(clock, late_by).dropDuplicatesWithinWatermark(list(key))
 
 
-def hourly_chat(chat: DataFrame, late_by: str = LATE_BY) -> DataFrame:
-    """Messages and exact distinct chatters per (channel, hour), emitted when the hour closes.
-
-    Exact distinct counts are not available on streams, so the counts go through one row
-    per (hour, channel, chatter) first - which is also what splits a busy channel.
-    """
-    per_chatter = (
-        chat.withWatermark("message_sent_at", late_by)
-        .groupBy(F.window("message_sent_at", "1 hour").alias("_w"), "channel", "chatter_id")
-        .agg(rows().alias("_n"))
-    )
-    return (
-        per_chatter.groupBy(F.window("_w", "1 hour").alias("_hour"), "channel")
-        .agg(F.sum("_n").alias("message_count"), F.count("chatter_id").alias("unique_chatter_count"))
-        .select("channel", F.col("_hour.start").alias("hour_bucket"), "message_count", "unique_chatter_count")
-    )
+HOUR_KEYS = ["hour_bucket", "channel", "chatter_id"]
+QUARTER_KEYS = ["quarter_hour_bucket", "chatter_id", "channel"]
+
+
+def _parts(chat: DataFrame, width: str, bucket: str, keys: Sequence[str], late_by: str) -> DataFrame:
+    counted = chat.withWatermark("message_sent_at", late_by).groupBy(F.window("message_sent_at", width).alias("_w"), *keys)
+    return counted.agg(rows().alias("part_count")).select(F.col("_w.start").alias(bucket), *keys, "part_count")
+
+
+def hourly_chat_parts(chat: DataFrame, late_by: str = LATE_BY) -> DataFrame:
+    """Messages per (hour, channel, chatter); for update mode with an upsert on HOUR_KEYS, so hours that
+    are still open show what they have so far. Exact distinct counts are not available on streams; one
+    row per chatter gives them, and splits a busy channel. Rows later than `late_by` are dropped and
+    counted in the query's progress (numRowsDroppedByWatermark)."""
+    return _parts(chat, "1 hour", "hour_bucket", ["channel", "chatter_id"], late_by)
 
 
-def quarter_hours(chat: DataFrame, late_by: str = LATE_BY) -> DataFrame:
-    """Messages and distinct channels per (chatter, quarter hour), emitted when it closes."""
-    per_channel = (
-        chat.where(F.col("chatter_id").isNotNull())
-        .withWatermark("message_sent_at", late_by)
-        .groupBy(F.window("message_sent_at", "15 minutes").alias("_w"), "chatter_id", "channel")
-        .agg(rows().alias("_n"))
+def hourly_chat(parts: DataFrame) -> DataFrame:
+    """Messages and distinct chatters per (channel, hour) of the table that holds the parts."""
+    return parts.groupBy("channel", "hour_bucket").agg(
+        F.sum("part_count").alias("message_count"), F.count("chatter_id").alias("unique_chatter_count")
     )
-    return (
-        per_channel.groupBy(F.window("_w", "15 minutes").alias("_q"), "chatter_id")
-        .agg(rows().alias("distinct_channel_count"), F.sum("_n").alias("message_count"))
-        .select("chatter_id", F.col("_q.start").alias("quarter_hour_bucket"), "distinct_channel_count", "message_count")
+
+
+def quarter_hour_parts(chat: DataFrame, late_by: str = LATE_BY) -> DataFrame:
+    """Messages per (quarter hour, chatter, channel), like `hourly_chat_parts`."""
+    known = chat.where(F.col("chatter_id").isNotNull())
+    return _parts(known, "15 minutes", "quarter_hour_bucket", ["chatter_id", "channel"], late_by)
+
+
+def quarter_hours(parts: DataFrame) -> DataFrame:
+    """Messages and distinct channels per (chatter, quarter hour)."""
+    return parts.groupBy("chatter_id", "quarter_hour_bucket").agg(
+        rows().alias("distinct_channel_count"), F.sum("part_count").alias("message_count")
     )
 
 
 def running_counts(chat: DataFrame) -> DataFrame:
-    """Messages so far per (channel, chatter); for update or complete mode."""
+    """Messages so far per (channel, chatter); for update mode with an upsert."""
     return chat.groupBy("channel", "chatter").agg(rows().alias("message_count"))
 
 
+def channel_running_counts(chat: DataFrame) -> DataFrame:
+    """Messages so far per channel; for update mode with an upsert."""
+    return chat.groupBy("channel").agg(rows().alias("message_count"))
+
+
 def last_seen(stream: DataFrame, clock: str = "captured_at") -> DataFrame:
-    """Newest row per channel; for update or complete mode."""
+    """Newest row per channel; for update mode with an upsert."""
     return stream.groupBy("channel").agg(F.max(clock).alias("last_seen_at"))
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from streamtally import Settings
 from streamtally.plans import staging
-from streamtally.sources import chat_lines, emote_apis, envelopes, event_api, replay
+from streamtally.sources import chat_lines, emote_apis, envelopes, event_api, replay, stores
 
 S = Settings()
 
@@ -23,10 +23,10 @@ def one(df):
 @pytest.mark.parametrize(
     "raw, expected",
     [
-        ("moderator/1,subscriber/12", {"moderator": "1", "subscriber": "12"}),
+        ("founder/0,premium/1", {"founder": "0", "premium": "1"}),
         (None, {}),
         ("", {}),
-        ("vip/1,malformed", {"vip": "1"}),
+        ("bits/100,broken", {"bits": "100"}),
         ("vip/1,vip/2", {"vip": "2"}),
     ],
 )
@@ -38,8 +38,8 @@ def test_badges(spark, raw, expected):
 @pytest.mark.parametrize(
     "raw, expected",
     [
-        ("25:0-4,12-16/1902:6-10", {"25": 2, "1902": 1}),
-        ("354:0-3", {"354": 1}),
+        ("7:0-2,9-11/88:4-6", {"7": 2, "88": 1}),
+        ("61:5-9", {"61": 1}),
         (None, {}),
         ("", {}),
         ("25:/1902", {}),
@@ -53,17 +53,17 @@ def test_emotes(spark, raw, expected):
 
 def test_chat_lines(spark):
     lines = [
-        ("@display-name=SomeUser;user-id=42;tmi-sent-ts=1700000000000 :someuser!someuser@host PRIVMSG #event :hello chat!",),
-        (":someuser!someuser@host PRIVMSG #event :hello: again",),
+        ("@display-name=Ada_L;user-id=815;tmi-sent-ts=1710000000000 :ada_l!ada_l@host PRIVMSG #event :good evening",),
+        (":ada_l!ada_l@host PRIVMSG #event :good: night",),
         ("PING :host",),
         (":host 001 justin :Welcome",),
     ]
     parsed = chat_lines.parse_chat_lines(spark.createDataFrame(lines, "value string")).orderBy("text").collect()
     assert [(r["nick"], r["channel"], r["text"]) for r in parsed] == [
-        ("someuser", "event", "hello chat!"),
-        ("someuser", "event", "hello: again"),
+        ("ada_l", "event", "good evening"),
+        ("ada_l", "event", "good: night"),
     ]
-    assert parsed[0]["tags"] == {"display-name": "SomeUser", "user-id": "42", "tmi-sent-ts": "1700000000000"}
+    assert parsed[0]["tags"] == {"display-name": "Ada_L", "user-id": "815", "tmi-sent-ts": "1710000000000"}
     assert parsed[1]["tags"] is None
 
 
@@ -76,12 +76,18 @@ def test_chat_rows_fall_back_to_nick_and_capture_time(spark):
     ]
     parsed = chat_lines.parse_chat_lines(spark.createDataFrame(lines, "captured_at timestamp, value string"))
     roster = spark.createDataFrame([("KNOWN",)], "channel string")
-    rows = chat_lines.build_chat_rows(parsed, roster, "captured_at", S).orderBy("message_text").collect()
+    rows = chat_lines.build_chat_rows(parsed, roster, "captured_at").orderBy("message_text").collect()
     assert [(r["channel"], r["chatter"]) for r in rows] == [("KNOWN", "a"), ("KNOWN", "b")]
     assert rows[0]["message_sent_at"].timestamp() == 1700000000
     assert rows[1]["message_sent_at"] == at and rows[1]["badges"] == {} and rows[1]["emotes"] == {}
 
 
+@pytest.mark.parametrize("inner", ["a\u2028b", "a\u2029b", "a\u0085b", "a\rb", "\u0001ACTION waves\u0001", "a\u000bb"])
+def test_only_a_line_feed_ends_a_line(spark, inner):
+    df = spark.createDataFrame([(f":n!n@h PRIVMSG #c :{inner}{end}",) for end in ("", "\r", "\n", "\r\n")], "value string")
+    assert [r["text"] for r in chat_lines.parse_chat_lines(df).collect()] == [inner] * 4
+
+
 EVENT = {
     "websiteMode": "day",
     "donationAmount": {"number": 1234567.89},
@@ -150,7 +156,7 @@ def test_emote_documents(spark):
         ("7tv", "channel", {"emote_set": None}),
         ("bttv", "global", [{"id": "b", "code": ":tf:"}]),
         ("bttv", "channel", {"channelEmotes": [{"id": "c", "code": "C"}], "sharedEmotes": [{"id": "s", "code": "S"}]}),
-        ("ffz", "global", {"default_sets": [3, 9], "sets": {"3": {"emoticons": [{"id": 33355, "name": "Z"}]}, "4": {"emoticons": [{"id": 1, "name": "No"}]}}}),
+        ("ffz", "global", {"default_sets": [3, 9], "sets": {"3": {"emoticons": [{"id": 4711, "name": "Wow"}]}, "4": {"emoticons": [{"id": 1, "name": "No"}]}}}),
         ("ffz", "channel", {"sets": {"4": {"emoticons": [{"id": 1, "name": "Yes"}]}}}),
     ]
     rows = [(s, c, "ch", None, json.dumps(b)) for s, c, b in docs] + [("bttv", "channel", "ch", None, "{broken")]
@@ -158,7 +164,7 @@ def test_emote_documents(spark):
     got = {(r["service"], r["scope"], r["emote_id"], r["emote_code"]) for r in emote_apis.parse_emote_catalogs(df).collect()}
     assert got == {
         ("twitch", "channel", "1", "Kappa"), ("7tv", "global", "g", "o7"), ("bttv", "global", "b", ":tf:"),
-        ("bttv", "channel", "c", "C"), ("bttv", "channel", "s", "S"), ("ffz", "global", "33355", "Z"),
+        ("bttv", "channel", "c", "C"), ("bttv", "channel", "s", "S"), ("ffz", "global", "4711", "Wow"),
         ("ffz", "channel", "1", "Yes"),
     }
 
@@ -201,8 +207,15 @@ def test_replay_recovery(spark, tmp_path):
     for name, n in (("x", 2), ("y", 3)):
         doc = {"streamer": {"login": name, "id": 1}, "video": {"id": name}, "comments": [comment(i, ["vip"], ["9", None, "9"]) for i in range(n)]}
         (tmp_path / f"{name}.json").write_text(json.dumps(doc, indent=1))
-    rows = replay.recover_replay_chat(replay.read_replays(spark, str(tmp_path)), "again", S).collect()
-    assert sorted(r["row_number"] for r in rows) == [0, 1, 2, 3, 4]
-    assert {r["batch_id"] for r in rows} == {"again"} and {r["channel"] for r in rows} == {"x", "y"}
+    rows = replay.recover_replay_chat(replay.read_replays(spark, str(tmp_path)), "again").collect()
+    assert sorted((r["batch_id"], r["row_number"]) for r in rows) == [("again/x/x", 0), ("again/x/x", 1), ("again/y/y", 0), ("again/y/y", 1), ("again/y/y", 2)]
+    assert {r["channel"] for r in rows} == {"x", "y"}
     assert all(r["badges"] == {"vip": "1"} and r["emotes"] == {"9": 2} for r in rows)
     assert {r["message_sent_at"].microsecond for r in rows} == {500000}
+
+    # Recovered again with one more file: every message keeps its name, so a replay check stores only the new ones.
+    doc = {"streamer": {"login": "a", "id": 1}, "video": {"id": "a"}, "comments": [comment(i) for i in range(4)]}
+    (tmp_path / "a.json").write_text(json.dumps(doc, indent=1))
+    before = spark.createDataFrame([(r["batch_id"], r["row_number"]) for r in rows], "batch_id string, row_number int")
+    again = replay.recover_replay_chat(replay.read_replays(spark, str(tmp_path)), "again").select("batch_id", "row_number")
+    assert {tuple(r) for r in stores.append_dedup(before, again, S).collect()} == {("again/a/a", i) for i in range(4)}

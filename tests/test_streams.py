@@ -1,12 +1,14 @@
 """Streaming jobs over several micro-batches: replays, restarts, late rows."""
 
 import json
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from streamtally import Settings
 from streamtally.schemas import LIVE_CHAT
-from streamtally.sources.stores import without_synthetic
+from streamtally.sources.stores import scan_bronze, without_synthetic
 from streamtally.streaming import ingest, previous, windows
 from streamtally.streaming.run import drain
 from tests.test_edges import T0, at, messages
@@ -30,7 +32,7 @@ def test_dedup_across_micro_batches(spark, tmp_path):
     assert sorted(r["row_number"] for r in out.collect()) == [1, 2]
 
 
-def test_hours_close_and_late_rows_are_dropped(spark, tmp_path):
+def test_open_hours_show_and_late_rows_are_dropped(spark, tmp_path):
     hour = 3600
     stream = feed(
         spark, tmp_path,
@@ -40,23 +42,44 @@ def test_hours_close_and_late_rows_are_dropped(spark, tmp_path):
         # The hour was emitted with the batch before; a row for it is too late now.
         [{"chatter_id": "late", "message_sent_at": at(60)}, {"chatter_id": "x", "message_sent_at": at(9 * hour)}],
     )
-    got = {r["hour_bucket"]: (r["message_count"], r["unique_chatter_count"]) for r in drain(spark, windows.hourly_chat(stream)).collect()}
-    assert got[T0] == (3, 2)
+    hours = windows.hourly_chat(drain(spark, windows.hourly_chat_parts(stream), windows.HOUR_KEYS))
+    got = {r["hour_bucket"]: (r["message_count"], r["unique_chatter_count"]) for r in hours.collect()}
+    # The last hour is still open and shows what it has.
+    assert got == {T0: (3, 2), at(3 * hour): (1, 1), at(6 * hour): (1, 1), at(9 * hour): (1, 1)}
 
 
 def test_previous_row_across_micro_batches_and_late_rows(spark, tmp_path):
     stream = feed(
-        spark, tmp_path,
+        spark, tmp_path / "in",
         [{"chatter_id": "x", "channel": "a", "message_sent_at": at(0)}],
         [{"chatter_id": "x", "channel": "b", "message_sent_at": at(10)}],
         [{"chatter_id": "x", "channel": "c", "message_sent_at": at(5)}, {"chatter_id": "x", "channel": "a", "message_sent_at": at(20)}],
     )
-    hops = drain(spark, previous.channel_hops(stream, S)).collect()
-    assert sorted((r["from_channel"], r["to_channel"], r["gap_seconds"]) for r in hops) == [("a", "b", 10.0), ("b", "a", 10.0)]
+    root = str(tmp_path / "job")
+    previous.start(stream, previous.CHANNEL_HOPS, root, S).awaitTermination()
+    hops = previous.read(spark, previous.CHANNEL_HOPS, root, S).collect()
+    assert sorted((r["from_channel"], r["to_channel"], r["gap_seconds"]) for r in hops) == [("a", "c", 5.0), ("b", "a", 10.0), ("c", "b", 5.0)]
+
+
+def test_previous_row_of_a_hot_key_out_of_order(spark, tmp_path):
+    """Eight micro-batches in no order, one chatter with a third of the rows, cut into slices."""
+    rng = random.Random(4)
+    rows = [{"chatter_id": "hot" if i % 3 == 0 else f"c{i % 7}", "channel": rng.choice("abc"), "message_sent_at": at(i // 2)} for i in range(120)]
+    order = list(range(120))
+    rng.shuffle(order)
+    feeds = [[{**rows[i], "id": i, "row_number": i} for i in order[k::8]] for k in range(8)]
+    tight, root = Settings(hot_key_rows=10, hot_key_slices=5), str(tmp_path / "job")
+    previous.start(feed(spark, tmp_path / "in", *feeds), previous.CHANNEL_HOPS, root, tight).awaitTermination()
+    got = Counter((r["chatter_id"], r["from_channel"], r["to_channel"], r["departed_at"], r["arrived_at"]) for r in previous.read(spark, previous.CHANNEL_HOPS, root, tight).collect())
+    want = Counter()
+    for name in {r["chatter_id"] for r in rows}:
+        own = [r for r in rows if r["chatter_id"] == name]
+        want.update((name, a["channel"], b["channel"], a["message_sent_at"], b["message_sent_at"]) for a, b in zip(own, own[1:]) if a["channel"] != b["channel"])
+    assert got == want
 
 
 def test_stalled_channels(spark, tmp_path):
-    seen = drain(spark, windows.last_seen(feed(spark, tmp_path, [{"captured_at": at(0)}, {"channel": "b", "captured_at": at(400)}])), "complete")
+    seen = drain(spark, windows.last_seen(feed(spark, tmp_path, [{"captured_at": at(0)}, {"channel": "b", "captured_at": at(400)}])), ["channel"])
     alerts = windows.stalled(seen, F.lit(at(600)), 5).collect()
     assert [(r["channel"], r["silent_minutes"]) for r in alerts] == [("a", 10.0)]
 
@@ -91,6 +114,11 @@ def test_ingest_replay_restart_and_upsert(spark, tmp_path):
     reasons = sorted(r["reason"] for r in spark.read.parquet(f"{root}/quarantine").collect())
     assert reasons == ["required field missing", "unknown stream", "unreadable envelope"]
 
+    # The reader of bronze tables sees one version of a latest-state table, and ids in the order of arrival.
+    assert scan_bronze(spark, root, "emote_catalog").count() == 2
+    ids = [(r["batch_id"], r["row_number"]) for r in scan_bronze(spark, root, "live_chat").orderBy("id").collect()]
+    assert ids == [("b1", 0), ("b1", 1), ("b2", 0)]
+
     # A micro-batch that is run again writes the same rows in the same place.
     before = sorted(r["message_text"] or "" for r in chat.collect())
     ingest.store_batch(spark.createDataFrame([(chat_one,)], "value string"), 0, root, S)
@@ -100,5 +128,5 @@ def test_ingest_replay_restart_and_upsert(spark, tmp_path):
 
 def test_streams_work_as_batch_functions(spark):
     rows = messages(spark, [{"chatter_id": "x", "message_sent_at": at(0)}, {"chatter_id": "x", "channel": "b", "message_sent_at": at(1)}])
-    assert windows.quarter_hours(rows).collect()[0]["distinct_channel_count"] == 2
-    assert windows.running_counts(rows).count() == 2
+    assert windows.quarter_hours(windows.quarter_hour_parts(rows)).collect()[0]["distinct_channel_count"] == 2
+    assert windows.running_counts(rows).count() == 2 and windows.channel_running_counts(rows).count() == 2

@@ -27,17 +27,8 @@ def _part(spark: SparkSession, d: str) -> DataFrame:
 # Sources ---------------------------------------------------------------------------
 
 
-def _lines(spark, d):
-    """The lines as a capture process leaves them: written once to the shared folder. Parsing
-    then starts from a stored column instead of from the expression that makes up a line."""
-    path = scratch_dir(configure(spark), "lines")
-    lines = raw.chat_lines(_base(spark, d))
-    lines.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(lines.schema).parquet(path)
-
-
 def parse_chat_lines(spark, d):
-    return chat_lines.parse_chat_lines(_lines(spark, d))
+    return chat_lines.parse_chat_lines(raw.chat_lines(_base(spark, d)))
 
 
 def parse_badges(spark, d):
@@ -52,7 +43,7 @@ def parse_emotes(spark, d):
 
 def build_chat_rows(spark, d):
     b = _base(spark, d)
-    return chat_lines.build_chat_rows(parse_chat_lines(spark, d), raw.roster(b), "captured_at", S)
+    return chat_lines.build_chat_rows(parse_chat_lines(spark, d), raw.roster(b), "captured_at")
 
 
 def enrich_accounts(spark, d):
@@ -122,8 +113,7 @@ def roster_additions(spark, d):
 
 def recover_replay_chat(spark, d):
     documents = raw.replay_documents(tables.read(configure(spark), d, "conversations"))
-    # The numbering follows a hash of the video id; tests check that it has no gaps.
-    return replay.recover_replay_chat(documents, "recovered", S).drop("row_number")
+    return replay.recover_replay_chat(documents, "recovered")
 
 
 # Envelopes and stores --------------------------------------------------------------
@@ -235,22 +225,28 @@ def source_freshness(spark, d):
 
 
 def gap_detection(spark, d):
-    return quality.gaps(tables.models(spark, d).stg_chat, "message_sent_at", "id", 900, S, "channel")
+    return quality.gaps(tables.models(spark, d).stg_chat, "message_sent_at", 900, S, "channel")
 
 
 def gap_detection_overall(spark, d):
-    return quality.gaps(tables.models(spark, d).stg_chat, "message_sent_at", "id", 60, S)
+    return quality.gaps(tables.models(spark, d).stg_chat, "message_sent_at", 60, S)
 
 
 # Streams ---------------------------------------------------------------------------
 
 
-def _chat_stream(spark, d):
-    return tables.live_chat(raw.events_stream(configure(spark), d))
+def _chat_stream(spark, d, batches=1):
+    return tables.live_chat(raw.events_stream(configure(spark), d, batches))
+
 
+def _snapshot_stream(spark, d, batches=1):
+    return tables.event_snapshots(raw.events_stream(configure(spark), d, batches))
 
-def _snapshot_stream(spark, d):
-    return tables.event_snapshots(raw.events_stream(configure(spark), d))
+
+def _followed(spark, stream, job):
+    root = scratch_dir(spark, "previous")
+    previous.start(stream, job, root, S).awaitTermination()
+    return previous.read(spark, job, root, S)
 
 
 def stream_dedup(spark, d):
@@ -259,33 +255,39 @@ def stream_dedup(spark, d):
 
 
 def stream_hourly_chat(spark, d):
-    return drain(spark, windows.hourly_chat(_chat_stream(spark, d)))
+    parts = windows.hourly_chat_parts(_chat_stream(spark, d))
+    return windows.hourly_chat(drain(spark, parts, windows.HOUR_KEYS))
 
 
 def stream_quarter_hour(spark, d):
-    return drain(spark, windows.quarter_hours(_chat_stream(spark, d)))
+    parts = windows.quarter_hour_parts(_chat_stream(spark, d))
+    return windows.quarter_hours(drain(spark, parts, windows.QUARTER_KEYS))
 
 
 def chat_running_counts(spark, d):
-    return drain(spark, windows.running_counts(_chat_stream(spark, d)), "complete")
+    return drain(spark, windows.running_counts(_chat_stream(spark, d)), ["channel", "chatter"])
+
+
+def channel_running_counts(spark, d):
+    return drain(spark, windows.channel_running_counts(_chat_stream(spark, d)), ["channel"])
 
 
 def stream_stall_alert(spark, d):
-    seen = drain(spark, windows.last_seen(_chat_stream(spark, d)), "complete")
+    seen = drain(spark, windows.last_seen(_chat_stream(spark, d)), ["channel"])
     return windows.stalled(seen, F.lit("2024-01-03 12:00:00").cast("timestamp"), 5)
 
 
 def stream_donation_deltas(spark, d):
-    return drain(spark, previous.donation_deltas(staging.snapshots(_snapshot_stream(spark, d))))
+    return _followed(spark, staging.snapshots(_snapshot_stream(spark, d, 3)), previous.DONATION_DELTAS)
 
 
 def stream_mode_changes(spark, d):
-    with_streamers = _snapshot_stream(spark, d).where(F.size("streamers") > 0)
-    return drain(spark, previous.mode_changes(with_streamers))
+    with_streamers = _snapshot_stream(spark, d, 3).where(F.size("streamers") > 0)
+    return _followed(spark, with_streamers, previous.MODE_CHANGES)
 
 
 def stream_channel_hops(spark, d):
-    return drain(spark, previous.channel_hops(_chat_stream(spark, d), S))
+    return _followed(spark, _chat_stream(spark, d, 3), previous.CHANNEL_HOPS)
 
 
 def stream_ingest(spark, d):
@@ -316,7 +318,7 @@ QUERIES = {
         append_dedup, staging_merge, upsert_latest, write_rolling_parquet, scan_bronze, dq_unique,
         dq_unique_combination, dq_not_null, dq_accepted_values, dq_between, dq_exclude_synthetic, source_freshness,
         gap_detection, gap_detection_overall, stream_dedup, stream_hourly_chat, stream_quarter_hour,
-        chat_running_counts, stream_stall_alert, stream_donation_deltas, stream_mode_changes, stream_channel_hops,
+        chat_running_counts, channel_running_counts, stream_stall_alert, stream_donation_deltas, stream_mode_changes, stream_channel_hops,
         stream_ingest,
     ]
 }

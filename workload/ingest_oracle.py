@@ -28,10 +28,10 @@ STEPS = {
     # Chat lines that are messages
     "lines": (
         "select event_id as id, make_timestamp(us + 1000000) as captured_at, us, k, user_id, "
-        f"'nick' || event_id as nick, channel, coalesce({t.CHAT['message_text']}, '') as txt, k % 9 <> 0 as tagged, "
+        f"'nick' || event_id as nick, channel, coalesce({t.CHAT['message_text']}, '') || case when k % 17 = 3 then chr(8232) || 'tail' || chr(13) || 'x' || chr(133) || 'y' else '' end as txt, k % 9 <> 0 as tagged, "
         f"{t.CHAT['chatter']} as display, {t.CHAT['chatter_id']} as uid, {t.CHAT['user_type']} as utype, "
         f"array_to_string(list_sort(list_filter({_TAGS}, lambda x: x is not null)), ',') as tagtext, "
-        f"{_BADGE_TEXT} as btag, {_EMOTE_TEXT} as etag from base where k % 13 <> 0"
+        f"{_BADGE_TEXT} as btag, {_EMOTE_TEXT} as etag from base"
     ),
     "typedlines": (
         "select id, upper(channel) as channel, case when tagged and k % 5 <> 0 then display else nick end as chatter, "
@@ -53,8 +53,7 @@ STEPS = {
         f"select {', '.join(f'{duck_expr(e)} as {n}' for n, e in t.EMOTES.items())}, p_partkey // 100 as page, p_partkey from part"
     ),
     "whole": (
-        "select *, max(fetched_at) over (partition by service, scope, channel, page) as page_at from pages "
-        "qualify page % 20 <> 7"
+        "select *, max(fetched_at) over (partition by service, scope, channel, page) as page_at from pages"
     ),
     "watch": (
         "select event_id as poll_id, make_timestamp(us) as snapshot_at, 'ch' || c as channel, 'bch' || c as broadcaster_id, "
@@ -71,7 +70,6 @@ STEPS = {
         "select * from emo qualify row_number() over (partition by service, scope, channel, emote_id "
         "order by fetched_at desc) = 1"
     ),
-    "closing": "select max(message_sent_at) - interval 15 minute as mark from chat",
 }
 
 _MOVES = (
@@ -138,7 +136,8 @@ RESULTS = {
         "('ch0', 'ch2', 'ch4', 'ch6') group by twitch_login"
     ),
     "recover_replay_chat": (
-        "select 'recovered' as batch_id, 'ch' || (conv_id % 12) as channel, role as chatter, 'id_' || role as chatter_id, "
+        "select 'recovered/ch' || (conv_id % 12) || '/' || conv_id || '-' || (turn // 100) as batch_id, "
+        "cast(row_number() over (partition by conv_id, turn // 100 order by turn) - 1 as int) as row_number, 'ch' || (conv_id % 12) as channel, role as chatter, 'id_' || role as chatter_id, "
         f"text as message_text, make_timestamp({t.T0} + (conv_id * 100 + turn) * 1000000) as message_sent_at, "
         f"make_timestamp({t.T0} + (conv_id * 100 + turn) * 1000000) as captured_at, 'vip=' || turn as badges, "
         "coalesce(array_to_string(list_sort(list_transform(map_entries(list_histogram(list_transform(list_filter("
@@ -207,12 +206,13 @@ RESULTS = {
     ),
     "stream_dedup": "select batch_id, row_number, channel, captured_at from chat",
     "stream_hourly_chat": (
-        "select hourly.* from hourly, closing where hour_bucket + interval 1 hour <= mark"
+        "select * from hourly"
     ),
     "stream_quarter_hour": (
-        "select qh.* from qh, closing where quarter_hour_bucket + interval 15 minute <= mark"
+        "select * from qh"
     ),
     "chat_running_counts": "select channel, chatter, count(*) as message_count from chat group by all",
+    "channel_running_counts": "select channel, count(*) as message_count from chat group by all",
     "stream_stall_alert": (
         f"select channel, last_seen_at, {d('m')} as silent_minutes from (select channel, max(captured_at) as last_seen_at, "
         f"{secs('max(captured_at)', chr(39) + '2024-01-03 12:00:00' + chr(39) + '::timestamp')} / 60 as m from chat "

@@ -9,9 +9,14 @@ from __future__ import annotations
 
 import re
 
+from streamtally.functions import text
 from workload import tables as t
 
 
+def _stems(stems: list[str]) -> str:
+    return f"regexp_matches(message_text, '(?i)\\b({'|'.join(stems)})')"
+
+
 def duck_expr(text: str) -> str:
     return text.replace("$US", "epoch_us(ts)").replace("$TS", "make_timestamp").replace("$DIV", "//")
 
@@ -254,12 +259,9 @@ RESULTS: dict[str, str] = {
             for name, cond in {
                 "punct_rate": "position('!!' in message_text) > 0",
                 "caps_rate": "length(message_text) > 3 and message_text = upper(message_text) and message_text <> lower(message_text)",
-                "emote_rate": "regexp_matches(message_text, '(?i)\\b(hype|kekw|lul|pog)')",
-                "positive_rate": (
-                    "regexp_matches(message_text, '(?i)\\b(adorable|bravo|excellent|genial|incroyable|love|magnifique|"
-                    "merci|parfait|super)')"
-                ),
-                "hostile_rate": "regexp_matches(message_text, '(?i)\\b(connard|connasse|debile|degage|idiot|ta gueule)')",
+                "emote_rate": _stems(text.HYPE_STEMS),
+                "positive_rate": _stems(text.POSITIVE_STEMS),
+                "hostile_rate": _stems(text.HOSTILE_STEMS),
             }.items()
         )
         + " from chat where message_sent_at is not null group by all having count(*) > 19"

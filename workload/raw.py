@@ -6,11 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from streamtally.session import scratch_dir
 from workload import tables
 
 
 def chat_lines(b: DataFrame) -> DataFrame:
-    """Lines as received, every ninth without tags, every thirteenth of another kind."""
+    """Lines as received, every ninth without tags; some with line terminators inside, and between them
+    lines of another kind."""
     wire = tables.project(
         b,
         {
@@ -27,13 +29,12 @@ def chat_lines(b: DataFrame) -> DataFrame:
         F.lit(" "),
     )
     sender = F.concat(F.lit(":nick"), F.col("id").cast("string"), F.lit("!n@n.example PRIVMSG #"), F.col("channel"))
-    message = F.concat(sender, F.lit(" :"), F.coalesce("message_text", F.lit("")))
-    line = (
-        F.when(F.col("k") % 13 == 0, F.lit("PING :example"))
-        .when(F.col("k") % 9 == 0, message)
-        .otherwise(F.concat(tags, message))
-    )
-    return wire.select("id", "captured_at", line.alias("value"))
+    inner = F.when(F.col("k") % 17 == 3, F.lit("\u2028tail\rx\u0085y")).otherwise("")
+    message = F.concat(sender, F.lit(" :"), F.coalesce("message_text", F.lit("")), inner)
+    line = F.when(F.col("k") % 9 == 0, message).otherwise(F.concat(tags, message))
+    ended = F.when(F.col("k") % 4 == 0, F.concat(line, F.lit("\r\n"))).otherwise(line)
+    other = F.when(F.col("k") % 13 == 0, F.array(ended, F.lit("PING :example"))).otherwise(F.array(ended))
+    return wire.select("id", "captured_at", F.explode(other).alias("value"))
 
 
 def roster(b: DataFrame) -> DataFrame:
@@ -110,7 +111,7 @@ def goals(part: DataFrame) -> DataFrame:
 
 def emote_responses(part: DataFrame) -> DataFrame:
     """API responses of at most a hundred emotes, in the shape of their service; one in
-    twenty is cut off."""
+    twenty came a second time, cut off."""
     catalog = tables.project(part, {**tables.EMOTES, "page": "p_partkey div 100", "key": "p_partkey", "size": "p_size"})
     named = F.struct(F.col("emote_id").alias("id"), F.col("emote_code").alias("name"))
     coded = F.struct(F.col("emote_id").alias("id"), F.col("emote_code").alias("code"))
@@ -134,8 +135,8 @@ def emote_responses(part: DataFrame) -> DataFrame:
         .when(whole, F.to_json(F.struct(F.array(F.lit("3"), F.lit("9")).alias("default_sets"), sets.alias("sets"))))
         .otherwise(F.to_json(F.struct(sets.alias("sets"))))
     )
-    cut = F.when(F.col("page") % 20 == 7, F.substring(body, 1, 12)).otherwise(body)
-    return pages.select("service", "scope", "channel", "fetched_at", cut.alias("body"))
+    came = F.when(F.col("page") % 20 == 7, F.array(body, F.substring(body, 1, 12))).otherwise(F.array(body))
+    return pages.select("service", "scope", "channel", "fetched_at", F.explode(came).alias("body"))
 
 
 def live_streams(b: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -227,8 +228,12 @@ def replay_documents(conversations: DataFrame) -> DataFrame:
     )
 
 
-def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events table as a stream, squeezed like `tables.base`."""
-    schema = tables.read(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    return tables.base_of(stream)
+def events_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
+    """The events table as a stream, squeezed like `tables.base`; in several micro-batches, rows come in no order."""
+    events = tables.read(spark, sf_dir, "events")
+    reader = spark.readStream.schema(events.schema)
+    if batches == 1:
+        return tables.base_of(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    path = scratch_dir(spark, "events")
+    events.repartition(batches, F.xxhash64("event_id")).write.parquet(path)
+    return tables.base_of(reader.option("maxFilesPerTrigger", 1).parquet(path))

@@ -21,6 +21,7 @@ from streamtally.settings import Settings
 SLICE = "_slice"
 _CUT_FROM = "_cut_from"
 _WHOLE = -1  # slice of a key that was not cut
+CELLS = 1 << 24
 
 
 def micros(ts: str) -> Column:
@@ -36,6 +37,22 @@ def _ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(name).asc_nulls_last() for name in order]
 
 
+def _slice_of(starts: Column, cell: Column, most: int) -> Column:
+    """Number of the last of the ascending `starts` at or below the cell, by halving."""
+    steps = F.sequence(F.lit(1), F.lit(max(1, most.bit_length())))
+    whole = F.struct(F.lit(1).alias("low"), F.size(starts).alias("high"))
+
+    def halve(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"] + 1) / 2).cast("int")
+        below = F.element_at(starts, middle) <= cell
+        return F.struct(
+            F.when(below, middle).otherwise(span["low"]).alias("low"),
+            F.when(below, span["high"]).otherwise(F.greatest(middle - 1, span["low"])).alias("high"),
+        )
+
+    return F.aggregate(steps, whole, halve, lambda span: span["low"])
+
+
 def slice_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
@@ -46,31 +63,38 @@ def slice_hot_keys(
 ) -> DataFrame:
     """Adds `_slice`; slices of one key are ordered like `axis`.
 
-    Slice borders are a pure function of the data (count, minimum and maximum per
-    key), so a recomputed partition lands in the same slice. The broadcast table
-    has at most rows / hot_key_rows rows. Where `df` is costly to compute, pass in
-    `extent_of` a cheaper table with the same keys and axis values.
+    A hot key is cut by row count: its rows are counted in CELLS equal cells between its smallest and
+    greatest axis value, and a slice takes cells until it has `hot_slice_rows`. Skewed values and single
+    outliers thus do not matter as long as a cell stays small; rows with equal axis values stay together.
+    The borders are exact counts, hence a pure function of the data: a recomputed partition lands in
+    the same slices. The broadcast table has at most rows / hot_slice_rows borders. Where `df` is costly
+    to compute, pass in `extent_of` a cheaper table with the same keys and axis values.
     """
-    spread = df.withColumn("_axis", axis.cast("double"))
-    measured = spread if extent_of is None else extent_of.withColumn("_axis", axis.cast("double"))
+    by = list(keys) or ["_everything"]
+
+    def on_axis(rows: DataFrame) -> DataFrame:
+        placed = rows.withColumn("_axis", axis.cast("double"))
+        return placed if keys else placed.withColumn("_everything", F.lit(0))
+
+    spread = on_axis(df)
+    measured = spread if extent_of is None else on_axis(extent_of)
     extent = [F.count(F.lit(1)).alias("_n"), F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi")]
-    large = F.col("_n") > settings.hot_key_rows
-    if keys:
-        hot = measured.groupBy(*keys).agg(*extent).where(large).select(*keys, "_lo", "_hi")
-        spread = spread.join(F.broadcast(hot), list(keys), "left")
-    else:
-        whole = measured.agg(*extent)
-        spread = spread.withColumn("_lo", whole.select(F.when(large, F.col("_lo"))).scalar())
-        spread = spread.withColumn("_hi", whole.select(F.when(large, F.col("_hi"))).scalar())
-    n = settings.hot_key_slices
-    position = F.floor((F.col("_axis") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(n))
+    hot = measured.groupBy(*by).agg(*extent).where(F.col("_n") > settings.hot_key_rows).select(*by, "_lo", "_hi")
+    place = F.floor((F.col("_axis") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(CELLS)))
+    cell = F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("int")
+    counted = measured.where(F.col("_axis").isNotNull()).join(F.broadcast(hot), by).groupBy(*by, "_lo", "_hi", cell.alias("_cell")).count()
+    earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.coalesce(F.sum("count").over(earlier), F.lit(0)) / F.lit(settings.hot_slice_rows))
+    firsts = counted.withColumn("_number", number).groupBy(*by, "_lo", "_hi", "_number").agg(F.min("_cell").alias("_first"))
+    borders = firsts.groupBy(*by, "_lo", "_hi").agg(F.array_sort(F.collect_list("_first")).alias("_starts"))
+    joined = spread.join(F.broadcast(borders), by, "left")
     cut = (
         F.when(F.col("_lo").isNull(), F.lit(_WHOLE))
-        .when(F.col("_axis").isNull(), F.lit(0 if nulls_first else n + 1))
-        .when(F.col("_hi") > F.col("_lo"), F.least(position, F.lit(n - 1)) + 1)
-        .otherwise(F.lit(1))
+        .when(F.col("_axis").isNull(), F.lit(0) if nulls_first else F.size("_starts") + 1)
+        .otherwise(_slice_of(F.col("_starts"), cell, CELLS))
     )
-    return spread.withColumn(SLICE, cut.cast("int")).withColumnRenamed("_lo", _CUT_FROM).drop("_axis", "_hi")
+    sliced = joined.withColumn(SLICE, cut.cast("int")).withColumnRenamed("_lo", _CUT_FROM)
+    return sliced.drop("_axis", "_hi", "_starts", "_everything")
 
 
 def uncut(df: DataFrame) -> DataFrame:

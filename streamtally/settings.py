@@ -30,10 +30,10 @@ class Settings:
     as_of: dt.datetime = dt.datetime(2024, 2, 1, tzinfo=dt.timezone.utc)
 
     # Physical knobs.
-    # A key with more rows than this has its ordered sequence cut into slices.
+    # A key with more rows than this has its ordered sequence cut into slices of about hot_slice_rows rows.
     # At most rows/hot_key_rows keys can qualify, which bounds the hot-key table.
     hot_key_rows: int = 5_000_000
-    hot_key_slices: int = 8192
+    hot_slice_rows: int = 1_000_000
     # Up to this many batch ids of a micro-batch are looked up through a filter pushed to the files.
     pushed_ids: int = 1000
     # Channel pairs one row may fan out to before its work is split over more rows.

@@ -9,7 +9,7 @@ from workload import queries, tables
 
 SF_DIR = "/root/testdata/sf0.001"
 TIGHT = Settings(
-    hot_key_rows=10, hot_key_slices=13, pairs_per_piece=3, interval_cell_seconds=600
+    hot_key_rows=10, hot_slice_rows=4, pairs_per_piece=3, interval_cell_seconds=600
 )
 SQL = contract.oracle_sql()
 SLICED = [
@@ -49,9 +49,30 @@ def test_slices_follow_the_axis_and_split_one_key(spark):
     from streamtally.operators.ordered import SLICE, slice_hot_keys
 
     rows = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
-    cut = slice_hot_keys(rows, ["k"], F.col("id"), Settings(hot_key_rows=100, hot_key_slices=20))
+    cut = slice_hot_keys(rows, ["k"], F.col("id"), Settings(hot_key_rows=100, hot_slice_rows=17))
     sizes = {r[SLICE]: r["n"] for r in cut.groupBy("k", SLICE).agg(F.count("*").alias("n")).where("k = 'hot'").collect()}
     assert len(sizes) == 20 and max(sizes.values()) <= 18
     assert {r[SLICE] for r in cut.where("k <> 'hot'").select(SLICE).distinct().collect()} == {-1}
     ordered = [r[SLICE] for r in cut.where("k = 'hot'").orderBy("id").collect()]
     assert ordered == sorted(ordered)
+
+
+@pytest.mark.parametrize("axis", ["outlier", "pareto", "equal"])
+def test_slices_hold_about_the_same_rows(spark, axis):
+    from pyspark.sql import functions as F
+
+    from streamtally.operators.ordered import SLICE, previous_row, slice_hot_keys
+
+    n, target = 4000, 100
+    value = {
+        "outlier": F.when(F.col("id") == 0, 0).otherwise(F.lit(1_700_000_000_000_000) + F.col("id") * 3_600_000_000),
+        "pareto": F.floor(F.lit(1e9) / F.pow(F.lit(n + 1.0) - F.col("id"), 1.2)),
+        "equal": F.lit(5),
+    }[axis]
+    rows = spark.range(n).select(F.lit("hot").alias("k"), value.cast("long").alias("at"), "id")
+    cut = slice_hot_keys(rows, ["k"], F.col("at"), Settings(hot_key_rows=1000, hot_slice_rows=target))
+    sizes = [r["count"] for r in cut.groupBy(SLICE).count().collect()]
+    most_equal = max(r["count"] for r in rows.groupBy("at").count().collect())
+    assert max(sizes) <= 2 * max(target, most_equal)
+    got = {r["id"]: r["prev"] and r["prev"]["id"] for r in previous_row(cut, ["k"], ["at", "id"], ["id"]).collect()}
+    assert got == {i: i - 1 if i else None for i in range(n)}

@@ -68,7 +68,7 @@ def test_previous_row_of_a_hot_key_out_of_order(spark, tmp_path):
     order = list(range(120))
     rng.shuffle(order)
     feeds = [[{**rows[i], "id": i, "row_number": i} for i in order[k::8]] for k in range(8)]
-    tight, root = Settings(hot_key_rows=10, hot_key_slices=5), str(tmp_path / "job")
+    tight, root = Settings(hot_key_rows=10, hot_slice_rows=5), str(tmp_path / "job")
     previous.start(feed(spark, tmp_path / "in", *feeds), previous.CHANNEL_HOPS, root, tight).awaitTermination()
     got = Counter((r["chatter_id"], r["from_channel"], r["to_channel"], r["departed_at"], r["arrived_at"]) for r in previous.read(spark, previous.CHANNEL_HOPS, root, tight).collect())
     want = Counter()

@@ -97,6 +97,18 @@ class Rule:
         return between(df, self.columns[0], *self.bounds, self.severity)
 
 
+    def counted(self) -> Column:
+        """The number of `violations` as an aggregate, for all checks but uniqueness."""
+        c = F.col(self.columns[0])
+        if self.check == "not_null":
+            return F.count_if(c.isNull())
+        if self.check == "accepted_values":
+            return F.count_distinct(F.when(~c.isin(list(self.values)), c))
+        low, high = self.bounds
+        outside = (c < low if low is not None else F.lit(False)) | (c > high if high is not None else F.lit(False))
+        return F.count_if(outside)
+
+
 def _unique(model: str, *columns: str) -> Rule:
     return Rule(model, "unique", columns)
 
@@ -170,20 +182,28 @@ RULES: list[Rule] = [
 
 
 def report(models, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row per rule with its number of violations."""
-    counted = [
-        rule.violations(getattr(models, rule.model))
-        .agg(rows().alias("violations"))
-        .select(
-            F.lit(rule.model).alias("model"),
-            F.lit(rule.check).alias("check"),
-            F.lit(",".join(rule.columns)).alias("columns"),
-            F.lit(rule.severity).alias("severity"),
-            "violations",
-        )
-        for rule in rules
-    ]
-    result = counted[0]
-    for other in counted[1:]:
+    """One row per rule with its number of violations. A model is read once for all its rules on single
+    rows and values, and once more for each uniqueness rule."""
+    by_model: dict[str, list[Rule]] = {}
+    for rule in rules:
+        by_model.setdefault(rule.model, []).append(rule)
+
+    def row(rule: Rule, violations: Column) -> Column:
+        named = {"model": rule.model, "check": rule.check, "columns": ",".join(rule.columns), "severity": rule.severity}
+        return F.struct(*[F.lit(v).alias(k) for k, v in named.items()], violations.alias("violations"))
+
+    parts: list[DataFrame] = []
+    for model, own in by_model.items():
+        df = getattr(models, model)
+        plain = [r for r in own if r.check != "unique"]
+        if plain:
+            counted = df.agg(*[r.counted().alias(f"_v{i}") for i, r in enumerate(plain)])
+            parts.append(counted.select(F.inline(F.array(*[row(r, F.col(f"_v{i}")) for i, r in enumerate(plain)]))))
+        for rule in own:
+            if rule.check == "unique":
+                twice = unique_combination(df, rule.columns).agg(rows().alias("_v"))
+                parts.append(twice.select(F.inline(F.array(row(rule, F.col("_v"))))))
+    result = parts[0]
+    for other in parts[1:]:
         result = result.unionByName(other)
     return result

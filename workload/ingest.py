@@ -219,6 +219,12 @@ def dq_exclude_synthetic(spark, d):
     return stores.without_synthetic(tables.models(spark, d).stg_chat, prefix="ch1").select("id", "channel")
 
 
+def quality_report(spark, d):
+    """All rules on the staged tables."""
+    staged = [r for r in quality.RULES if r.model.startswith("stg_")]
+    return quality.report(tables.models(spark, d), staged)
+
+
 def source_freshness(spark, d):
     as_of = F.lit("2024-01-03 12:20:00").cast("timestamp")
     return quality.freshness(tables.models(spark, d).stg_chat, "ingested_at", S, as_of)
@@ -316,7 +322,7 @@ QUERIES = {
         merge_channel_emote_lists, emote_catalog_counts, build_metadata_snapshots, poll_summary, stream_end_events,
         roster_additions, recover_replay_chat, explode_envelope, typed_chat_rows, route_by_stream, quarantine,
         append_dedup, staging_merge, upsert_latest, write_rolling_parquet, scan_bronze, dq_unique,
-        dq_unique_combination, dq_not_null, dq_accepted_values, dq_between, dq_exclude_synthetic, source_freshness,
+        dq_unique_combination, dq_not_null, dq_accepted_values, dq_between, dq_exclude_synthetic, quality_report, source_freshness,
         gap_detection, gap_detection_overall, stream_dedup, stream_hourly_chat, stream_quarter_hour,
         chat_running_counts, channel_running_counts, stream_stall_alert, stream_donation_deltas, stream_mode_changes, stream_channel_hops,
         stream_ingest,

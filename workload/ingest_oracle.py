@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from streamtally.plans.quality import RULES
 from workload import tables as t
 from workload.oracle import d, duck_expr, eur, flat, secs
 
@@ -230,3 +231,21 @@ RESULTS = {
     ),
 }
 RESULTS["dq_freshness"] = RESULTS["source_freshness"]
+
+
+def _violations(rule) -> str:
+    source, column = f"({_STAGED[rule.model]})", rule.columns[0]
+    if rule.check == "unique":
+        listed = ", ".join(rule.columns)
+        known = f"where {column} is not null " if len(rule.columns) == 1 else ""
+        found = f"select count(*) from (select {listed} from {source} {known}group by {listed} having count(*) > 1)"
+    elif rule.check == "not_null":
+        found = f"select count(*) from {source} where {column} is null"
+    else:
+        accepted = ", ".join(f"'{v}'" for v in rule.values)
+        found = f"select count(distinct {column}) from {source} where {column} not in ({accepted})"
+    return f"select '{rule.model}' as model, '{rule.check}' as \"check\", '{','.join(rule.columns)}' as columns, '{rule.severity}' as severity, ({found}) as violations"
+
+
+_STAGED = {"stg_chat": "select * from chat", "stg_metadata": "select * from meta", "stg_goals": "select * from goals", "stg_emotes": "select * from emo"}
+RESULTS["quality_report"] = " union all ".join(_violations(r) for r in RULES if r.model in _STAGED)

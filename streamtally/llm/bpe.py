@@ -31,7 +31,7 @@ PATTERN = (
 # A space between other white space (or at the very end after some): there the text cannot be cut at its spaces.
 UNSAFE = re.compile(rf"[{SPACE}] (?:[{SPACE}]|\Z)")
 
-MAX_CACHED = 400_000
+MAX_CACHED = 250_000
 
 
 def byte_letters() -> dict[str, int]:

@@ -10,20 +10,24 @@ BASE = 0x9E3779B97F4A7C15
 ASCII_WHITE = (9, 10, 11, 12, 13, 32)
 
 
-@lru_cache(maxsize=2)
+_powers: list[np.ndarray] = []
+
+
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE^k and BASE^-k modulo 2^64 for k < n."""
-    both = []
-    for base in (BASE, pow(BASE, -1, 1 << 64)):
-        out = np.full(n, base, np.uint64)
-        out[0] = 1
-        both.append(np.multiply.accumulate(out))
-    return both[0], both[1]
+    """BASE^k and BASE^-k modulo 2^64 for k < n at least; one table per worker, which grows as needed."""
+    if not _powers or len(_powers[0]) < n:
+        size = 1 << max(20, (n - 1).bit_length())
+        _powers.clear()
+        for base in (BASE, pow(BASE, -1, 1 << 64)):
+            out = np.full(size, base, np.uint64)
+            out[0] = 1
+            _powers.append(np.multiply.accumulate(out))
+    return _powers[0], _powers[1]
 
 
 def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, place: np.ndarray | None = None) -> np.ndarray:
     """Order-sensitive hash of values[start:end]; value k stands at place[k], else at k."""
-    up, down = powers(1 << max(20, int(len(values)).bit_length()))
+    up, down = powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, np.uint64)
     n = len(values)
     np.cumsum(values * (up[:n] if place is None else up[place[:n]]), out=sums[1:])

@@ -40,7 +40,7 @@ CENTRES = 16
 
 @dataclass(frozen=True)
 class Limits:
-    max_docs: int = 3000
+    max_docs: int = 1000
     max_shingles: int = 3_000_000
 
 
@@ -301,7 +301,8 @@ def confirm(texts: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def block_links(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b: links between the queries and the others of each block, rows (block, id, text, query)."""
+    """a, b: links between the queries and the others of each block, rows (block, id, text, query); of the
+    links only as many as connect the same sets."""
 
     def run(batches):
         for _, parts in _groups(batches, "block"):
@@ -310,9 +311,18 @@ def block_links(rows: DataFrame, k: int, percent: int) -> DataFrame:
             if query.all():
                 continue
             index, own = Sets([s for s, q in zip(sets, query, strict=True) if not q]), ids[~query]
-            for i in np.flatnonzero(query):
-                hit = own[index.linked(sets[i], percent)]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), ids[i])), pa.array(hit)], ["a", "b"])
+            label = np.arange(len(ids))  # of the block's own sets, then of the queries: what the links found so far connect
+            links = []
+            for me, i in enumerate(np.flatnonzero(query).tolist(), len(own)):
+                hit = np.flatnonzero(index.linked(sets[i], percent))
+                classes, firsts = np.unique(label[hit], return_index=True)
+                links += [(int(ids[i]), int(own[hit[f]])) for f in firsts]
+                if len(classes):
+                    label[np.isin(label, classes)] = classes[0]
+                    label[me] = classes[0]
+            if links:
+                a, b = zip(*links, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     dealt = rows.select("block", "id", "text", "query").repartition("block").sortWithinPartitions("block")
     return dealt.mapInArrow(run, "a long, b long")

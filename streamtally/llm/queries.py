@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from streamtally.llm import bpe, fingerprints, language, near_dups, packing, quality, repeats, shards, urls, warc
+from streamtally.llm import bpe, fingerprints, language, near_dups, oracle, packing, quality, repeats, shards, urls, warc
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,4 +92,4 @@ QUERIES: dict[str, Query] = {
     "op9_bpe": op9_bpe,
     "op10_language_codes": op10_language_codes,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = oracle.ORACLE

@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from streamtally.llm.common import partitions
 from streamtally.llm.hashes import byte_noise, mixed, powers
 
 LENGTH, GRAM = 50, 24
@@ -343,12 +342,11 @@ def _answers(table: pa.Table) -> dict[int, bytes]:
     return dict(zip(table["bucket"].to_pylist(), table["answer"].to_pylist(), strict=True))
 
 
-def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[str] | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """Rows made by `finish(table of the batch's documents, Batch, removed runs of each)`, a pyarrow table per batch."""
-    spark = df.sparkSession
     volume = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(partitions(spark), -(-volume // BATCH_BYTES))
-    buckets = max(2 * partitions(spark), -(-volume // (2 * BATCH_BYTES)))
+    # Both follow the volume alone: what batches and buckets tell each other must not grow with the cluster.
+    batches, buckets = max(1, -(-volume // batch_bytes)), max(1, -(-volume // (4 * batch_bytes)))
     text = F.coalesce("text", F.lit(""))
     extra = [c for c in carry or [] if c not in ("doc_id", "text")]
     placed = df.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), *extra).withColumn(
@@ -393,7 +391,7 @@ def _steady(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def removed_digests(df: DataFrame) -> DataFrame:
+def removed_digests(df: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed runs as byte offsets."""
 
     def finish(table, rows, gone):
@@ -411,7 +409,7 @@ def removed_digests(df: DataFrame) -> DataFrame:
         )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    return remove_repeats(df, finish, schema)
+    return remove_repeats(df, finish, schema, batch_bytes=batch_bytes)
 
 
 def cleaned(df: DataFrame) -> DataFrame:

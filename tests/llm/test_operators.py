@@ -158,7 +158,7 @@ def test_shards_split_a_hot_value(spark):
 @pytest.mark.parametrize("table", ["docs", "odd"])
 def test_repeats(table, request):
     df = request.getfixturevalue(table)
-    got = {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in by_id(repeats.removed_digests(df)).items()}
+    got = {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in by_id(repeats.removed_digests(df, 4000)).items()}
     assert got == brute.repeats(pairs(df))
 
 
@@ -171,7 +171,7 @@ def test_repeats_of_periodic_and_shared_texts(spark, seed):
         parts = [rng.choice(base)[rng.randint(0, 30) :][: rng.randint(40, 150)] for _ in range(rng.randint(0, 4))]
         rows.append((i, rng.choice(["", "-", "ab"]).join(parts)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in by_id(repeats.removed_digests(df)).items()}
+    got = {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in by_id(repeats.removed_digests(df, 300)).items()}
     assert got == brute.repeats(rows)
 
 

@@ -70,31 +70,38 @@ def slice_hot_keys(
     the same slices. The broadcast table has at most rows / hot_slice_rows borders. Where `df` is costly
     to compute, pass in `extent_of` a cheaper table with the same keys and axis values.
     """
-    by = list(keys) or ["_everything"]
-
-    def on_axis(rows: DataFrame) -> DataFrame:
-        placed = rows.withColumn("_axis", axis.cast("double"))
-        return placed if keys else placed.withColumn("_everything", F.lit(0))
-
-    spread = on_axis(df)
-    measured = spread if extent_of is None else on_axis(extent_of)
+    by = list(keys)
+    spread = df.withColumn("_axis", axis.cast("double"))
+    measured = spread if extent_of is None else extent_of.withColumn("_axis", axis.cast("double"))
     extent = [F.count(F.lit(1)).alias("_n"), F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi")]
-    hot = measured.groupBy(*by).agg(*extent).where(F.col("_n") > settings.hot_key_rows).select(*by, "_lo", "_hi")
+    large = F.col("_n") > settings.hot_key_rows
     place = F.floor((F.col("_axis") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.lit(float(CELLS)))
     cell = F.when(F.col("_hi") > F.col("_lo"), F.least(place, F.lit(CELLS - 1))).otherwise(F.lit(0)).cast("int")
-    counted = measured.where(F.col("_axis").isNotNull()).join(F.broadcast(hot), by).groupBy(*by, "_lo", "_hi", cell.alias("_cell")).count()
-    earlier = Window.partitionBy(*by).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*by).orderBy("_slice_cell").rowsBetween(Window.unboundedPreceding, -1)
     number = F.floor(F.coalesce(F.sum("count").over(earlier), F.lit(0)) / F.lit(settings.hot_slice_rows))
-    firsts = counted.withColumn("_number", number).groupBy(*by, "_lo", "_hi", "_number").agg(F.min("_cell").alias("_first"))
-    borders = firsts.groupBy(*by, "_lo", "_hi").agg(F.array_sort(F.collect_list("_first")).alias("_starts"))
-    joined = spread.join(F.broadcast(borders), by, "left")
+
+    def borders(hot_rows: DataFrame, kept: Sequence[str]) -> DataFrame:
+        counted = hot_rows.where(F.col("_axis").isNotNull()).groupBy(*kept, cell.alias("_slice_cell")).count()
+        firsts = counted.withColumn("_number", number).groupBy(*kept, "_number").agg(F.min("_slice_cell").alias("_first"))
+        return firsts.groupBy(*kept).agg(F.array_sort(F.collect_list("_first")).alias("_starts"))
+
+    if keys:
+        hot = measured.groupBy(*by).agg(*extent).where(large).select(*by, "_lo", "_hi")
+        kept = [*by, "_lo", "_hi"]
+        joined = spread.join(F.broadcast(borders(measured.join(F.broadcast(hot), by), kept)), by, "left")
+    else:
+        # One row; as scalars it needs no join, and a short sequence is not read again.
+        whole = measured.agg(*extent)
+        ends = {c: whole.select(F.when(large, F.col(c))).scalar() for c in ("_lo", "_hi")}
+        starts = borders(measured.withColumns(ends).where(F.col("_lo").isNotNull()), []).select("_starts").scalar()
+        joined = spread.withColumns({**ends, "_starts": starts})
     cut = (
         F.when(F.col("_lo").isNull(), F.lit(_WHOLE))
         .when(F.col("_axis").isNull(), F.lit(0) if nulls_first else F.size("_starts") + 1)
         .otherwise(_slice_of(F.col("_starts"), cell, CELLS))
     )
     sliced = joined.withColumn(SLICE, cut.cast("int")).withColumnRenamed("_lo", _CUT_FROM)
-    return sliced.drop("_axis", "_hi", "_starts", "_everything")
+    return sliced.drop("_axis", "_hi", "_starts")
 
 
 def uncut(df: DataFrame) -> DataFrame:

@@ -23,8 +23,8 @@ def rank_descending(
 
     Rows are first reduced to one per distinct value with its row count; the rank
     of a value is one plus the rows on greater values. Rows that share a value
-    therefore never meet in one window partition, however many they are. `keys`
-    must not be null. Where `df` is costly to compute, pass the reduced table (keys, value,
+    therefore never meet in one window partition, however many they are. A null key is a
+    key of its own. Where `df` is costly to compute, pass the reduced table (keys, value,
     `_rows`) in `levels`.
     """
     if levels is None:
@@ -37,5 +37,5 @@ def rank_descending(
     )
     match = F.col(value).eqNullSafe(F.col("_level"))
     for k in keys:
-        match = match & (F.col(k) == F.col(f"_k_{k}"))
+        match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return df.join(ranked, match).drop("_level", *[f"_k_{k}" for k in keys])

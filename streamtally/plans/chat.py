@@ -9,6 +9,7 @@ from streamtally.functions import text
 from streamtally.functions.ratio import ratio, rows, when_positive
 from streamtally.functions.time import day_of, hour_of
 from streamtally.operators.product import each_with_all
+from streamtally.operators.ranking import rank_descending
 from streamtally.schemas import GLOBAL_CHANNEL
 from streamtally.settings import Settings
 
@@ -107,14 +108,12 @@ def emote_catalog_coverage(chat: DataFrame, catalog: DataFrame, usage: DataFrame
     )
 
 
-def emote_trends(usage: DataFrame) -> DataFrame:
-    """Daily use and rank; after the aggregate a channel-day holds one row per emote."""
-    best = Window.partitionBy("channel", "day_bucket").orderBy(F.col("usage_count").desc_nulls_first())
-    return (
-        usage.groupBy("channel", "service", "emote_id", day_of("hour_bucket").alias("day_bucket"))
-        .agg(F.sum("usage_count").alias("usage_count"))
-        .withColumn("rank_within_channel_day", F.rank().over(best))
+def emote_trends(usage: DataFrame, settings: Settings) -> DataFrame:
+    """Daily use and rank. No catalog bounds the emotes of a channel-day, so no task orders all of them."""
+    daily = usage.groupBy("channel", "service", "emote_id", day_of("hour_bucket").alias("day_bucket")).agg(
+        F.sum("usage_count").alias("usage_count")
     )
+    return rank_descending(daily, ["channel", "day_bucket"], "usage_count", "rank_within_channel_day", settings)
 
 
 def emote_catalog_utilization(coverage: DataFrame) -> DataFrame:

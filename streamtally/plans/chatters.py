@@ -203,12 +203,13 @@ def enriched(rolled: DataFrame, rhythm: DataFrame, settings: Settings) -> DataFr
 
 def leaderboard(channels: DataFrame, rolled: DataFrame, settings: Settings) -> DataFrame:
     totals = rolled.select("chatter_id", "chatter", "distinct_channel_count", "total_message_count")
-    joined = channels.join(totals, "chatter_id")
     in_channel = channels.groupBy("channel", "message_count").agg(rows().alias("_rows"))
     # A chatter stands on as many rows as it has channels, and each of them counts.
     overall = totals.groupBy("total_message_count").agg(F.sum("distinct_channel_count").alias("_rows"))
-    ranked = rank_descending(joined, ["channel"], "message_count", "rank_within_channel", settings, in_channel)
-    return rank_descending(ranked, [], "total_message_count", "rank_global", settings, overall).select(
+    # The totals are ranked before they meet the channels, where each would be many rows.
+    placed = rank_descending(totals, [], "total_message_count", "rank_global", settings, overall)
+    joined = channels.join(placed, "chatter_id")
+    return rank_descending(joined, ["channel"], "message_count", "rank_within_channel", settings, in_channel).select(
         "chatter_id", "chatter", "channel", "message_count", "active_hours", "first_message_at", "last_message_at",
         "distinct_channel_count", "total_message_count", "rank_within_channel", "rank_global",
     )

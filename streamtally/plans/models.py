@@ -77,7 +77,7 @@ class Models:
 
     @cached_property
     def emote_trends(self):
-        return chat.emote_trends(self.emote_usage)
+        return chat.emote_trends(self.emote_usage, self.settings)
 
     @cached_property
     def emote_catalog_utilization(self):

@@ -19,8 +19,10 @@ CRLF = "\r\n"
 # Named character references that are replaced; numeric ones are all replaced.
 ENTITIES = {"&nbsp;": " ", "&middot;": "·", "&copy;": "©", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
 LINK = r"""(?is)<(a|area|link|img|script|iframe|form|source)\b[^>]*?\s(href|src|action)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-COMMENT = r"(?s)<!--.*?-->"
-SCRIPT = r"(?is)(<(script|style|noscript|template)\b[^>]*>).*?</\2\s*>"
+# Comments go; of scripts and the like the opening tag stays, as it may hold a link.
+UNSHOWN = r"(?is)<!--.*?-->|(<(script|style|noscript|template)\b[^>]*>).*?</\2\s*>"
+# White space other than a single blank.
+WHITE_RUN = r"[ ]*[\t\n\x0B\f\r]\s*|[ ]{2,}"
 BREAK = r"(?i)</?(p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|nav|footer|header|title|body|head|html)\b[^>]*>"
 TAG = r"(?s)</?[a-zA-Z!][^>]*>"
 
@@ -86,14 +88,18 @@ def unescape(text: Column) -> Column:
     return out
 
 
-def plain_text(html: Column) -> Column:
-    """Visible text of markup without comments and scripts' text: tags dropped, block tags ending lines, white space folded."""
-    lined = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, r"\s+", " "), BREAK, "\n"), TAG, "")
-    return F.regexp_replace(F.regexp_replace(unescape(lined), r"[  ]*\n[  \n]*", "\n"), r"^\s+|\s+$", "")
+def lines_of(html: Column) -> Column:
+    """Markup without comments and scripts' text as lines: tags dropped, block tags ending lines, white space folded."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(html, WHITE_RUN, " "), BREAK, "\n"), TAG, "")
 
 
-def title(html: Column) -> Column:
-    return unescape(F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1), r"\s+", " ")))
+def plain_text(lines: Column) -> Column:
+    """Visible text of `lines_of`: references replaced, no blanks around line ends."""
+    return F.btrim(F.regexp_replace(unescape(lines), "[ \u00a0]*\\n[ \u00a0\\n]*", "\n"), F.lit(" \t\n\x0b\f\r"))
+
+
+def title_of(html: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1), r"\s+", " "))
 
 
 def derive(df: DataFrame) -> DataFrame:
@@ -103,13 +109,15 @@ def derive(df: DataFrame) -> DataFrame:
     """
     payload = F.coalesce("payload", F.lit(""))
     headers = F.coalesce("http_headers", F.lit(""))
-    markup = F.regexp_replace(F.regexp_replace(payload, COMMENT, ""), SCRIPT, "$1")
+    markup = F.regexp_replace(payload, UNSHOWN, "$1")
     bare = df.select(
         "page_id", F.col("record_id").alias("refers_to"), "target_uri", "date", headers.alias("http_headers"),
         sha1(F.encode(payload, "UTF-8")).alias("payload_digest"), markup.alias("markup"),
     )
     shown = F.col("markup")
-    read = bare.withColumns({"links": links(shown), "title": title(shown), "text": plain_text(shown)})
+    # `unescape` uses its input several times, so it gets a column, not the expression that makes it.
+    folded = bare.withColumns({"links": links(shown), "heading": title_of(shown), "lines": lines_of(shown)})
+    read = folded.withColumns({"title": unescape(F.col("heading")), "text": plain_text(F.col("lines"))})
     described = F.to_json(F.struct(F.col("http_headers").alias("response-headers"), "payload_digest", "title", "links"))
     kinds = F.array(
         F.struct(F.lit("metadata").alias("warc_type"), F.lit("application/json").alias("content_type"), described.alias("block")),

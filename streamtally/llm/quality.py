@@ -1,11 +1,12 @@
 """Quality rules by distribution divergence: the character classes and the common words of a document,
 as histograms, against those of its language, by Jensen-Shannon distance.
 
-The references are counted over all rows whose `lang` has a word list. A document is held against the
-reference of its own `lang`, or of the nearest reference if it has none. Distances of short texts are
-noise, so each histogram is only judged from a least number of characters or words on, and the allowed
-distance of words grows with the noise that is left. Null and empty texts have counts of 0 and fail the
-base rules. Without references the base rules decide alone.
+The references are counted over all rows, for every `lang` of at least REFERENCE_DOCS documents and
+REFERENCE_WORDS words. The common words of a language without a list are its FREQUENT most frequent ones
+in these rows. A document is held against the reference of its own `lang`; where that is null or has no
+reference, the base rules decide alone and the distances are null. Distances of short texts are noise, so
+each histogram is only judged from a least number of characters or words on, and the allowed distance of
+words grows with the noise that is left. Null and empty texts have counts of 0 and fail the base rules.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamtally.llm.common import map_texts
 from streamtally.llm.hashes import ASCII_WHITE, span_hashes
 
-# Frequent words of each language; all other words are one class of their own.
+# Frequent words of these languages, those of others are counted; all other words are one class of their own.
 COMMON_WORDS = {
     "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach".split(),
     "en": "the of and to in a is that for it as was with be by on not he his but at are this have from or had an they which".split(),
@@ -35,6 +36,8 @@ MIN_CHARS = 200  # characters other than white space from which the character cl
 MIN_WORDS = 50  # words from which the common words are judged
 MAX_CHAR_DISTANCE = 0.29
 MAX_WORD_DISTANCE = 0.2
+FREQUENT = 30  # most frequent words of a language without a list
+REFERENCE_DOCS, REFERENCE_WORDS = 10, 2000  # with words, of one `lang`, from which it has a reference
 NOISE_SHARE = 0.5  # of the expected distance of a sample of that many words that is allowed on top
 PIECE = 1 << 20
 
@@ -127,30 +130,25 @@ def measure(texts: list[str | None]) -> Counts:
 
 
 @lru_cache(maxsize=1)
-def vocabulary() -> tuple[tuple[str, ...], np.ndarray, np.ndarray]:
-    """Languages; the sorted hashes of all common words; language x word: the word's class in the language (0: other)."""
-    languages = tuple(sorted(COMMON_WORDS))
-    hashes = np.unique(np.array([word_hash(w) for x in languages for w in COMMON_WORDS[x]], np.uint64))
-    slot = np.zeros((len(languages), len(hashes) + 1), np.int64)
-    for i, x in enumerate(languages):
-        for k, w in enumerate(COMMON_WORDS[x]):
-            slot[i, np.searchsorted(hashes, np.uint64(word_hash(w)))] = k + 1
-    return languages, hashes, slot
+def listed() -> dict[str, np.ndarray]:
+    """Hashes of the common words of each language that has a list, in its order."""
+    return {x: np.array([word_hash(w) for w in COMMON_WORDS[x]], np.uint64) for x in sorted(COMMON_WORDS)}
 
 
-def word_ids(counts: Counts) -> np.ndarray:
-    """Of each word its place among the common words, or their number."""
-    _, hashes, _ = vocabulary()
-    at = np.minimum(np.searchsorted(hashes, counts.letters), len(hashes) - 1)
-    return np.where(hashes[at] == counts.letters, at, len(hashes))
+def word_classes(counts: Counts, common: np.ndarray) -> np.ndarray:
+    """texts x classes of the words with these hashes (0: all others)."""
+    n, width = len(counts.n_words), len(common) + 1
+    if width == 1:
+        return counts.n_words.reshape(n, 1)
+    order = np.argsort(common, kind="stable")
+    at = order[np.minimum(np.searchsorted(common, counts.letters, sorter=order), len(common) - 1)]
+    slot = np.where(common[at] == counts.letters, at + 1, 0)
+    return np.bincount(counts.owner * width + slot, minlength=n * width).reshape(n, width)
 
 
 def histograms(counts: Counts, language: int) -> np.ndarray:
-    """texts x classes of common words (0: all others) in this language."""
-    _, _, slot = vocabulary()
-    width = int(slot[language].max()) + 1
-    n = len(counts.n_words)
-    return np.bincount(counts.owner * width + slot[language][word_ids(counts)], minlength=n * width).reshape(n, width)
+    """texts x classes of common words (0: all others) in this language, by its place among those with a list."""
+    return word_classes(counts, listed()[sorted(COMMON_WORDS)[language]])
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -165,45 +163,79 @@ def distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 @dataclass(frozen=True)
-class References:
-    classes: dict[str, np.ndarray]
-    words: dict[str, np.ndarray]
+class Reference:
+    classes: np.ndarray
+    common: np.ndarray  # hashes of the common words
+    words: np.ndarray  # counts of all others and of each of these
 
 
-def references(df: DataFrame) -> References:
-    """Character-class and common-word counts of each listed language over all rows (text, lang)."""
-    languages = sorted(COMMON_WORDS)
-
-    def run(batches):
-        classes = {x: np.zeros(CLASSES, np.int64) for x in languages}
-        words = {x: np.zeros(len(COMMON_WORDS[x]) + 1, np.int64) for x in languages}
-        for batch in batches:
-            texts, langs = batch.column("text").to_pylist(), np.array(batch.column("lang").to_pylist(), object)
-            for i, lang in enumerate(languages):
-                rows = np.flatnonzero(langs == lang)
-                for part in sized([texts[k] for k in rows]):
-                    counts = measure(part)
-                    classes[lang] += counts.classes.sum(axis=0)
-                    words[lang] += histograms(counts, i).sum(axis=0)
-        for lang in languages:
-            yield pa.RecordBatch.from_arrays(
+References = dict[str, Reference]
+CLASS, DOCS, WORDS, WORD = range(4)  # what a count is of; all but DOCS and WORDS have a key
+
+
+def counted(df: DataFrame) -> DataFrame:
+    """lang, kind, key, n over all rows (text, lang) with a lang: character classes, documents and words, and each
+    word by its hash (of a language with a list only the words in it)."""
+
+    def make():
+        def work(batch):
+            texts, langs = batch.column("text").to_pylist(), batch.column("lang").to_pylist()
+            found: list[tuple[str, int, np.ndarray, np.ndarray]] = []
+            at = 0
+            for part in sized(texts):
+                counts = measure(part)
+                names, code = np.unique(np.array(langs[at : at + len(part)], object), return_inverse=True)
+                at += len(part)
+                order = np.argsort(code[counts.owner], kind="stable")
+                cuts = np.searchsorted(code[counts.owner][order], np.arange(len(names) + 1))
+                for c, name in enumerate(names):
+                    own = code == c
+                    hashes, n = np.unique(counts.letters[order[cuts[c] : cuts[c + 1]]], return_counts=True)
+                    # Words without a letter have no hash and are nobody's common word.
+                    kept = np.isin(hashes, listed()[name]) if name in listed() else hashes != 0
+                    found.append((name, CLASS, np.arange(CLASSES), counts.classes[own].sum(axis=0)))
+                    found.append((name, DOCS, np.zeros(1, np.int64), np.array([(own & (counts.n_words > 0)).sum()])))
+                    found.append((name, WORDS, np.zeros(1, np.int64), np.array([counts.n_words[own].sum()])))
+                    found.append((name, WORD, hashes[kept].view(np.int64), n[kept]))
+            sizes = [len(x[2]) for x in found]
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([lang] * (CLASSES + len(words[lang]))),
-                    pa.array(["class"] * CLASSES + ["word"] * len(words[lang])),
-                    pa.array([*range(CLASSES), *range(len(words[lang]))], pa.int32()),
-                    pa.array(np.concatenate([classes[lang], words[lang]])),
+                    pa.array(np.repeat(np.array([x[0] for x in found], object), sizes), pa.string()),
+                    pa.array(np.repeat(np.array([x[1] for x in found]), sizes), pa.int32()),
+                    pa.array(np.concatenate([x[2] for x in found]), pa.int64()),
+                    pa.array(np.concatenate([x[3] for x in found]), pa.int64()),
                 ],
-                ["lang", "kind", "slot", "n"],
+                ["lang", "kind", "key", "n"],
             )
 
-    listed = df.where(F.col("lang").isin(languages)).select("lang", "text")
-    counted = listed.mapInArrow(run, "lang string, kind string, slot int, n long")
-    out = References({}, {})
-    for row in counted.groupBy("lang", "kind", "slot").agg(F.sum("n").alias("n")).collect():  # a few hundred rows
-        size = CLASSES if row["kind"] == "class" else len(COMMON_WORDS[row["lang"]]) + 1
-        table = out.classes if row["kind"] == "class" else out.words
-        table.setdefault(row["lang"], np.zeros(size, np.int64))[row["slot"]] = row["n"]
-    return References({x: c for x, c in out.classes.items() if c.sum()}, {x: c for x, c in out.words.items() if c.sum()})
+        return work
+
+    rows = map_texts(df.where("lang is not null"), ["text", "lang"], make, "lang string, kind int, key long, n long")
+    return rows.groupBy("lang", "kind", "key").agg(F.sum("n").alias("n"))
+
+
+def at_least(kind: int, n: int):
+    return lambda c: (c["kind"] == kind) & (c["n"] >= n)
+
+
+def references(df: DataFrame) -> References:
+    """Character classes and common words of each language that has enough documents, over all rows (text, lang)."""
+    most = max(FREQUENT, CLASSES, *map(len, COMMON_WORDS.values()))
+    rank = F.row_number().over(Window.partitionBy("lang", "kind").orderBy(F.desc("n"), "key"))
+    top = counted(df).withColumn("rank", rank).where(F.col("rank") <= most)
+    found = top.groupBy("lang").agg(F.collect_list(F.struct("kind", "key", "n")).alias("counts"))
+    docs, words = (F.exists("counts", at_least(*x)) for x in ((DOCS, REFERENCE_DOCS), (WORDS, REFERENCE_WORDS)))
+    out: References = {}
+    for lang, rows in found.where(docs & words).collect():  # some forty numbers a language
+        by_kind = {k: {r["key"]: r["n"] for r in rows if r["kind"] == k} for k in (CLASS, WORDS, WORD)}
+        own = by_kind[WORD]
+        frequent = sorted(own, key=lambda h: (-own[h], h))[:FREQUENT]
+        common = listed()[lang] if lang in listed() else np.array(frequent, np.int64).view(np.uint64)
+        each = [own.get(h, 0) for h in common.view(np.int64).tolist()]
+        out[lang] = Reference(
+            np.array([by_kind[CLASS].get(c, 0) for c in range(CLASSES)]), common, np.array([by_kind[WORDS][0] - sum(each), *each])
+        )
+    return out
 
 
 def sized(texts: list[str | None]) -> list[list[str | None]]:
@@ -220,15 +252,18 @@ def sized(texts: list[str | None]) -> list[list[str | None]]:
 
 def judge(texts: list[str | None], langs: list[str | None], refs: References) -> dict[str, np.ndarray]:
     counts = measure(texts)
-    known = [x for x in sorted(COMMON_WORDS) if x in refs.classes]
     n = len(texts)
-    chars, words = np.zeros(n), np.zeros(n)
-    if known:
-        both = np.array([[distance(counts.classes, refs.classes[x]), distance(histograms(counts, sorted(COMMON_WORDS).index(x)), refs.words[x])] for x in known])
-        own = np.array([known.index(x) if x in known else -1 for x in langs])
-        held = np.where(own >= 0, own, both.sum(axis=1).argmin(axis=0))
-        chars, words = both[held, 0, np.arange(n)], both[held, 1, np.arange(n)]
-    noise = np.sqrt(max(map(len, COMMON_WORDS.values())) / (8 * np.log(2) * np.maximum(counts.n_words, 1)))
+    chars, words = np.full(n, np.nan), np.full(n, np.nan)  # without a reference: not a number, never too far
+    held = np.array([x if x in refs else None for x in langs], object)
+    for lang in sorted({x for x in held if x is not None}):
+        own, ref = held == lang, refs[lang]
+        chars[own] = distance(counts.classes[own], ref.classes)
+        place = np.cumsum(own) - 1
+        its = own[counts.owner]
+        part = Counts(*[x[own] for x in (counts.n_words, counts.word_chars, counts.n_symbols, counts.n_dup_lines, counts.n_repeat_words, counts.classes)],
+                      counts.letters[its], place[counts.owner[its]])
+        words[own] = distance(word_classes(part, ref.common), ref.words)
+    noise = np.sqrt(max(FREQUENT, *map(len, COMMON_WORDS.values())) / (8 * np.log(2) * np.maximum(counts.n_words, 1)))
     odd_chars = (counts.classes.sum(axis=1) >= MIN_CHARS) & (chars > MAX_CHAR_DISTANCE)
     odd_words = (counts.n_words >= MIN_WORDS) & (words > MAX_WORD_DISTANCE + NOISE_SHARE * noise)
     base_failed = (counts.n_words < 50) | (100 * counts.n_repeat_words > 50 * counts.n_words)
@@ -256,7 +291,7 @@ def rate(df: DataFrame, refs: References) -> DataFrame:
                 parts.append(judge(part, langs[at : at + len(part)], refs))
                 at += len(part)
             columns = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, columns.values())], ["doc_id", *columns])
+            return pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, from_pandas=True) for c in columns.values()]], ["doc_id", *columns])
 
         return work
 

@@ -313,6 +313,27 @@ def test_quality_separates_labelled_documents(spark):
     assert rated.where("quality = 0 and kept").count() <= 0.1 * rated.where("quality = 0").count()
 
 
+def test_quality_of_languages_without_a_list(spark):
+    """Clean documents of any label stay; what a label's common words are is counted, so its junk goes as before."""
+    sf = "/root/testdata/sf0.01"
+    rng = random.Random(3)
+    frequent = "w i na się nie z do to że jest o jak ale po co tak za od go już".split()
+    rare = ["".join(rng.choice("abcdefghijklmnoprstuwyząćęłńóśźż") for _ in range(7)) for _ in range(4000)]
+    clean = [" ".join(rng.choice(frequent if rng.random() < 0.4 else rare) for _ in range(n)) for n in (80, 150, 400, 1000) * 6]
+    few = [(-100 - i, t, lang) for i, t in enumerate(clean[:4]) for lang in ("tr",)] + [(-200 - i, t, None) for i, t in enumerate(clean[:4])]
+    added = spark.createDataFrame([(-1 - i, t, "pl") for i, t in enumerate(clean)] + few, "doc_id long, text string, lang string")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", F.concat(F.lit("x-"), "lang").alias("lang"))
+    labelled = docs.union(spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id") + 10**6, "text", "lang")).union(added)
+    refs = quality.references(labelled)
+    assert {x for x in refs if x.startswith("x-")} == {"x-de", "x-en", "x-es", "x-fr"} and "pl" in refs and "tr" not in refs
+    rated = quality.rate(labelled, refs).cache()
+    assert rated.where("doc_id < 0 and not kept").count() == 0
+    assert rated.where("doc_id <= -100 and word_distance is null and char_distance is null").count() == len(few)
+    judged = rated.join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    assert judged.where("quality = 1 and not base_failed and not kept").count() == 0
+    assert judged.where("quality = 0 and kept").count() <= 0.1 * judged.where("quality = 0").count()
+
+
 def test_quality_without_references(nulls, empty):
     none = nulls.withColumn("lang", F.lit(None).cast("string"))
     assert quality.rate(none, quality.references(none)).where("kept").count() == 0

@@ -5,7 +5,7 @@ windows have their anchor at the same place, so only suffixes that start at anch
 fourteen, and all that can repeat together meets in one bucket, by the anchor's hash.
 
 1. Each batch of documents sends the hashes of its anchors, each once; a bucket answers which of them
-   other batches have as well, one bit each.
+   other batches have as well, one bit each, and which are hot: of more than HOT occurrences in all.
 2. For anchors of more than one document the batch sends the text of the windows they stand for, equal
    pieces once, with the smallest doc_id. A bucket sorts these suffixes, takes their common prefixes,
    and builds the tree of common-prefix intervals with one scan over a stack. An interval is a repeated
@@ -14,8 +14,11 @@ fourteen, and all that can repeat together meets in one bucket, by the anchor's
    smallest doc_id of a class goes back to the batch.
 3. The batch marks the windows whose class has a smaller doc_id than their own document.
 
-A string in very many documents is sent once per batch, so no task gets all its occurrences. All three
-steps read the documents from the same shuffle.
+A string in very many documents is sent once per batch, so no task gets all its occurrences. Of a short
+one with other neighbours in each document, pieces differ in every document; it is hot, and instead of
+pieces its windows are sent, each named by 128 bits and dealt by them, once per batch with the smallest
+doc_id. Equal windows meet, and one anchor is spread over all buckets of windows. All three steps read the
+documents from the same shuffle.
 
 Null texts are empty; texts of fewer than LENGTH bytes keep everything. A null doc_id comes after all
 others; rows that share a doc_id remove nothing from each other.
@@ -24,6 +27,7 @@ others; rows that share a doc_id remove nothing from each other.
 from __future__ import annotations
 
 import hashlib
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +43,7 @@ REACH = LENGTH - GRAM  # farthest an anchor can be from the start of its window
 LAST = np.iinfo(np.int64).max
 CHUNK = 1 << 20  # windows handled at once
 BATCH_BYTES = 2 << 20
+HOT = 20_000  # occurrences from which an anchor's windows are dealt one by one
 
 
 class Anchors:
@@ -101,6 +106,30 @@ class Batch:
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
         self.anchors = Anchors(self.data, self.start, self.end)
 
+    def windows(self, hot: np.ndarray, buckets: int):
+        """Of the anchors that are hot: bucket, the two names and the smallest doc_id of each distinct window, in
+        order of bucket; then the start, the document and the place among the distinct ones of each window."""
+        a = self.anchors
+        use = np.flatnonzero(hot)
+        n = a.last[use] - a.first[use] + 1
+        begin = np.repeat(a.first[use], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        doc = self.ids[np.repeat(a.doc[use], n)]
+        up, _ = powers(LENGTH)
+        names = np.zeros((2, len(begin)), np.uint64)
+        for lo in range(0, len(begin), 1 << 16):
+            part = slice(lo, lo + (1 << 16))
+            text = self.data[begin[part, None] + np.arange(LENGTH)]
+            for k, noise in enumerate((byte_noise(), more_noise())):
+                names[k, part] = mixed((noise[text] * up[:LENGTH]).sum(axis=1, dtype=np.uint64))
+        bucket = buckets + (names[0] % np.uint64(buckets)).astype(np.int64)
+        order = np.lexsort((doc, names[1], names[0], bucket))
+        new = np.ones(len(order), bool)
+        new[1:] = (names[:, order][:, 1:] != names[:, order][:, :-1]).any(axis=0)
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        heads = order[new]
+        return bucket[heads], names[:, heads], doc[heads], begin, doc, place
+
     def hashes(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Distinct anchor hashes as bucket and low half, in order; and of each anchor its place among them."""
         low = self.anchors.hash & np.uint64(0xFFFFFFFF)
@@ -132,6 +161,11 @@ class Batch:
         return bucket[heads], use[heads], self.ids[a.doc[use[heads]]], use, piece
 
 
+@lru_cache(maxsize=1)
+def more_noise() -> np.ndarray:
+    return np.random.default_rng(6).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
 def _pack(*arrays: np.ndarray) -> bytes:
     return zstandard.compress(b"".join(x.tobytes() for x in arrays), 1)
 
@@ -145,31 +179,71 @@ def _runs(values: np.ndarray):
 
 
 def send_hashes(batch: int, rows: Batch, buckets: int) -> list[tuple[int, int, bytes]]:
-    bucket, low, _ = rows.hashes(buckets)
-    return [(b, batch, low[i:j].tobytes()) for b, i, j in _runs(bucket)]
+    """Per bucket: number of hashes, hashes, and places and counts of those that occur more than once."""
+    bucket, low, place = rows.hashes(buckets)
+    counts = np.bincount(place, minlength=len(low)).astype(np.uint32)
+    out = []
+    for b, i, j in _runs(bucket):
+        many = np.flatnonzero(counts[i:j] > 1).astype(np.uint32)
+        out.append((b, batch, b"".join(x.tobytes() for x in (np.uint32(j - i), low[i:j], many, counts[i:j][many]))))
+    return out
 
 
-def answer_hashes(parts: list[bytes]) -> list[bytes]:
-    """Of each part's hashes, whether another part has them too, as bits."""
-    arrays = [np.frombuffer(p, np.uint32) for p in parts]
-    everything = np.concatenate(arrays)
-    values, place, counts = np.unique(everything, return_inverse=True, return_counts=True)
+def answer_hashes(parts: list[bytes], hot: int = HOT) -> list[bytes]:
+    """Of each part's hashes, whether another part has them too, as bits, and the places of the hot ones."""
+    arrays, occurrences = [], []
+    for p in parts:
+        numbers = np.frombuffer(p, np.uint32)
+        n = int(numbers[0])
+        places, counts = numbers[1 + n :].reshape(2, -1)
+        own = np.ones(n, np.int64)
+        own[places] = counts
+        arrays.append(numbers[1 : 1 + n])
+        occurrences.append(own)
+    values, place, counts = np.unique(np.concatenate(arrays), return_inverse=True, return_counts=True)
     twice = counts[place] > 1
+    total = np.zeros(len(values), np.int64)
+    np.add.at(total, place, np.concatenate(occurrences))
+    many = total[place] > hot
     cuts = np.cumsum([len(a) for a in arrays])[:-1]
-    return [np.packbits(x).tobytes() for x in np.split(twice, cuts)]
+    return [np.packbits(x).tobytes() + np.flatnonzero(y).astype(np.uint32).tobytes() for x, y in zip(np.split(twice, cuts), np.split(many, cuts), strict=True)]
 
 
-def shared_anchors(rows: Batch, answers: dict[int, bytes], buckets: int) -> np.ndarray:
-    """Which anchors stand in more than one document, here or in other batches."""
+def shared_anchors(rows: Batch, answers: dict[int, bytes], buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which anchors stand in more than one document, here or in other batches; of these, those that are not hot and those that are."""
     bucket, _, place = rows.hashes(buckets)
-    elsewhere = np.zeros(len(bucket), bool)
+    elsewhere, hot = np.zeros(len(bucket), bool), np.zeros(len(bucket), bool)
     for b, i, j in _runs(bucket):
         if b in answers:
-            elsewhere[i:j] = np.unpackbits(np.frombuffer(answers[b], np.uint8), count=j - i).astype(bool)
+            bits = -(-(j - i) // 8)
+            elsewhere[i:j] = np.unpackbits(np.frombuffer(answers[b][:bits], np.uint8), count=j - i).astype(bool)
+            hot[i + np.frombuffer(answers[b][bits:], np.uint32).astype(np.int64)] = True
     low, high = np.full(len(bucket), LAST), np.full(len(bucket), -1)
     np.minimum.at(low, place, rows.anchors.doc)
     np.maximum.at(high, place, rows.anchors.doc)
-    return (elsewhere | (low < high))[place]
+    shared = elsewhere | (low < high)
+    return (shared & ~hot)[place], (shared & hot)[place]
+
+
+def send_windows(batch: int, rows: Batch, hot: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
+    if not hot.any():
+        return []
+    bucket, names, doc, *_ = rows.windows(hot, buckets)
+    return [(b, batch, np.concatenate([names[0, i:j], names[1, i:j], doc[i:j].view(np.uint64)]).tobytes()) for b, i, j in _runs(bucket)]
+
+
+def answer_windows(parts: list[bytes]) -> list[bytes]:
+    """Of each part's windows, in order, the smallest doc_id that has it."""
+    arrays = [np.frombuffer(p, np.uint64).reshape(3, -1) for p in parts]
+    first, second, doc = np.concatenate(arrays, axis=1)
+    doc = doc.view(np.int64)
+    order = np.lexsort((second, first))
+    new = np.ones(len(order), bool)
+    new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
+    heads = np.flatnonzero(new)
+    least = np.empty(len(order), np.int64)
+    least[order] = np.repeat(np.minimum.reduceat(doc[order], heads), np.diff(np.append(heads, len(order))))
+    return [_pack(x) for x in np.split(least, np.cumsum([a.shape[1] for a in arrays])[:-1])]
 
 
 def send_pieces(batch: int, rows: Batch, shared: np.ndarray, buckets: int) -> list[tuple[int, int, bytes]]:
@@ -273,7 +347,7 @@ def answer_pieces(parts: list[bytes]) -> list[bytes]:
     return [_pack(x) for x in np.split(flat, cuts)]
 
 
-def covered(rows: Batch, shared: np.ndarray, answers: dict[int, bytes], buckets: int) -> np.ndarray:
+def covered(rows: Batch, shared: np.ndarray, hot: np.ndarray, answers: dict[int, bytes], buckets: int) -> np.ndarray:
     """Which bytes of the batch stand in a window that a document with a smaller doc_id has too."""
     bucket, head, _, use, piece = rows.pieces(shared, buckets)
     a = rows.anchors
@@ -285,6 +359,10 @@ def covered(rows: Batch, shared: np.ndarray, answers: dict[int, bytes], buckets:
     least = flat[np.repeat(begin[piece], n) + number]
     hit = least < np.repeat(rows.ids[a.doc[use]], n)
     at = (np.repeat(a.first[use], n) + number)[hit]
+    if hot.any():
+        bucket, _, _, start, doc, place = rows.windows(hot, buckets)
+        flat = np.concatenate([np.frombuffer(zstandard.decompress(answers[b]), np.int64) for b, _, _ in _runs(bucket)])
+        at = np.concatenate([at, start[flat[place] < doc]])
     edges = np.zeros(len(rows.data) + 1, np.int64)
     np.add.at(edges, at, 1)
     np.subtract.at(edges, at + LENGTH, 1)
@@ -342,7 +420,7 @@ def _answers(table: pa.Table) -> dict[int, bytes]:
     return dict(zip(table["bucket"].to_pylist(), table["answer"].to_pylist(), strict=True))
 
 
-def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[str] | None = None, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[str] | None = None, batch_bytes: int = BATCH_BYTES, hot: int = HOT) -> DataFrame:
     """Rows made by `finish(table of the batch's documents, Batch, removed runs of each)`, a pyarrow table per batch."""
     volume = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # Both follow the volume alone: what batches and buckets tell each other must not grow with the cluster.
@@ -360,14 +438,15 @@ def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[
 
     def reply(make):
         def run(table: pa.Table) -> pa.Table:
-            answers = make(table["part"].to_pylist())
+            answers = make(table["bucket"][0].as_py())(table["part"].to_pylist())
             return _table(list(zip(table["batch"].to_pylist(), table["bucket"].to_pylist(), answers, strict=True)), **back)
 
         return run
 
     def show(table: pa.Table, answers: pa.Table) -> pa.Table:
         batch, rows = _batch_of(_steady(table))
-        return _table(send_pieces(batch, rows, shared_anchors(rows, _answers(answers), buckets), buckets), **order)
+        shared, many = shared_anchors(rows, _answers(answers), buckets)
+        return _table(send_pieces(batch, rows, shared, buckets) + send_windows(batch, rows, many, buckets), **order)
 
     def end(table: pa.Table, answers: pa.Table) -> pa.Table:
         table = _steady(table)
@@ -375,13 +454,13 @@ def remove_repeats(df: DataFrame, finish, schema: str | StructType, carry: list[
         kinds = answers["kind"].to_pylist()
         first = answers.filter(pa.array([k == 0 for k in kinds], pa.bool_()))
         second = answers.filter(pa.array([k == 1 for k in kinds], pa.bool_()))
-        shared = shared_anchors(rows, _answers(first), buckets)
-        return finish(table, rows, spans(rows, covered(rows, shared, _answers(second), buckets)))
+        shared, many = shared_anchors(rows, _answers(first), buckets)
+        return finish(table, rows, spans(rows, covered(rows, shared, many, _answers(second), buckets)))
 
     sent = "bucket long, batch long, part binary"
-    heard = placed.groupBy(OWN_BATCH).applyInArrow(ask, sent).groupBy("bucket").applyInArrow(reply(answer_hashes), ANSWER)
+    heard = placed.groupBy(OWN_BATCH).applyInArrow(ask, sent).groupBy("bucket").applyInArrow(reply(lambda _: partial(answer_hashes, hot=hot)), ANSWER)
     shown = placed.groupBy(OWN_BATCH).cogroup(heard.groupBy("batch")).applyInArrow(show, sent)
-    found = shown.groupBy("bucket").applyInArrow(reply(answer_pieces), ANSWER)
+    found = shown.groupBy("bucket").applyInArrow(reply(lambda bucket: answer_pieces if bucket < buckets else answer_windows), ANSWER)
     both = heard.withColumn("kind", F.lit(0)).union(found.withColumn("kind", F.lit(1)))
     return placed.groupBy(OWN_BATCH).cogroup(both.groupBy("batch")).applyInArrow(end, schema)
 
@@ -391,7 +470,7 @@ def _steady(table: pa.Table) -> pa.Table:
     return table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
 
 
-def removed_digests(df: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def removed_digests(df: DataFrame, batch_bytes: int = BATCH_BYTES, hot: int = HOT) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed runs as byte offsets."""
 
     def finish(table, rows, gone):
@@ -409,7 +488,7 @@ def removed_digests(df: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
         )
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>"
-    return remove_repeats(df, finish, schema, batch_bytes=batch_bytes)
+    return remove_repeats(df, finish, schema, batch_bytes=batch_bytes, hot=hot)
 
 
 def cleaned(df: DataFrame) -> DataFrame:

@@ -175,6 +175,43 @@ def test_repeats_of_periodic_and_shared_texts(spark, seed):
     assert got == brute.repeats(rows)
 
 
+def short_phrase(n):
+    """Documents with one phrase of fewer bytes than a window, each with other neighbours; some neighbours are shared."""
+    rng = random.Random(8)
+    own = ["".join(rng.choice("abcdefghij ") for _ in range(40)) for _ in range(n)]
+    return [(i * 7 % n, own[i] + "Read more about this, in full " + own[i if i % 4 else (i + 1) % n]) for i in range(n)]
+
+
+@pytest.mark.parametrize("hot", [0, 5])
+def test_repeats_of_a_phrase_with_other_neighbours(spark, odd, hot):
+    for rows in (short_phrase(300), pairs(odd)):
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        got = {i: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for i, r in by_id(repeats.removed_digests(df, 4000, hot=hot)).items()}
+        assert got == brute.repeats(rows)
+
+
+def test_no_group_gets_all_pieces_of_a_phrase():
+    rows, buckets = short_phrase(2000), 16
+    batches = [repeats.Batch(*zip(*rows[k::20], strict=True)) for k in range(20)]
+
+    def grouped(sent):
+        groups = {}
+        for bucket, batch, part in sent:
+            groups.setdefault(bucket, []).append((batch, part))
+        return groups
+
+    answers = [{} for _ in batches]
+    for bucket, parts in grouped([x for k, b in enumerate(batches) for x in repeats.send_hashes(k, b, buckets)]).items():
+        for (batch, _), bits in zip(parts, repeats.answer_hashes([p for _, p in parts], hot=100), strict=True):
+            answers[batch][bucket] = bits
+    sent = []
+    for k, b in enumerate(batches):
+        shared, hot = repeats.shared_anchors(b, answers[k], buckets)
+        sent += repeats.send_pieces(k, b, shared, buckets) + repeats.send_windows(k, b, hot, buckets)
+    sizes = [sum(len(p) for _, p in parts) for parts in grouped(sent).values()]
+    assert len(sizes) > buckets and max(sizes) < 0.2 * sum(sizes)
+
+
 def test_interval_tree():
     texts = sorted(["banana$", "anana$", "nana$", "ana$", "na$", "a$"])
     common = [next(k for k in range(9) if a[: k + 1] != b[: k + 1]) for a, b in zip(texts, texts[1:], strict=False)]

@@ -11,7 +11,8 @@ depend on which candidates were found in which tree.
 
 A group with more than `max_docs` sets or `max_shingles` shingles is not compared in one place: its
 sets are dealt to blocks, a few of them are compared with every block, and then those that are not in
-the largest class so far. No link is left out.
+the largest class so far. A block holds its own sets only; the queries pass by in slices. No link is left
+out; without a class that holds most of a group, the texts that are moved grow with the square of its size.
 
 Documents without words have an empty set and are linked with nothing. A null doc_id is linked with
 nothing. Rows that repeat a doc_id count as one document. An empty table gives an empty result.
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamtally.llm.common import map_texts, partitions, written
+from streamtally.llm.common import map_texts, partitions, text_batches, written
 from streamtally.llm.components import components
 from streamtally.llm.hashes import mixed, shingle_sets
 
@@ -36,6 +37,7 @@ CANDIDATE = 33  # of VALUES; a pair of similarity 0.8 agrees in fewer once in te
 REGION = 512
 PIECE = 512 << 10
 CENTRES = 16
+QUERIES = 4  # times max_docs: queries of a block in one place
 
 
 @dataclass(frozen=True)
@@ -300,42 +302,56 @@ def confirm(texts: DataFrame, k: int, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "id long, label long")
 
 
-def block_links(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """a, b: links between the queries and the others of each block, rows (block, id, text, query); of the
-    links only as many as connect the same sets."""
-
-    def run(batches):
-        for _, parts in _groups(batches, "block"):
-            ids, query = np.array(_column(parts, "id"), np.int64), np.array(_column(parts, "query"), bool)
-            sets = shingle_sets([_bytes(t) for t in _column(parts, "text")], k)
-            if query.all():
+def links_of_blocks(batches, k: int, percent: int):
+    """Links (a, b) of rows (block, id, text, query) in order of block and query: a block's own sets are held, its queries are not."""
+    held, parts, index = None, [], None
+    for batch in text_batches(batches):
+        block, query = batch.column("block").to_numpy(), batch.column("query").to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((block[1:] != block[:-1]) | (query[1:] != query[:-1])) + 1
+        links = []
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(block)], strict=True):
+            part = batch.slice(a, b - a)
+            if block[a] != held:
+                held, parts, index = block[a], [], None
+            if not query[a]:
+                parts.append(part)
                 continue
-            index, own = Sets([s for s, q in zip(sets, query, strict=True) if not q]), ids[~query]
-            label = np.arange(len(ids))  # of the block's own sets, then of the queries: what the links found so far connect
-            links = []
-            for me, i in enumerate(np.flatnonzero(query).tolist(), len(own)):
-                hit = np.flatnonzero(index.linked(sets[i], percent))
+            if index is None:
+                if not parts:
+                    continue
+                own = np.array(_column(parts, "id"), np.int64)
+                index = Sets(shingle_sets([_bytes(t) for t in _column(parts, "text")], k))
+                label = np.arange(len(own))  # what the links found so far connect
+                parts = []
+            for me, asked in zip(part.column("id").to_pylist(), shingle_sets([_bytes(t) for t in part.column("text").to_pylist()], k), strict=True):
+                hit = np.flatnonzero(index.linked(asked, percent))
                 classes, firsts = np.unique(label[hit], return_index=True)
-                links += [(int(ids[i]), int(own[hit[f]])) for f in firsts]
+                links += [(me, int(own[hit[f]])) for f in firsts]
                 if len(classes):
                     label[np.isin(label, classes)] = classes[0]
-                    label[me] = classes[0]
-            if links:
-                a, b = zip(*links, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        if links:
+            a, b = zip(*links, strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
 
-    dealt = rows.select("block", "id", "text", "query").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "a long, b long")
+def block_links(rows: DataFrame, k: int, percent: int) -> DataFrame:
+    """a, b: links between the queries and the others of each block, rows (block, id, text, query); of the
+    links only as many as connect the same sets."""
+    dealt = rows.select("block", "id", "text", "query").repartition("block").sortWithinPartitions("block", "query")
+    return dealt.mapInArrow(lambda batches: links_of_blocks(batches, k, percent), "a long, b long")
 
 
-def _blocks(texts: DataFrame, sizes: DataFrame, queries: DataFrame, limits: Limits) -> DataFrame:
-    """Every row in one block of its group, and the group's queries in all of its blocks."""
+def _blocks(texts: DataFrame, sizes: DataFrame, asking: DataFrame, limits: Limits) -> DataFrame:
+    """Every row in one block of its group, and the group's queries, rows (group, id), in all of its blocks. A block of
+    many queries is given out several times, each time for another slice of them."""
     wanted = sizes.select("group", F.greatest(F.ceil(F.col("docs") / limits.max_docs), F.ceil(F.col("shingles") / limits.max_shingles)).cast("int").alias("n"))
-    placed = texts.join(wanted, "group")
-    number = F.pmod(F.xxhash64("id"), F.col("n")).cast("int")
-    own = placed.select(F.xxhash64("group", number).alias("block"), "id", "text", F.lit(False).alias("query"))
-    asked = queries.join(wanted, "group").withColumn("number", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    return own.union(asked.select(F.xxhash64("group", F.col("number")), "id", "text", F.lit(True)))
+    slices = asking.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / (QUERIES * limits.max_docs)).cast("int").alias("slices"))
+    wanted = wanted.join(slices, "group")
+    number, slice_of = F.pmod(F.xxhash64("id"), F.col("n")).cast("int"), F.pmod(F.xxhash64(F.lit(7), "id"), F.col("slices")).cast("int")
+    placed = texts.join(wanted, "group").withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+    own = placed.select(F.xxhash64("group", number, "slice").alias("block"), "id", "text", F.lit(False).alias("query"))
+    asked = texts.join(asking, ["group", "id"]).join(wanted, "group").withColumn("number", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return own.union(asked.select(F.xxhash64("group", F.col("number"), slice_of), "id", "text", F.lit(True)))
 
 
 def _large(texts: DataFrame, sizes: DataFrame, k: int, percent: int, limits: Limits) -> DataFrame:
@@ -344,14 +360,14 @@ def _large(texts: DataFrame, sizes: DataFrame, k: int, percent: int, limits: Lim
     # A centre is the first of one of CENTRES parts of its group, so no task orders a whole group.
     firsts = texts.groupBy("group", F.pmod(F.xxhash64("id"), F.lit(CENTRES)).alias("part")).agg(F.min(F.struct(F.xxhash64("id").alias("h"), "id")).alias("c"))
     centres = firsts.select("group", "c.id")
-    links = written(block_links(_blocks(texts, sizes, texts.join(centres, ["group", "id"]), limits), k, percent), "links")
+    links = written(block_links(_blocks(texts, sizes, centres, limits), k, percent), "links")
     nodes = texts.select("group", "id").distinct()
     so_far = nodes.join(components(links), "id", "left").withColumn("label", F.coalesce("label", "id"))
     labelled = written(so_far.select("group", "id", "label"), "labels")
     counts = labelled.groupBy("group", "label").count()
     largest = counts.groupBy("group").agg(F.max(F.struct("count", "label")).alias("m")).select("group", F.col("m.label").alias("main"))
     outside = labelled.join(largest, "group").where("label <> main").select("group", "id")
-    more = written(block_links(_blocks(texts, sizes, texts.join(outside, ["group", "id"]), limits), k, percent), "links")
+    more = written(block_links(_blocks(texts, sizes, outside, limits), k, percent), "links")
     found = components(links.union(more))
     return nodes.select("id").distinct().join(found, "id", "left").select("id", F.coalesce("label", "id").alias("label"))
 

@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -272,6 +273,41 @@ def test_components(spark, edges):
     assert got == parent
 
 
+def test_queries_of_a_block_are_not_held():
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(40)) for _ in range(30)]
+    taken = []
+
+    def batches():
+        for query in (False, True, True, True):
+            taken.append(query)
+            rows = [{"block": 5, "id": i + 100 * query * len(taken), "text": t, "query": query} for i, t in enumerate(texts)]
+            yield pa.RecordBatch.from_pylist(rows, pa.schema([("block", pa.int64()), ("id", pa.int64()), ("text", pa.string()), ("query", pa.bool_())]))
+
+    links = near_dups.links_of_blocks(batches(), 5, 85)
+    first = next(links).to_pylist()
+    assert taken == [False, True] and {(x["a"] - 200, x["b"]) for x in first} == {(i, i) for i in range(30)}
+
+
+def test_blocks_of_a_group_without_a_large_class(spark):
+    """A template with fillings of each document's own: nearly every set is a query."""
+    rng = random.Random(6)
+    template = [f"t{i}" for i in range(60)]
+    rows = [(i, " ".join(template + [f"w{rng.randrange(10**6)}" for _ in range(45)])) for i in range(120)]
+    rows += [(1000 + i, rows[i * 3][1] + " end") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    limits = near_dups.Limits(4, 10**6)
+    texts = df.select(F.lit(1).alias("group"), F.col("doc_id").alias("id"), "text")
+    sizes = spark.createDataFrame([(1, len(rows), 1)], "group int, docs long, shingles long")
+    blocks = near_dups._blocks(texts, sizes, texts.select("group", "id"), limits)
+    asked = blocks.where("query").groupBy("block").count()
+    assert asked.agg(F.max("count")).first()[0] <= 2.5 * near_dups.QUERIES * limits.max_docs and blocks.where("not query").count() > len(rows)
+    got = {i: (r["n_shingles"], r["component_id"]) for i, r in by_id(near_dups.near_duplicates(df, 85, 5, limits)).items()}
+    assert got == brute.components(rows, 85)
+    large = near_dups._large(texts, sizes, 5, 85, limits)
+    assert {r["id"]: r["label"] for r in large.collect()} == {i: c for i, (_, c) in brute.components(rows, 85).items()}
+
+
 # 6 ---------------------------------------------------------------------------------------------
 
 

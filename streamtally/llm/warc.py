@@ -12,12 +12,15 @@ Everything is a column expression, and no row is moved between tasks.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-# Named character references that are replaced; numeric ones are all replaced.
+# Frequent named character references; all others of HTML are looked up where they occur, numeric ones computed.
 ENTITIES = {"&nbsp;": " ", "&middot;": "·", "&copy;": "©", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+RARE = {f"&{k}": v for k, v in html5.items() if k.endswith(";") and f"&{k}" not in ENTITIES and k != "AMP;"}
 LINK = r"""(?is)<(a|area|link|img|script|iframe|form|source)\b[^>]*?\s(href|src|action)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 # Comments go; of scripts and the like the opening tag stays, as it may hold a link.
 UNSHOWN = r"(?is)<!--.*?-->|(<(script|style|noscript|template)\b[^>]*>).*?</\2\s*>"
@@ -59,18 +62,21 @@ def responses(pages: DataFrame, date: str) -> DataFrame:
 def links(html: Column) -> Column:
     """Array of (tag, attribute, url) in the order of the page, of markup without comments and scripts' text."""
     found = F.regexp_extract_all(html, F.lit(LINK), 0)
-    return F.transform(
+    raw = F.transform(
         found,
         lambda m: F.struct(
             F.lower(F.regexp_extract(m, LINK, 1)).alias("tag"),
             F.lower(F.regexp_extract(m, LINK, 2)).alias("attribute"),
-            unescape(F.regexp_replace(F.regexp_extract(m, LINK, 3), r"""^["']|["']$""", "")).alias("url"),
+            F.regexp_replace(F.regexp_extract(m, LINK, 3), r"""^["']|["']$""", "").alias("url"),
         ),
     )
+    # A second pass, as `unescape` uses its input several times.
+    return F.transform(raw, lambda m: F.struct(m["tag"].alias("tag"), m["attribute"].alias("attribute"), unescape(m["url"]).alias("url")))
 
 
 def unescape(text: Column) -> Column:
-    """Replaces references, in one pass each: numeric ones first, `&amp;` last, so that no reference is made up."""
+    """Replaces references, in one pass each: numeric ones first, `&amp;` last, so that no reference is made up.
+    Names that HTML does not have stay."""
     numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), 0))
 
     def character(m: Column) -> Column:
@@ -84,8 +90,12 @@ def unescape(text: Column) -> Column:
     numeric = F.when(F.size(numbers) > 0, F.aggregate(numbers, text, lambda out, m: F.replace(out, m, character(m)))).otherwise(text)
     out = numeric
     for name, value in ENTITIES.items():
-        out = F.replace(out, F.lit(name), F.lit(value))
-    return out
+        if name != "&amp;":
+            out = F.replace(out, F.lit(name), F.lit(value))
+    known = F.map_from_arrays(*[F.split(F.lit("\x01".join(x)), "\x01") for x in (RARE.keys(), RARE.values())])
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&(?!(?:nbsp|middot|copy|quot|apos|lt|gt|amp|AMP);)[A-Za-z][A-Za-z0-9]{1,31};"), 0))
+    rare = F.when(F.size(found) > 0, F.aggregate(found, out, lambda so_far, m: F.replace(so_far, m, F.coalesce(F.try_element_at(known, m), m)))).otherwise(out)
+    return F.when(F.contains(text, F.lit("&AMP;")), F.regexp_replace(rare, "&(amp|AMP);", "&")).otherwise(F.replace(rare, F.lit("&amp;"), F.lit("&")))
 
 
 def lines_of(html: Column) -> Column:

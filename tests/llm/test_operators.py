@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from html.entities import html5
 
 import numpy as np
 import public_tokenizers
@@ -129,6 +130,14 @@ def test_warc_empty(spark):
     assert records(spark, []) == []
 
 
+def test_all_named_references(spark):
+    names = sorted(k for k in html5 if k.endswith(";") and k != "nbsp;")
+    rows = [(" ".join(f"[&{k}]" for k in names),), ("&amp;eacute; &AMP;amp; &uuml;&#252;&uuml; &nosuchname; &eacute &szlig;&mdash;&rsquo;",), ("none",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    got = [r[0] for r in df.select(warc.unescape(F.col("t"))).collect()]
+    assert got == [" ".join(f"[{html5[k]}]" for k in names), "&eacute; &amp; \u00fc\u00fc\u00fc &nosuchname; &eacute \u00df\u2014\u2019", "none", None]
+
+
 # 3 ---------------------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from streamtally.llm import bpe, fingerprints, language, near_dups, oracle, packing, quality, repeats, shards, urls, warc
+from streamtally.llm import audit, bpe, fingerprints, language, leaks, near_dups, oracle, packing, quality, repeats, search, shards, urls, warc
 from streamtally.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,22 @@ def op10_language_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+
+
+def op11_geometric_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
+def op12_potential_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_window_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.contamination(documents(spark, sf_dir), benchmark(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_weighted_sampling": op1_weighted_sampling,
@@ -91,5 +107,8 @@ QUERIES: dict[str, Query] = {
     "op8_url_trees": op8_url_trees,
     "op9_bpe": op9_bpe,
     "op10_language_codes": op10_language_codes,
+    "op11_geometric_search": op11_geometric_search,
+    "op12_potential_audit": op12_potential_audit,
+    "op13_window_decontamination": op13_window_decontamination,
 }
 ORACLE: dict[str, str] = oracle.ORACLE

@@ -192,7 +192,7 @@ class Unit:
         self.holders = np.repeat(np.arange(len(ids)), lengths)[order]
         self.list_first = np.searchsorted(term[order], np.arange(self.size + 1))
         self.blocks: dict[int, tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.read = self.skipped = 0
+        self.read = self.skipped = self.scored = 0  # blocks, blocks, documents
 
     def rows(self, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places of the documents' entries, and where each document's begin."""
@@ -260,6 +260,7 @@ class Unit:
                         if not len(docs):
                             continue
                         seen[docs] = True
+                        self.scored += len(docs)
                         entries, begin = self.rows(docs)
                         got = np.add.reduceat(coefficient[self.term[entries]] * self.value[entries], begin[:-1])
                         able = got >= floor

@@ -19,6 +19,7 @@ document count as one that has quality 1 (toxic 1) if any of them has. Extra col
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from itertools import permutations
 from math import factorial
@@ -128,10 +129,11 @@ def audit(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for k, f in enumerate(order):
             steps.append(("".join(FILTERS[i] for i in order), k + 1, 1 << f, before))
             before |= 1 << f
-    known = docs.sparkSession.createDataFrame(steps, "filter_order string, step int, own int, before int")
-    # 600 rows are joined with one row a part; a constant key, as every part takes every step.
-    games = potentials(worths(failures(docs, labels))).withColumn("every", F.lit(1))
-    rows = games.join(F.broadcast(known.withColumn("every", F.lit(1))), "every")
+    # 600 rows a part, from one constant.
+    fields = ("filter_order", "step", "own", "before")
+    listed = F.lit(json.dumps([dict(zip(fields, s, strict=True)) for s in steps]))
+    each = F.inline(F.from_json(listed, "array<struct<filter_order:string,step:int,own:int,before:int>>"))
+    rows = potentials(worths(failures(docs, labels))).select("part", "total", "worth", "good", "toxic", "potential", each)
 
     at = lambda name, s: F.element_at(name, s + 1)
     own, before = F.col("own"), F.col("before")

@@ -41,6 +41,10 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+# Number of ids, their decimals with a comma before each, and their vocabulary strings joined.
+Trace = tuple[int, bytes, bytes]
+
+
 class Codec:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -59,7 +63,7 @@ class Codec:
             self.strings[i] = bytes(letters[c] for c in token) if set(token) <= letters.keys() else token.encode()
         for token, i in self.added.items():
             self.strings[i] = token.encode()
-        self.decimals = [str(i) for i in range(size)]
+        self.decimals = [b",%d" % i for i in range(size)]
         self.byte_ids = [0] * 256
         for c, b in letters.items():
             self.byte_ids[b] = ids[c]
@@ -73,6 +77,8 @@ class Codec:
         self.special = regex.compile("(" + "|".join(map(regex.escape, words)) + ")") if words else None
         self.pieces: dict[str, bytes] = {}  # of pre-tokens
         self.runs: dict[str, bytes] = {}  # of runs that follow a space
+        self.traced: dict[str, Trace] = {}  # what the runs that follow a space are coded to
+        self.earlier: tuple[dict[str, bytes], dict[str, Trace]] = ({}, {})  # pieces and traced before they were full
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The pair of lowest rank, leftmost first, becomes one symbol until no pair has a rank."""
@@ -107,11 +113,13 @@ class Codec:
         """Packed ids of one pre-token."""
         packed = self.pieces.get(token)
         if packed is None:
-            byte_ids = self.byte_ids
-            packed = array(self.code, self.merge([byte_ids[b] for b in token.encode()])).tobytes()
+            packed = self.earlier[0].get(token)
+            if packed is None:
+                byte_ids = self.byte_ids
+                packed = array(self.code, self.merge([byte_ids[b] for b in token.encode()])).tobytes()
             if len(token) <= 64:  # a giant is not worth keeping
                 if len(self.pieces) >= MAX_CACHED:
-                    self.pieces.clear()
+                    self.earlier, self.pieces = (self.pieces, self.earlier[1]), {}
                 self.pieces[token] = packed
         return packed
 
@@ -152,6 +160,45 @@ class Codec:
             ids.frombytes(self.ordinary(text))
         return ids
 
+    def trace(self, packed: bytes) -> Trace:
+        ids = array(self.code, packed)
+        return len(ids), b"".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.strings.__getitem__, ids))
+
+    def _traced(self, word: str) -> Trace:
+        """Of the run `word` after a space; kept, so that a known run costs one lookup."""
+        found = self.traced.get(word)
+        if found is None:
+            found = self.earlier[1].get(word) or self.trace(self.run(" " + word))
+            if len(word) <= 64:
+                if len(self.traced) >= MAX_CACHED:
+                    self.earlier, self.traced = (self.earlier[0], self.traced), {}
+                self.traced[word] = found
+        return found
+
+    def _traces(self, text: str) -> list[Trace]:
+        """Of text without added tokens, in order."""
+        if UNSAFE.search(text):
+            return [self.trace(self.run(text))]
+        first, *rest = text.split(" ")
+        found = list(map(self.traced.get, rest))
+        if None in found:
+            found = [self._traced(word) if known is None else known for word, known in zip(rest, found, strict=True)]
+        return [self.trace(self.run(first)), *found] if first else found
+
+    def digests(self, text: str | None) -> tuple[int, str, str]:
+        """Number of ids, SHA-256 of their decimals joined by commas, SHA-256 of the decoded text."""
+        if text and self.special and self.special.search(text):
+            parts = []
+            for part in self.special.split(text):
+                if part in self.added:
+                    parts.append(self.trace(array(self.code, [self.added[part]]).tobytes()))
+                elif part:
+                    parts += self._traces(part)
+        else:
+            parts = self._traces(text) if text else []
+        counts, decimals, strings = zip(*parts, strict=True) if parts else ((), (), ())
+        return sum(counts), hashlib.sha256(b"".join(decimals)[1:]).hexdigest(), hashlib.sha256(_as_text(b"".join(strings))).hexdigest()
+
     def decode(self, ids) -> str:
         return b"".join(map(self.strings.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -162,8 +209,13 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+def _as_text(data: bytes) -> bytes:
+    """UTF-8 of what decodes from these bytes: themselves, or with replacement characters where they are not UTF-8."""
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return data.decode("utf-8", "replace").encode()
+    return data
 
 
 def encode(df: DataFrame, path: str) -> DataFrame:
@@ -200,19 +252,15 @@ def decode(df: DataFrame, path: str) -> DataFrame:
 
 def round_trip(df: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: encoding and decoding in one pass, so that the ids of
-    the corpus are neither shuffled nor sent back to the JVM."""
+    the corpus are neither shuffled nor sent back to the JVM. A known run carries the decimals and the vocabulary
+    strings of its ids, so a document is one join over its runs."""
 
     def make():
         model = codec(path)
-        decimals = model.decimals.__getitem__
 
         def work(batch):
-            counts, ids_sha, texts_sha = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = model.encode(text)
-                counts.append(len(ids))
-                ids_sha.append(_sha256(",".join(map(decimals, ids))))
-                texts_sha.append(_sha256(model.decode(ids)))
+            rows = [model.digests(text) for text in batch.column("text").to_pylist()]
+            counts, ids_sha, texts_sha = zip(*rows, strict=True) if rows else ((), (), ())
             return pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(texts_sha, pa.string())],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],

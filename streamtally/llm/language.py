@@ -183,17 +183,34 @@ def predict(df: DataFrame, model: Model) -> DataFrame:
     )
 
 
+def settled(label: str | None, pred: str, ambiguous: bool, learned: frozenset[str]) -> str | None:
+    """The language a row is given, or None if it is rejected (see `identified`)."""
+    if pred == UNKNOWN or (ambiguous and label not in learned):
+        return None
+    return label if ambiguous else pred
+
+
 def identified(df: DataFrame, model: Model) -> DataFrame:
-    """The rows whose text has a learned language, all columns as they are."""
+    """The rows whose language can be told, with `lang` settled; all other columns as they are.
+
+    A clear prediction decides: it fills a null label, replaces one that was never learned, and overrules a learned
+    one that differs. Where the prediction is ambiguous, a learned label stands; without one the row is rejected.
+    Rows whose text is null or has no letter are rejected.
+    """
     shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index("lang")
 
     def make():
+        learned = frozenset(shared.value.languages)
+
         def work(batch):
-            texts, keep = batch.column("text").to_pylist(), []
+            texts, labels, given = batch.column("text").to_pylist(), batch.column("lang").to_pylist(), []
             step = max(1, len(texts) * PIECE // max(batch.nbytes, PIECE))
             for k in range(0, len(texts), step):
-                keep += [p != UNKNOWN for p in judge(shared.value, texts[k : k + step])[0]]
-            return batch.filter(pa.array(keep, pa.bool_()))
+                pred, _, ambiguous = judge(shared.value, texts[k : k + step])
+                given += [settled(x, p, bool(a), learned) for x, p, a in zip(labels[k : k + step], pred, ambiguous, strict=True)]
+            columns = [pa.array(given, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
+            return pa.RecordBatch.from_arrays(columns, batch.schema.names).filter(pa.array([g is not None for g in given], pa.bool_()))
 
         return work
 

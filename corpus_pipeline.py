@@ -20,7 +20,10 @@ ORACLE_SQL = None  # the stages are trained, hashed or packed; tests hold each a
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which no language can be told go: null texts and texts without a letter."""
+    """Documents of which no language can be told go; `lang` of the others becomes what a clear prediction says.
+
+    Rejected are texts that are null or have no letter, and ambiguous ones without a learned label.
+    """
     learned = docs.where(F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 != 2, F.lit(True)))
     return language.identified(docs, language.learn(learned))
 

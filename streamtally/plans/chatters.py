@@ -6,7 +6,7 @@ rollup (chatter x channel, then chatter), so none of them joins the others.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from streamtally.functions.ratio import ratio, rows
@@ -15,6 +15,10 @@ from streamtally.functions.time import day_of, hour_of, plus_seconds, quarter_ho
 from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut
 from streamtally.operators.ranking import rank_descending
 from streamtally.settings import Settings
+from streamtally.sources.table_log import Table
+from streamtally.sources.table_log import day_of as days_since_1970
+
+DAY_MICROS = 86_400_000_000
 
 
 def channel_activity(chat: DataFrame) -> DataFrame:
@@ -260,6 +264,25 @@ def refresh_quarter_hours(existing: DataFrame, chat: DataFrame, settings: Settin
     return kept.unionByName(fresh)
 
 
+def quarter_hour_table(spark: SparkSession, path: str) -> Table:
+    columns = "chatter_id string, quarter_hour_bucket timestamp, distinct_channel_count bigint, message_count bigint"
+    return Table(spark, path, columns, "quarter_hour_bucket", bucket=days_since_1970("quarter_hour_bucket"))
+
+
+def store_quarter_hours(table: Table, chat: DataFrame, settings: Settings) -> list[int]:
+    """An incremental run of `refresh_quarter_hours` on a stored table: only the days from the lookback on are read
+    and rewritten, in one commit. Returns those days. A run that failed has no effect and is simply run again."""
+    manifest = table.manifest()
+    newest = max((p.high for p in manifest.parts if p.high is not None), default=None)
+    if newest is None:
+        first, existing = None, table.read(buckets=[])
+    else:
+        first = (newest - settings.quarter_hour_lookback_minutes * 60_000_000) // DAY_MICROS
+        existing = table.read(buckets={p.bucket for p in manifest.parts if p.bucket >= first})
+    after = refresh_quarter_hours(existing, chat, settings)
+    return sorted(p.bucket for p in table.replace(after, manifest.epoch + 1))
+
+
 def retention(quarters: DataFrame, rolled: DataFrame) -> DataFrame:
     """Presence per bucket. A chatter has one row per bucket, which bounds the window."""
     own = Window.partitionBy("chatter_id")

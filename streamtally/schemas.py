@@ -49,6 +49,11 @@ LATEST_STATE_KEYS = {
     "emote_catalog": ["service", "scope", "channel", "emote_id"],
 }
 LATEST_STATE_CLOCK = {"donation_goals": "snapshot_at", "emote_catalog": "fetched_at"}
+# Event time of each table, by which its parts are skipped.
+CLOCKS = {
+    "live_chat": "message_sent_at", "metadata_snapshots": "snapshot_at", "event_snapshots": "ingested_at",
+    "donation_goals": "snapshot_at", "emote_catalog": "fetched_at",
+}
 
 # Fixed values of the catalog.
 GLOBAL_CHANNEL = "__global__"

@@ -36,6 +36,9 @@ class Settings:
     hot_slice_rows: int = 1_000_000
     # Up to this many batch ids of a micro-batch are looked up through a filter pushed to the files.
     pushed_ids: int = 1000
+    # Parts of the ingest's replay index, by hash of the batch id, and of the state of previous-row streams, by key.
+    replay_buckets: int = 64
+    state_buckets: int = 16
     # Channel pairs one row may fan out to before its work is split over more rows.
     pairs_per_piece: int = 50_000
     # Width of the time cell in interval joins.

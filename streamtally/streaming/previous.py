@@ -1,10 +1,14 @@
 """The previous row of a key on a stream: what `lag` is in batch.
 
-Window functions are not available on streams, so each micro-batch is worked off as a batch: its rows,
-the stored rows of the same keys that come after its earliest row, and each key's last stored row before
-that, go through `previous_row`, which cuts a hot key's rows over many tasks. A row that comes late thus
-finds its place, and the row after it is derived again. Every micro-batch writes folders of its own, which
-a repeated micro-batch overwrites; of a row derived more than once the last result counts.
+Window functions are not available on streams, so each micro-batch is worked off as a batch. Three tables are kept
+(`table_log`): the last row of each key, in buckets by key, of which a micro-batch opens and rewrites those of its
+own keys; all rows, in parts with their time span; and the last row of each key and day.
+
+Rows that come in order need the first table only, so what a micro-batch reads does not grow with the stream. Of a
+key whose rows come late, the stored rows from the day of the earliest late row on are read, and the row before
+that day is found among the last rows of the days. All of them go through `previous_row`, which cuts a hot key's
+rows over many tasks: a late row finds its place, and the rows after it are derived again. A repeated micro-batch
+starts from the tables before it; of a row derived more than once the last result counts.
 """
 
 from __future__ import annotations
@@ -12,16 +16,17 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from streamtally.functions.time import seconds_between
 from streamtally.operators.latest import latest_per_key
 from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut
 from streamtally.schemas import MONEY
 from streamtally.settings import Settings
+from streamtally.sources.table_log import Table, bucket_of
 
 
 @dataclass(frozen=True)
@@ -35,35 +40,70 @@ class Job:
     result: Callable[[DataFrame, Settings], DataFrame]
 
 
-def _stored(spark: SparkSession, path: str, before: int) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path).where(F.col("epoch") < before)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
-def derive(rows: DataFrame, stored: DataFrame | None, job: Job, settings: Settings) -> DataFrame:
-    """The new rows, and the stored ones after them, with struct `prev`."""
-    order = list(job.order)
-    columns = rows.columns
-    fresh = rows.withColumn("_old", F.lit(False))
-    if stored is not None:
-        lowest = rows.groupBy(job.key).agg(F.min(order_key(order)).alias("_low"))
-        met = stored.select(columns).join(lowest, job.key)
-        at = order_key(order)
-        after = met.where(at > F.col("_low")).select(*columns, F.lit(False).alias("_old"))
-        rest = [c for c in columns if c != job.key]
-        before = latest_per_key(met.where(at < F.col("_low")), [job.key], order, rest)
-        fresh = fresh.unionByName(after).unionByName(before.select(*columns, F.lit(True).alias("_old")))
+class Store:
+    """The tables of one job under `root`, for rows of this schema."""
+
+    def __init__(self, spark: SparkSession, root: str, job: Job, schema: StructType, settings: Settings):
+        self.job, self.columns = job, schema.names
+        ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        clock = job.order[0]
+        self.rows = Table(spark, f"{root}/rows", ddl, clock)
+        self.tails = Table(spark, f"{root}/tails", ddl, clock)
+        self.bucket = bucket_of(job.key, settings.state_buckets)
+        self.state = Table(spark, f"{root}/state", ddl, bucket=self.bucket)
+
+    def latest(self, rows: DataFrame, *by: Column) -> DataFrame:
+        """Each key's last row, or the last one per key and `by`."""
+        job, names = self.job, [f"_by{i}" for i in range(len(by))]
+        rest = [c for c in self.columns if c != job.key]
+        keyed = rows.select("*", *[c.alias(n) for c, n in zip(by, names, strict=True)])
+        return latest_per_key(keyed, [job.key, *names], list(job.order), rest).select(self.columns)
+
+    def buckets(self, rows: DataFrame) -> list[int]:
+        """Those of the rows' keys: `state_buckets` numbers at most."""
+        return [r[0] for r in rows.select(self.bucket).distinct().collect()]
+
+    def around(self, rows: DataFrame, last: DataFrame, epoch: int) -> tuple[DataFrame, DataFrame]:
+        """Of the keys of `rows`: each one's last stored row before its first new row, and the stored rows after that."""
+        job, clock = self.job, self.job.order[0]
+        at = order_key(list(job.order))
+        lowest = rows.groupBy(job.key).agg(F.min(at).alias("_low"))
+        met = last.join(lowest, job.key)
+        before = met.where(at < F.col("_low")).select(self.columns)
+        late = met.where(at >= F.col("_low")).select(job.key, "_low")
+        day = F.date_trunc("day", f"_low.{clock}")
+        first = late.agg(F.min(day).alias("day"), F.unix_micros(F.min(day)).alias("micros")).first()
+        if first["day"] is None:
+            return before, before.limit(0)
+        near = self.rows.read(epoch, low=first["micros"]).where(F.unix_micros(clock) >= first["micros"]).join(late, job.key)
+        far = self.tails.read(epoch, high=first["micros"]).where(F.unix_micros(clock) < first["micros"]).join(late, job.key)
+        earlier = near.where(at < F.col("_low")).select(self.columns).unionByName(far.select(self.columns))
+        return before.unionByName(self.latest(earlier)), near.where(at > F.col("_low")).select(self.columns)
+
+    def keep(self, rows: DataFrame, last: DataFrame, epoch: int) -> None:
+        self.rows.append(rows, epoch)
+        self.tails.append(self.latest(rows, F.to_date(self.job.order[0])), epoch)
+        self.state.replace(self.latest(last.unionByName(rows)), epoch)
+
+
+def combined(rows: DataFrame, before: DataFrame, after: DataFrame, job: Job) -> DataFrame:
+    """The new rows, the stored ones that are derived again, and the ones before them, marked `_old`."""
+    fresh = rows.unionByName(after).withColumn("_old", F.lit(False)).unionByName(before.withColumn("_old", F.lit(True)))
     # A row delivered twice is one row.
-    once = fresh.dropDuplicates([job.key, *order])
-    cut = slice_hot_keys(once, [job.key], micros(order[0]), settings)
-    ordered = uncut(previous_row(cut, [job.key], order, list(job.carry)))
+    return fresh.dropDuplicates([job.key, *job.order])
+
+
+def derive(once: DataFrame, job: Job, settings: Settings) -> DataFrame:
+    """The rows that are not `_old`, with struct `prev`."""
+    cut = slice_hot_keys(once, [job.key], micros(job.order[0]), settings)
+    ordered = uncut(previous_row(cut, [job.key], list(job.order), list(job.carry)))
     return ordered.where(~F.col("_old")).drop("_old")
 
 
+def _results(spark: SparkSession, root: str, schema: StructType) -> Table:
+    return Table(spark, f"{root}/out", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields))
+
+
 def start(
     stream: DataFrame, job: Job, root: str, settings: Settings = Settings(), every: str | None = None
 ) -> StreamingQuery:
@@ -73,9 +113,14 @@ def start(
         spark = batch.sparkSession
         rows = batch.where(F.col(job.key).isNotNull() & F.col(job.order[0]).isNotNull()).persist()
         try:
-            rows.write.mode("overwrite").parquet(f"{root}/rows/epoch={epoch}")
-            derived = derive(rows, _stored(spark, f"{root}/rows", epoch), job, settings)
-            derived.write.mode("overwrite").parquet(f"{root}/out/epoch={epoch}")
+            tables = Store(spark, root, job, rows.schema, settings)
+            last = tables.state.read(epoch, buckets=tables.buckets(rows))
+            # Read several times by what follows.
+            once = combined(rows, *tables.around(rows, last, epoch), job).persist()
+            derived = derive(once, job, settings).withColumn("epoch", F.lit(epoch).cast("long"))
+            _results(spark, root, derived.schema).append(derived, epoch)
+            once.unpersist()
+            tables.keep(rows, last, epoch)
         finally:
             rows.unpersist()
 
@@ -83,9 +128,12 @@ def start(
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def read(spark: SparkSession, job: Job, root: str, settings: Settings = Settings()) -> DataFrame:
-    """The job's result over everything stored so far."""
-    versions = spark.read.parquet(f"{root}/out")
+def read(stream: DataFrame, job: Job, root: str, settings: Settings = Settings()) -> DataFrame:
+    """The job's result over everything stored so far. Of the stream only the columns are used."""
+    spark, schema = stream.sparkSession, job.rows(stream).schema
+    fields = {f.name: f for f in schema.fields}
+    prev = StructField("prev", StructType([fields[c] for c in job.carry]))
+    versions = _results(spark, root, StructType([*schema.fields, prev, StructField("epoch", LongType())])).read()
     keys = [job.key, *job.order]
     rest = [c for c in versions.columns if c not in (*keys, "epoch")]
     return job.result(latest_per_key(versions, keys, ["epoch"], rest), settings)

@@ -82,6 +82,22 @@ def test_incremental_quarter_hours_replace_the_lookback_only(spark):
     ]
 
 
+def test_incremental_runs_rewrite_the_days_of_the_lookback(spark, tmp_path):
+    day, midnight = 86_400, 86_400 - T0.hour * 3600 - T0.minute * 60
+    table = chatters.quarter_hour_table(spark, str(tmp_path / "t"))
+    when = lambda seconds: at(midnight + seconds)
+    sent = [{"chatter_id": "x", "message_sent_at": when(k * day + 7)} for k in range(3)]
+    first = (T0 - dt.datetime(1970, 1, 1, tzinfo=T0.tzinfo)).days + 1
+    assert chatters.store_quarter_hours(table, messages(spark, sent), S) == [first, first + 1, first + 2]
+    more = [*sent, {"chatter_id": "y", "message_sent_at": when(2 * day + 8)}, {"chatter_id": "x", "message_sent_at": when(3 * day)}, {"chatter_id": "x", "message_sent_at": when(9)}]
+    # The lookback reaches into the day before the newest bucket, which starts its day.
+    assert chatters.store_quarter_hours(table, messages(spark, more), S) == [first + 1, first + 2, first + 3]
+    assert sorted((r["chatter_id"], r["quarter_hour_bucket"], r["message_count"]) for r in table.read().collect()) == [
+        ("x", when(0), 1), ("x", when(day), 1), ("x", when(2 * day), 1), ("x", when(3 * day), 1), ("y", when(2 * day), 1)
+    ]
+    assert chatters.store_quarter_hours(table, messages(spark, more), S) == [first + 2, first + 3]
+
+
 def test_freshness_levels(spark):
     rows = messages(spark, [{"ingested_at": T0}])
     for minutes, status in ((15, "pass"), (16, "warn"), (60, "warn"), (61, "error")):

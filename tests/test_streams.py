@@ -57,7 +57,7 @@ def test_previous_row_across_micro_batches_and_late_rows(spark, tmp_path):
     )
     root = str(tmp_path / "job")
     previous.start(stream, previous.CHANNEL_HOPS, root, S).awaitTermination()
-    hops = previous.read(spark, previous.CHANNEL_HOPS, root, S).collect()
+    hops = previous.read(stream, previous.CHANNEL_HOPS, root, S).collect()
     assert sorted((r["from_channel"], r["to_channel"], r["gap_seconds"]) for r in hops) == [("a", "c", 5.0), ("b", "a", 10.0), ("c", "b", 5.0)]
 
 
@@ -69,8 +69,9 @@ def test_previous_row_of_a_hot_key_out_of_order(spark, tmp_path):
     rng.shuffle(order)
     feeds = [[{**rows[i], "id": i, "row_number": i} for i in order[k::8]] for k in range(8)]
     tight, root = Settings(hot_key_rows=10, hot_slice_rows=5), str(tmp_path / "job")
-    previous.start(feed(spark, tmp_path / "in", *feeds), previous.CHANNEL_HOPS, root, tight).awaitTermination()
-    got = Counter((r["chatter_id"], r["from_channel"], r["to_channel"], r["departed_at"], r["arrived_at"]) for r in previous.read(spark, previous.CHANNEL_HOPS, root, tight).collect())
+    stream = feed(spark, tmp_path / "in", *feeds)
+    previous.start(stream, previous.CHANNEL_HOPS, root, tight).awaitTermination()
+    got = Counter((r["chatter_id"], r["from_channel"], r["to_channel"], r["departed_at"], r["arrived_at"]) for r in previous.read(stream, previous.CHANNEL_HOPS, root, tight).collect())
     want = Counter()
     for name in {r["chatter_id"] for r in rows}:
         own = [r for r in rows if r["chatter_id"] == name]

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamtally import Settings
+from streamtally import Models, Settings
 from streamtally.plans import quality, staging
 from streamtally.session import configure, scratch_dir
 from streamtally.sources import chat_lines, emote_apis, envelopes, event_api, polls, replay, stores
-from streamtally.streaming import ingest, previous, windows
-from streamtally.streaming.run import drain
+from streamtally.streaming import alerts, ingest, previous, rolling, windows
+from streamtally.streaming.run import deliver, drain, drained
 from workload import raw, tables
 
 S = Settings()
@@ -252,7 +252,7 @@ def _snapshot_stream(spark, d, batches=1):
 def _followed(spark, stream, job):
     root = scratch_dir(spark, "previous")
     previous.start(stream, job, root, S).awaitTermination()
-    return previous.read(spark, job, root, S)
+    return previous.read(stream, job, root, S)
 
 
 def stream_dedup(spark, d):
@@ -278,36 +278,81 @@ def channel_running_counts(spark, d):
     return drain(spark, windows.channel_running_counts(_chat_stream(spark, d)), ["channel"])
 
 
+def stream_late_rows(spark, d):
+    """Hours of a stream that gets a tenth of its first hours with its last: they are too late and do not count."""
+    root = scratch_dir(configure(spark), "late")
+    parts = windows.hourly_chat_parts(tables.live_chat(raw.inbox_stream(spark, d, f"{root}/inbox")))
+    seen = []
+    for rows in raw.in_turn(spark, d, 4, "k % 10 = 0"):
+        rows.write.mode("append").parquet(f"{root}/inbox")
+        seen = drained(spark, parts, root, windows.HOUR_KEYS)
+    return windows.hourly_chat(seen)
+
+
 def stream_stall_alert(spark, d):
-    seen = drain(spark, windows.last_seen(_chat_stream(spark, d)), ["channel"])
-    return windows.stalled(seen, F.lit("2024-01-03 12:00:00").cast("timestamp"), 5)
+    """Eight deliveries; the polls of the event are the heartbeat that goes on while a channel is silent."""
+    root = scratch_dir(configure(spark), "alerts")
+    base = raw.inbox_stream(spark, d, f"{root}/inbox")
+    beats = base.where(tables.SNAPSHOT_FILTER).select(F.timestamp_micros("us").alias("at"))
+    deliver(raw.in_turn(spark, d, 8), f"{root}/inbox", lambda: alerts.start(tables.live_chat(base), beats, root, 5, every=None))
+    return alerts.alerts(spark, root).read()
+
+
+def stream_rolling_parquet(spark, d):
+    """Per channel the rows in files of at most 500, and whether any file has more."""
+    root = scratch_dir(configure(spark), "rolling")
+    stream = _chat_stream(spark, d, 4).select("id", "channel", "message_text")
+    rolling.start(stream, f"{root}/files", f"{root}/checkpoint", rows_per_file=500, every=None).awaitTermination()
+    written = rolling.table(stream, f"{root}/files", rows_per_file=500).read().withColumn("file", F.input_file_name())
+    longest = written.groupBy("file").count().agg((F.max("count") <= 500).alias("files_within_limit")).select("files_within_limit").scalar()
+    return written.groupBy("channel").agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("id").alias("id_count")).withColumn("files_within_limit", longest)
+
+
+def _ingested(spark, d, sent: list[DataFrame]) -> str:
+    """Envelopes, each sent twice, through the whole ingest in several micro-batches; the root of the tables."""
+    root = scratch_dir(configure(spark), "ingest")
+    for _ in range(2):
+        for envelopes_ in sent:
+            envelopes_.write.mode("append").text(f"{root}/inbox")
+    inbox = spark.readStream.option("maxFilesPerTrigger", 16).text(f"{root}/inbox")
+    ingest.start(inbox, f"{root}/bronze", f"{root}/checkpoint", S, every=None).awaitTermination()
+    return f"{root}/bronze"
+
+
+def ingested_chat(spark, d):
+    """What the ingest stores of chat: typed values, and the time the envelope was sent."""
+    root = _ingested(spark, d, [raw.chat_envelopes(_base(spark, d))])
+    return stores.scan_bronze(spark, root, "live_chat").drop("id")
+
+
+def ingested_streamer_profile(spark, d):
+    """The profile of every streamer from envelopes that went through the ingest."""
+    b = _base(spark, d)
+    root = _ingested(spark, d, [raw.chat_envelopes(b), raw.metadata_envelopes(b), raw.snapshot_envelopes(b)])
+    stored = {name: stores.scan_bronze(spark, root, name) for name in ("live_chat", "metadata_snapshots", "event_snapshots")}
+    return Models(stored, S).streamer_profile
 
 
 def stream_donation_deltas(spark, d):
-    return _followed(spark, staging.snapshots(_snapshot_stream(spark, d, 3)), previous.DONATION_DELTAS)
+    return _followed(spark, staging.snapshots(_snapshot_stream(spark, d, 8)), previous.DONATION_DELTAS)
 
 
 def stream_mode_changes(spark, d):
-    with_streamers = _snapshot_stream(spark, d, 3).where(F.size("streamers") > 0)
+    with_streamers = _snapshot_stream(spark, d, 8).where(F.size("streamers") > 0)
     return _followed(spark, with_streamers, previous.MODE_CHANGES)
 
 
 def stream_channel_hops(spark, d):
-    return _followed(spark, _chat_stream(spark, d, 3), previous.CHANNEL_HOPS)
+    return _followed(spark, _chat_stream(spark, d, 8), previous.CHANNEL_HOPS)
 
 
 def stream_ingest(spark, d):
     """Chat and catalog envelopes, each sent twice, through the whole ingest."""
-    root = scratch_dir(configure(spark), "ingest")
-    sent = raw.chat_envelopes(_base(spark, d)).unionByName(raw.emote_envelopes(_part(spark, d)))
-    sent.write.mode("append").text(f"{root}/inbox")
-    sent.write.mode("append").text(f"{root}/inbox")
-    inbox = spark.readStream.option("maxFilesPerTrigger", 64).text(f"{root}/inbox")
-    ingest.start(inbox, f"{root}/bronze", f"{root}/checkpoint", S, every=None).awaitTermination()
-    chat = ingest.stored(spark, f"{root}/bronze", "live_chat").select(
+    root = _ingested(spark, d, [raw.chat_envelopes(_base(spark, d)), raw.emote_envelopes(_part(spark, d))])
+    chat = ingest.stored(spark, root, "live_chat").select(
         F.lit("live_chat").alias("table"), F.concat_ws("/", "batch_id", "row_number").alias("identity"), "channel"
     )
-    emotes = ingest.current(spark, f"{root}/bronze", "emote_catalog").select(
+    emotes = ingest.current(spark, root, "emote_catalog").select(
         F.lit("emote_catalog").alias("table"),
         F.concat_ws("/", "service", "scope", "emote_id", "emote_code").alias("identity"), "channel",
     )
@@ -325,7 +370,7 @@ QUERIES = {
         dq_unique_combination, dq_not_null, dq_accepted_values, dq_between, dq_exclude_synthetic, quality_report, source_freshness,
         gap_detection, gap_detection_overall, stream_dedup, stream_hourly_chat, stream_quarter_hour,
         chat_running_counts, channel_running_counts, stream_stall_alert, stream_donation_deltas, stream_mode_changes, stream_channel_hops,
-        stream_ingest,
+        stream_ingest, stream_late_rows, stream_rolling_parquet, ingested_chat, ingested_streamer_profile,
     ]
 }
 QUERIES["dq_freshness"] = source_freshness

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from streamtally.plans.quality import RULES
 from workload import tables as t
+from workload.oracle import RESULTS as MODEL_RESULTS
 from workload.oracle import d, duck_expr, eur, flat, secs
 
 _BADGE_TEXT = f"({t.BADGES_TAG})"
@@ -67,6 +68,8 @@ STEPS = {
         "select * exclude (air), last_value(air ignore nulls) over (partition by channel order by snapshot_at, poll_id "
         f"rows unbounded preceding) as air, {secs('air.at', 'snapshot_at')} as age from watch"
     ),
+    "parts": f"select *, least((us - {t.T0}) // 27000000000, 7) as part from base",
+    "turns": "select unnest(range(8)) as turn",
     "latest_emotes": (
         "select * from emo qualify row_number() over (partition by service, scope, channel, emote_id "
         "order by fetched_at desc) = 1"
@@ -214,10 +217,28 @@ RESULTS = {
     ),
     "chat_running_counts": "select channel, chatter, count(*) as message_count from chat group by all",
     "channel_running_counts": "select channel, count(*) as message_count from chat group by all",
+    "stream_late_rows": (
+        "select channel, date_trunc('hour', message_sent_at) as hour_bucket, count(*) as message_count, "
+        "count(distinct chatter_id) as unique_chatter_count from chat join base on event_id = id where message_sent_at is not null "
+        f"and not (us - {t.T0} < 54000000000 and k % 10 = 0) group by all".replace("channel, date", "chat.channel, date")
+    ),
     "stream_stall_alert": (
-        f"select channel, last_seen_at, {d('m')} as silent_minutes from (select channel, max(captured_at) as last_seen_at, "
-        f"{secs('max(captured_at)', chr(39) + '2024-01-03 12:00:00' + chr(39) + '::timestamp')} / 60 as m from chat "
-        "group by channel) where m > 5"
+        "select channel, make_timestamp(seen + 1000000) as last_seen_at, make_timestamp(now) as noticed_at, "
+        f"{d('(now - seen - 1000000) / 60e6')} as silent_minutes from (select turn, channel, max(us) as seen from turns "
+        "join (select us, channel, part from parts) on part <= turn group by all) join (select turn, max(us) as now from turns "
+        f"join (select us, part from parts where {t.SNAPSHOT_FILTER}) on part <= turn group by all) using (turn) "
+        "where now - seen - 1000000 > 300000000 qualify row_number() over (partition by channel, seen order by turn) = 1"
+    ),
+    "stream_rolling_parquet": (
+        "select channel, count(*) as row_count, count(distinct id) as id_count, true as files_within_limit from chat group by channel"
+    ),
+    "ingested_chat": (
+        "select batch_id, row_number, channel, chatter, chatter_id, message_text, message_sent_at, captured_at, "
+        f"{flat('badges')} as badges, {t.CHAT['user_type'].replace('k %', 'b.k %')} as user_type, account_created_at, "
+        f"{t.CHAT['broadcaster_type'].replace('user_id', 'b.user_id')} as broadcaster_type, {flat('emotes')} as emotes, "
+        "max(captured_at) over (partition by batch_id) as ingested_at "
+        "from (select * exclude (user_type, broadcaster_type) from chat) join (select event_id, k, user_id from base) b "
+        "on b.event_id = id"
     ),
     "stream_donation_deltas": _MOVES,
     "stream_mode_changes": (
@@ -230,6 +251,7 @@ RESULTS = {
         "select 'emote_catalog', concat_ws('/', service, scope, emote_id, emote_code), channel from latest_emotes"
     ),
 }
+RESULTS["ingested_streamer_profile"] = MODEL_RESULTS["streamer_profile"]
 RESULTS["dq_freshness"] = RESULTS["source_freshness"]
 
 

@@ -168,7 +168,25 @@ def chat_envelopes(b: DataFrame) -> DataFrame:
         ),
         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
     )
-    return _envelopes(tables.live_chat(b).select("batch_id", "row_number", payload.alias("payload")), "live_chat")
+    return _envelopes(tables.live_chat(b).select("batch_id", "row_number", "captured_at", payload.alias("payload")), "live_chat", "captured_at")
+
+
+def metadata_envelopes(b: DataFrame) -> DataFrame:
+    """Channel polls, a thousand at most in an envelope."""
+    return _envelopes(_sent(tables.metadata_snapshots(b), "snapshot_at"), "metadata", "snapshot_at")
+
+
+def snapshot_envelopes(b: DataFrame) -> DataFrame:
+    """One event snapshot per envelope, sent when it was taken."""
+    polls = tables.event_snapshots(b).where(F.size("streamers") > 0)
+    single = polls.withColumns({"streamers": F.to_json("streamers"), "batch_id": F.lpad(F.col("id").cast("string"), 12, "0"), "row_number": F.lit(0)})
+    return _envelopes(_sent(single, "ingested_at"), "event_snapshot", "ingested_at")
+
+
+def _sent(rows: DataFrame, clock: str) -> DataFrame:
+    fields = [c for c in rows.columns if c not in ("id", "ingested_at")]
+    payload = F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    return rows.select("batch_id", "row_number", clock, payload.alias("payload"))
 
 
 def emote_envelopes(part: DataFrame) -> DataFrame:
@@ -179,17 +197,19 @@ def emote_envelopes(part: DataFrame) -> DataFrame:
         F.struct("service", "scope", "channel", "emote_id", "emote_code", "fetched_at"),
         {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"},
     )
-    return _envelopes(keyed.select(F.concat(F.lit("e"), "batch_id").alias("batch_id"), F.unix_micros("fetched_at").alias("row_number"), payload.alias("payload")), "emote_catalog")
+    return _envelopes(keyed.select(F.concat(F.lit("e"), "batch_id").alias("batch_id"), F.unix_micros("fetched_at").alias("row_number"), "fetched_at", payload.alias("payload")), "emote_catalog", "fetched_at")
 
 
-def _envelopes(rows: DataFrame, stream: str) -> DataFrame:
+def _envelopes(rows: DataFrame, stream: str, clock: str) -> DataFrame:
+    """Envelopes that were sent with their last row."""
     listed = F.array_join(
         F.transform(F.array_sort(F.collect_list(F.struct("row_number", "payload"))), lambda r: r["payload"]), ","
     )
-    return rows.groupBy("batch_id").agg(listed.alias("_rows")).select(
+    sent_at = F.date_format(F.max(clock), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
+    return rows.groupBy("batch_id").agg(listed.alias("_rows"), sent_at.alias("_sent")).select(
         F.concat(
             F.lit(f'{{"source":"test","stream":"{stream}","batch_id":"'), "batch_id",
-            F.lit('","batched_at":"2024-01-01T00:00:00.000000Z","rows":['), "_rows", F.lit("]}"),
+            F.lit('","batched_at":"'), "_sent", F.lit('","rows":['), "_rows", F.lit("]}"),
         ).alias("value")
     )
 
@@ -228,6 +248,23 @@ def replay_documents(conversations: DataFrame) -> DataFrame:
     )
 
 
+def in_turn(spark: SparkSession, sf_dir: str, turns: int, late: str = "false") -> list[DataFrame]:
+    """The events cut into `turns` equal spans of time; rows of the first span for which `late` holds come with the last."""
+    events, base = tables.read(spark, sf_dir, "events"), tables.BASE
+    turn = f"least(({base['us']} - {tables.T0}) $DIV {216_000_000_000 // turns}, {turns - 1})"
+    k = tables.spark_expr(base["k"])
+    dealt = events.withColumn("_turn", F.expr(tables.spark_expr(turn))).withColumn("k", F.expr(k))
+    dealt = dealt.withColumn("_turn", F.when((F.col("_turn") == 0) & F.expr(late), turns - 1).otherwise(F.col("_turn")))
+    return [dealt.where(F.col("_turn") == t).select(events.columns) for t in range(turns)]
+
+
+def inbox_stream(spark: SparkSession, sf_dir: str, inbox: str) -> DataFrame:
+    """The events that are laid into a folder, squeezed like `tables.base`."""
+    events = tables.read(spark, sf_dir, "events")
+    events.where("false").write.parquet(inbox)
+    return tables.base_of(spark.readStream.schema(events.schema).parquet(inbox))
+
+
 def events_stream(spark: SparkSession, sf_dir: str, batches: int = 1) -> DataFrame:
     """The events table as a stream, squeezed like `tables.base`; in several micro-batches, rows come in no order."""
     events = tables.read(spark, sf_dir, "events")

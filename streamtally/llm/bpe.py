@@ -32,6 +32,7 @@ PATTERN = (
 UNSAFE = re.compile(rf"[{SPACE}] (?:[{SPACE}]|\Z)")
 
 MAX_CACHED = 250_000
+MAX_TRACED = 500_000  # about 150 MB a worker, and as much for the ones before
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,6 +46,11 @@ def byte_letters() -> dict[str, int]:
 Trace = tuple[int, bytes, bytes]
 
 
+def _letters(word: str) -> bool:
+    """Whether the word is one pre-token of letters, as far as all versions of Unicode agree on them."""
+    return word.isalpha() and (word.isascii() or max(word) < "\u0250")
+
+
 class Codec:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -80,6 +86,8 @@ class Codec:
         self.traced: dict[str, Trace] = {}  # what the runs that follow a space are coded to
         self.earlier: tuple[dict[str, bytes], dict[str, Trace]] = ({}, {})  # pieces and traced before they were full
 
+        self.marks = {m: self.trace(self.run(m)) for m in ".,;:!?"}
+
     def merge(self, symbols: list[int]) -> list[int]:
         """The pair of lowest rank, leftmost first, becomes one symbol until no pair has a rank."""
         n, ranks, merges = len(symbols), self.ranks, self.merges
@@ -109,14 +117,17 @@ class Codec:
                 heappush(queue, rank * n + h)
         return [s for s in symbols if s >= 0]
 
+    def _merged(self, token: str) -> bytes:
+        byte_ids = self.byte_ids
+        return array(self.code, self.merge([byte_ids[b] for b in token.encode()])).tobytes()
+
     def piece(self, token: str) -> bytes:
         """Packed ids of one pre-token."""
         packed = self.pieces.get(token)
         if packed is None:
             packed = self.earlier[0].get(token)
             if packed is None:
-                byte_ids = self.byte_ids
-                packed = array(self.code, self.merge([byte_ids[b] for b in token.encode()])).tobytes()
+                packed = self._merged(token)
             if len(token) <= 64:  # a giant is not worth keeping
                 if len(self.pieces) >= MAX_CACHED:
                     self.earlier, self.pieces = (self.pieces, self.earlier[1]), {}
@@ -165,12 +176,21 @@ class Codec:
         return len(ids), b"".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.strings.__getitem__, ids))
 
     def _traced(self, word: str) -> Trace:
-        """Of the run `word` after a space; kept, so that a known run costs one lookup."""
+        """Of the run `word` after a space. Words are kept, so that a known one costs one lookup; a word with a mark
+        behind it is put together from both, and runs over several lines, which hardly come again, are not kept."""
         found = self.traced.get(word)
         if found is None:
-            found = self.earlier[1].get(word) or self.trace(self.run(" " + word))
-            if len(word) <= 64:
-                if len(self.traced) >= MAX_CACHED:
+            stem, mark = word[:-1], self.marks.get(word[-1:])
+            if mark and _letters(stem):
+                n, decimals, strings = self._traced(stem)
+                return n + mark[0], decimals + mark[1], strings + mark[2]
+            found = self.earlier[1].get(word)
+            if found is None:
+                # A word of letters is one pre-token.
+                packed = self._merged(" " + word) if _letters(word) else self.run(" " + word)
+                found = self.trace(packed)
+            if len(word) <= 64 and "\n" not in word:
+                if len(self.traced) >= MAX_TRACED:
                     self.earlier, self.traced = (self.earlier[0], self.traced), {}
                 self.traced[word] = found
         return found

@@ -12,7 +12,7 @@ import hashlib
 import json
 import re
 from array import array
-from functools import lru_cache
+from functools import cached_property, lru_cache
 from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
@@ -86,7 +86,6 @@ class Codec:
         self.traced: dict[str, Trace] = {}  # what the runs that follow a space are coded to
         self.earlier: tuple[dict[str, bytes], dict[str, Trace]] = ({}, {})  # pieces and traced before they were full
 
-        self.marks = {m: self.trace(self.run(m)) for m in ".,;:!?"}
 
     def merge(self, symbols: list[int]) -> list[int]:
         """The pair of lowest rank, leftmost first, becomes one symbol until no pair has a rank."""
@@ -175,6 +174,10 @@ class Codec:
         ids = array(self.code, packed)
         return len(ids), b"".join(map(self.decimals.__getitem__, ids)), b"".join(map(self.strings.__getitem__, ids))
 
+    @cached_property
+    def marks(self) -> dict[str, Trace]:
+        return {m: self.trace(self.run(m)) for m in ".,;:!?"}
+
     def _traced(self, word: str) -> Trace:
         """Of the run `word` after a space. Words are kept, so that a known one costs one lookup; a word with a mark
         behind it is put together from both, and runs over several lines, which hardly come again, are not kept."""

@@ -23,6 +23,7 @@ def asof_join(
     lookback_seconds: int,
     settings: Settings,
     into: str = "match",
+    name: str | None = None,
 ) -> DataFrame:
     """Adds struct `into` (right_ts and `payload`) of the latest right row of the same key
     in [left_ts - lookback, left_ts], both ends included; null where there is none.
@@ -51,7 +52,7 @@ def asof_join(
         seen.alias("_seen"),
     )
     timeline = slice_hot_keys(
-        probes.unionByName(facts, allowMissingColumns=True), ["_key"], micros("_ts"), settings
+        probes.unionByName(facts, allowMissingColumns=True), ["_key"], micros("_ts"), settings, name=name, ties=["_side", "_tie"]
     )
     lanes = max(8, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = -2 - F.pmod(F.xxhash64("_ts"), F.lit(lanes)).cast("int")

@@ -20,6 +20,7 @@ from streamtally.settings import Settings
 
 SLICE = "_slice"
 _CUT_FROM = "_cut_from"
+SLICES = [SLICE, _CUT_FROM]
 _WHOLE = -1  # slice of a key that was not cut
 CELLS = 1 << 24
 
@@ -60,9 +61,14 @@ def slice_hot_keys(
     settings: Settings,
     nulls_first: bool = False,
     extent_of: DataFrame | None = None,
+    name: str | None = None,
+    ties: Sequence[str] = (),
 ) -> DataFrame:
     """Adds `_slice`; slices of one key are ordered like `axis`.
 
+    With `Settings.key_stats` the borders of a sequence that has a `name` come from there: they are measured once,
+    and rows with equal axis values are cut by `ties`. The rest is about finding them inside the plan.
+
     A hot key is cut by row count: its rows are counted in CELLS equal cells between its smallest and
     greatest axis value, and a slice takes cells until it has `hot_slice_rows`. Skewed values and single
     outliers thus do not matter as long as a cell stays small; rows with equal axis values stay together.
@@ -71,6 +77,8 @@ def slice_hot_keys(
     to compute, pass in `extent_of` a cheaper table with the same keys and axis values.
     """
     by = list(keys)
+    if settings.key_stats is not None and name is not None:
+        return _cut_at_borders(df, by, axis, settings, nulls_first, df if extent_of is None else extent_of, name, ties)
     spread = df.withColumn("_axis", axis.cast("double"))
     measured = spread if extent_of is None else extent_of.withColumn("_axis", axis.cast("double"))
     extent = [F.count(F.lit(1)).alias("_n"), F.min("_axis").alias("_lo"), F.max("_axis").alias("_hi")]
@@ -104,9 +112,29 @@ def slice_hot_keys(
     return sliced.drop("_axis", "_hi", "_starts")
 
 
+def _cut_at_borders(
+    df: DataFrame, by: list[str], axis: Column, settings: Settings, nulls_first: bool, measured: DataFrame, name: str, ties: Sequence[str]
+) -> DataFrame:
+    tied = [part for i, t in enumerate(ties) for part in (F.col(t).isNull().alias(f"n{i}"), F.col(t).alias(f"t{i}"))]
+    position = F.struct(axis.cast("double").alias("axis"), *tied)
+    borders = settings.key_stats.borders(name, measured, by, position, settings.hot_key_rows, settings.hot_slice_rows).table
+    if borders is None:
+        return df.withColumns({SLICE: F.lit(_WHOLE), _CUT_FROM: F.lit(None).cast("double")})
+    if by:
+        joined = df.join(F.broadcast(borders), by, "left")
+    else:
+        joined = df.withColumns({c: borders.select(c).scalar() for c in ("_starts", "_from")})
+    cut = (
+        F.when(F.col("_from").isNull(), F.lit(_WHOLE))
+        .when(axis.isNull(), F.lit(0) if nulls_first else F.size("_starts") + 1)
+        .otherwise(_slice_of(F.col("_starts"), position, CELLS))
+    )
+    return joined.withColumn(SLICE, cut.cast("int")).withColumnRenamed("_from", _CUT_FROM).drop("_starts")
+
+
 def uncut(df: DataFrame) -> DataFrame:
     """Drops the helper columns of `slice_hot_keys`."""
-    return df.drop(SLICE, _CUT_FROM)
+    return df.drop(*SLICES)
 
 
 def _cut_only(df: DataFrame) -> DataFrame:

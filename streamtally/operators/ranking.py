@@ -18,6 +18,7 @@ def rank_descending(
     into: str,
     settings: Settings,
     levels: DataFrame | None = None,
+    name: str | None = None,
 ) -> DataFrame:
     """Adds the rank of `value` within `keys` (none: over all rows), greatest and null first.
 
@@ -29,7 +30,7 @@ def rank_descending(
     """
     if levels is None:
         levels = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_rows"))
-    sliced = slice_hot_keys(levels, keys, -F.col(value).cast("double"), settings, nulls_first=True)
+    sliced = slice_hot_keys(levels, keys, -F.col(value).cast("double"), settings, nulls_first=True, name=name)
     ranked = running_sum(sliced, keys, [F.col(value).desc_nulls_first()], "_rows", "_upto").select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col(value).alias("_level"),

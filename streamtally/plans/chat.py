@@ -113,7 +113,7 @@ def emote_trends(usage: DataFrame, settings: Settings) -> DataFrame:
     daily = usage.groupBy("channel", "service", "emote_id", day_of("hour_bucket").alias("day_bucket")).agg(
         F.sum("usage_count").alias("usage_count")
     )
-    return rank_descending(daily, ["channel", "day_bucket"], "usage_count", "rank_within_channel_day", settings)
+    return rank_descending(daily, ["channel", "day_bucket"], "usage_count", "rank_within_channel_day", settings, name="emote days")
 
 
 def emote_catalog_utilization(coverage: DataFrame) -> DataFrame:

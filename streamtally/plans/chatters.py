@@ -149,7 +149,7 @@ def timeline(chat: DataFrame, settings: Settings) -> DataFrame:
     said = chat.where(F.col("chatter_id").isNotNull() & F.col("message_sent_at").isNotNull()).select(
         "chatter_id", "channel", "message_sent_at", "id"
     )
-    cut = slice_hot_keys(said, ["chatter_id"], micros("message_sent_at"), settings)
+    cut = slice_hot_keys(said, ["chatter_id"], micros("message_sent_at"), settings, name="messages", ties=["id"])
     return uncut(previous_row(cut, ["chatter_id"], ["message_sent_at", "id"], ["channel", "message_sent_at"]))
 
 
@@ -211,9 +211,9 @@ def leaderboard(channels: DataFrame, rolled: DataFrame, settings: Settings) -> D
     # A chatter stands on as many rows as it has channels, and each of them counts.
     overall = totals.groupBy("total_message_count").agg(F.sum("distinct_channel_count").alias("_rows"))
     # The totals are ranked before they meet the channels, where each would be many rows.
-    placed = rank_descending(totals, [], "total_message_count", "rank_global", settings, overall)
+    placed = rank_descending(totals, [], "total_message_count", "rank_global", settings, overall, "chatter totals")
     joined = channels.join(placed, "chatter_id")
-    return rank_descending(joined, ["channel"], "message_count", "rank_within_channel", settings, in_channel).select(
+    return rank_descending(joined, ["channel"], "message_count", "rank_within_channel", settings, in_channel, "channel totals").select(
         "chatter_id", "chatter", "channel", "message_count", "active_hours", "first_message_at", "last_message_at",
         "distinct_channel_count", "total_message_count", "rank_within_channel", "rank_global",
     )

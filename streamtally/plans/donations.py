@@ -20,7 +20,7 @@ _POLL_ORDER = ["ingested_at", "snapshot_id"]
 def deltas(snapshots: DataFrame, settings: Settings) -> DataFrame:
     """What came in between two polls of a streamer's running total."""
     named = snapshots.where(F.col("twitch_login").isNotNull())
-    cut = slice_hot_keys(named, ["twitch_login"], micros("ingested_at"), settings)
+    cut = slice_hot_keys(named, ["twitch_login"], micros("ingested_at"), settings, name="donations", ties=["snapshot_id"])
     ordered = previous_row(cut, ["twitch_login"], _POLL_ORDER, ["donation_amount_eur", "ingested_at"])
     moved = F.col("donation_amount_eur") - F.col("prev.donation_amount_eur")
     return ordered.select(
@@ -57,8 +57,8 @@ def rank(snapshots: DataFrame, settings: Settings) -> DataFrame:
     named = snapshots.where(F.col("twitch_login").isNotNull()).select(
         "snapshot_id", "twitch_login", "display_name", "ingested_at", "donation_amount_eur"
     )
-    ranked = rank_descending(named, ["ingested_at"], "donation_amount_eur", "donation_rank", settings)
-    cut = slice_hot_keys(ranked, ["twitch_login"], micros("ingested_at"), settings, extent_of=named)
+    ranked = rank_descending(named, ["ingested_at"], "donation_amount_eur", "donation_rank", settings, name="donation levels")
+    cut = slice_hot_keys(ranked, ["twitch_login"], micros("ingested_at"), settings, extent_of=named, name="donations", ties=["snapshot_id"])
     return previous_row(cut, ["twitch_login"], _POLL_ORDER, ["donation_rank"]).select(
         "snapshot_id", "twitch_login", "display_name", "ingested_at", "donation_amount_eur", "donation_rank",
         F.col("prev.donation_rank").alias("prev_donation_rank"),
@@ -88,7 +88,7 @@ def by_title(moves: DataFrame, metadata: DataFrame, settings: Settings) -> DataF
     return asof_join(
         gained, metadata.select("channel", "snapshot_at", "id", "title", "category"),
         "twitch_login", "ingested_at", "channel", "snapshot_at", "id", ["title", "category"],
-        settings.asof_lookback_seconds, settings,
+        settings.asof_lookback_seconds, settings, name="gains and titles",
     ).select(
         "twitch_login", "display_name", "ingested_at", "donation_delta_eur", "match.title", "match.category"
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from streamtally.functions.ratio import ratio, rows
 from streamtally.functions.time import day_of, seconds_between
-from streamtally.operators.ordered import micros, next_row, slice_hot_keys
+from streamtally.operators.ordered import next_row
 from streamtally.settings import Settings
 
 
@@ -57,9 +57,9 @@ def daily_rollup(chat_hourly: DataFrame, moves: DataFrame) -> DataFrame:
     return chat.join(donations, "day_bucket", "full_outer")
 
 
-def mode_timeline(changes: DataFrame, settings: Settings) -> DataFrame:
-    cut = slice_hot_keys(changes, [], micros("changed_at"), settings)
-    ordered = next_row(cut, [], ["changed_at", "snapshot_id"], ["changed_at", "total_donation_amount_eur"])
+def mode_timeline(changes: DataFrame) -> DataFrame:
+    """`changes` still have the slices of the polls, so they are not cut again."""
+    ordered = next_row(changes, [], ["changed_at", "snapshot_id"], ["changed_at", "total_donation_amount_eur"])
     return ordered.select(
         F.col("new_website_mode").alias("website_mode"),
         F.col("changed_at").alias("segment_started_at"),

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame
 
+from streamtally.operators.key_stats import KeyStats
 from streamtally.plans import chat, chatters, community, donations, event, staging, streams
 from streamtally.schemas import PROFILES
 from streamtally.settings import Settings
@@ -33,6 +35,11 @@ class Models:
             self.__dict__[name] = df.sparkSession.read.schema(df.schema).parquet(path)
         return self
 
+    def measured(self, root: str) -> "Models":
+        """The same models with the key statistics of their sequences kept under `root`: each sequence is measured
+        by one small job when a model that needs it is first composed, and not again by every plan."""
+        return Models(self.bronze, replace(self.settings, key_stats=KeyStats(root)))
+
     # Staging
     @cached_property
     def stg_chat(self):
@@ -277,6 +284,10 @@ class Models:
     def title_segments(self):
         return streams.title_segments(self.stg_metadata, self.settings)
 
+    @cached_property
+    def sliced_mode_changes(self):
+        return streams.sliced_mode_changes(self.stg_snapshots, self.settings)
+
     @cached_property
     def mode_changes(self):
         return streams.mode_changes(self.stg_snapshots, self.settings)
@@ -333,4 +344,4 @@ class Models:
 
     @cached_property
     def mode_timeline(self):
-        return event.mode_timeline(self.mode_changes, self.settings)
+        return event.mode_timeline(self.sliced_mode_changes)

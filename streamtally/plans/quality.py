@@ -96,17 +96,31 @@ class Rule:
             return accepted_values(df, self.columns[0], self.values)
         return between(df, self.columns[0], *self.bounds, self.severity)
 
+    def entry(self, number: int) -> Column:
+        """What a row adds to the report: the rule's number and the value that is counted, or null.
 
-    def counted(self) -> Column:
-        """The number of `violations` as an aggregate, for all checks but uniqueness."""
+        Uniqueness takes every row's values, the other checks only the values of violating rows. Values are
+        compared as text, which is exact for all types of key columns.
+        """
         c = F.col(self.columns[0])
-        if self.check == "not_null":
-            return F.count_if(c.isNull())
-        if self.check == "accepted_values":
-            return F.count_distinct(F.when(~c.isin(list(self.values)), c))
         low, high = self.bounds
-        outside = (c < low if low is not None else F.lit(False)) | (c > high if high is not None else F.lit(False))
-        return F.count_if(outside)
+        if self.check == "unique":
+            counts = c.isNotNull() if len(self.columns) == 1 else F.lit(True)
+        elif self.check == "not_null":
+            counts = c.isNull()
+        elif self.check == "accepted_values":
+            counts = c.isNotNull() & ~c.isin(list(self.values))
+        else:
+            counts = (c < low if low is not None else F.lit(False)) | (c > high if high is not None else F.lit(False))
+        values = self.columns if self.check in ("unique", "accepted_values") else ()
+        key = F.array(*[F.col(v).cast("string") for v in values]) if values else F.array().cast("array<string>")
+        return F.when(counts, F.struct(F.lit(number).alias("rule"), key.alias("key")))
+
+    def violations_of(self, n: Column) -> Column:
+        """The number of `violations` from the counts of the rule's values."""
+        if self.check == "unique":
+            return F.count_if(n > 1)
+        return F.count(n) if self.check == "accepted_values" else F.sum(n)
 
 
 def _unique(model: str, *columns: str) -> Rule:
@@ -121,6 +135,7 @@ def _key(model: str, column: str) -> list[Rule]:
     return [_unique(model, column), *_present(model, column)]
 
 
+# Which columns of which model are keys, are required, or have a domain.
 RULES: list[Rule] = [
     *_key("stg_chat", "id"),
     *_present("stg_chat", "channel"),
@@ -182,28 +197,29 @@ RULES: list[Rule] = [
 
 
 def report(models, rules: Sequence[Rule] = RULES) -> DataFrame:
-    """One row per rule with its number of violations. A model is read once for all its rules on single
-    rows and values, and once more for each uniqueness rule."""
-    by_model: dict[str, list[Rule]] = {}
-    for rule in rules:
-        by_model.setdefault(rule.model, []).append(rule)
+    """One row per rule with its number of violations.
 
-    def row(rule: Rule, violations: Column) -> Column:
-        named = {"model": rule.model, "check": rule.check, "columns": ",".join(rule.columns), "severity": rule.severity}
-        return F.struct(*[F.lit(v).alias(k) for k, v in named.items()], violations.alias("violations"))
+    A model is read once for all its rules: every row is expanded to what it adds to each of them, and one
+    aggregate counts rules and values together. Write the models first (`Models.materialize`) where they are
+    derived from each other.
+    """
+    by_model: dict[str, list[tuple[int, Rule]]] = {}
+    for number, rule in enumerate(rules):
+        by_model.setdefault(rule.model, []).append((number, rule))
 
-    parts: list[DataFrame] = []
+    found: DataFrame | None = None
     for model, own in by_model.items():
-        df = getattr(models, model)
-        plain = [r for r in own if r.check != "unique"]
-        if plain:
-            counted = df.agg(*[r.counted().alias(f"_v{i}") for i, r in enumerate(plain)])
-            parts.append(counted.select(F.inline(F.array(*[row(r, F.col(f"_v{i}")) for i, r in enumerate(plain)]))))
-        for rule in own:
-            if rule.check == "unique":
-                twice = unique_combination(df, rule.columns).agg(rows().alias("_v"))
-                parts.append(twice.select(F.inline(F.array(row(rule, F.col("_v"))))))
-    result = parts[0]
-    for other in parts[1:]:
-        result = result.unionByName(other)
-    return result
+        entries = F.filter(F.array(*[rule.entry(number) for number, rule in own]), lambda e: e.isNotNull())
+        counted = getattr(models, model).select(F.inline(entries)).groupBy("rule", "key").agg(rows().alias("n"))
+        each = [F.coalesce(rule.violations_of(F.when(F.col("rule") == number, F.col("n"))), F.lit(0)).alias(f"v{number}") for number, rule in own]
+        listed = [
+            F.struct(*[F.lit(v).alias(k) for k, v in _named(rule).items()], F.col(f"v{number}").cast("long").alias("violations"))
+            for number, rule in own
+        ]
+        part = counted.agg(*each).select(F.inline(F.array(*listed)))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def _named(rule: Rule) -> dict[str, str]:
+    return {"model": rule.model, "check": rule.check, "columns": ",".join(rule.columns), "severity": rule.severity}

@@ -9,7 +9,7 @@ from streamtally.functions.ratio import ratio, rows
 from streamtally.functions.time import hour_of, plus_seconds, seconds_between
 from streamtally.operators.asof import asof_join
 from streamtally.operators.intervals import points_in_spans
-from streamtally.operators.ordered import micros, next_row, order_key, previous_row, running_sum, slice_hot_keys
+from streamtally.operators.ordered import SLICES, micros, next_row, order_key, previous_row, running_sum, slice_hot_keys, uncut
 from streamtally.settings import Settings
 
 _POLL_ORDER = ["snapshot_at", "id"]
@@ -60,7 +60,7 @@ def sessions(metadata: DataFrame) -> DataFrame:
 
 
 def session_gaps(broadcasts: DataFrame, settings: Settings) -> DataFrame:
-    cut = slice_hot_keys(broadcasts, ["channel"], micros("stream_started_at"), settings)
+    cut = slice_hot_keys(broadcasts, ["channel"], micros("stream_started_at"), settings, name="sessions", ties=["broadcaster_id"])
     ordered = next_row(cut, ["channel"], ["stream_started_at", "broadcaster_id"], ["stream_started_at"])
     return ordered.select(
         "channel", "broadcaster_id", "stream_started_at", "last_seen_at",
@@ -75,7 +75,7 @@ def _on_air(metadata: DataFrame, settings: Settings) -> DataFrame:
     live = metadata.where("is_live").select(
         "channel", "broadcaster_id", "title", "category", "viewer_count", "snapshot_at", "id"
     )
-    cut = slice_hot_keys(live, ["channel"], micros("snapshot_at"), settings)
+    cut = slice_hot_keys(live, ["channel"], micros("snapshot_at"), settings, name="live polls", ties=["id"])
     ordered = previous_row(cut, ["channel"], _POLL_ORDER, ["title", "category", "viewer_count"])
     same = F.col("title").eqNullSafe(F.col("prev.title")) & F.col("category").eqNullSafe(F.col("prev.category"))
     return ordered.withColumn("_changed", ~same)
@@ -111,18 +111,23 @@ def title_segments(metadata: DataFrame, settings: Settings) -> DataFrame:
 
 
 def mode_changes(snapshots: DataFrame, settings: Settings) -> DataFrame:
-    """Changes of the event site's own mode. The sequence is event-wide, so it has no
-    key to partition by; it is cut into time slices once it is long."""
+    """Changes of the event site's own mode."""
+    return uncut(sliced_mode_changes(snapshots, settings))
+
+
+def sliced_mode_changes(snapshots: DataFrame, settings: Settings) -> DataFrame:
+    """The same with the slices of the polls, for further sequences over them. The sequence is event-wide, so it
+    has no key to partition by; it is cut into time slices once it is long."""
     polls = snapshots.select(
         "snapshot_id", "ingested_at", "website_mode", "total_donation_amount_eur", "total_viewer_count"
     ).distinct()
-    cut = slice_hot_keys(polls, [], micros("ingested_at"), settings)
+    cut = slice_hot_keys(polls, [], micros("ingested_at"), settings, name="event polls", ties=["snapshot_id"])
     ordered = previous_row(cut, [], ["ingested_at", "snapshot_id"], ["website_mode"])
     return ordered.where(~F.col("website_mode").eqNullSafe(F.col("prev.website_mode"))).select(
         "snapshot_id", F.col("ingested_at").alias("changed_at"),
         F.col("prev.website_mode").alias("prev_website_mode"),
         F.col("website_mode").alias("new_website_mode"),
-        "total_donation_amount_eur", "total_viewer_count",
+        "total_donation_amount_eur", "total_viewer_count", *SLICES,
     )
 
 
@@ -211,7 +216,7 @@ def liveness_reconciliation(snapshots: DataFrame, metadata: DataFrame, settings:
     matched = asof_join(
         claims, metadata.select("channel", "snapshot_at", "id", "is_live"),
         "twitch_login", "ingested_at", "channel", "snapshot_at", "id", ["is_live"],
-        settings.asof_lookback_seconds, settings,
+        settings.asof_lookback_seconds, settings, name="claims and polls",
     )
     return matched.select(
         "twitch_login", "snapshot_id",

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import TYPE_CHECKING
+
+if TYPE_CHECKING:
+    from streamtally.operators.key_stats import KeyStats
 
 
 @dataclass(frozen=True)
@@ -43,3 +47,5 @@ class Settings:
     pairs_per_piece: int = 50_000
     # Width of the time cell in interval joins.
     interval_cell_seconds: int = 3600
+    # Where hot keys and their borders are measured and kept; without it every plan finds them itself.
+    key_stats: KeyStats | None = field(default=None, compare=False)

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 
 # Fixed pattern of a message line: optional tags, sender, channel, text. `(?d)`: only a line feed
-# ends a line; the other terminators of Unicode and a lone carriage return are text.
-MESSAGE_LINE = r"(?d)^(?:@(\S+) )?:([^!]+)!\S+ PRIVMSG #(\S+) :(.*)$"
+# ends a line, so no part holds one; the other terminators of Unicode and a lone carriage return are text.
+MESSAGE_LINE = r"(?d)^(?:@(\S+) )?:([^!\n]+)!\S+ PRIVMSG #(\S+) :(.*)$"
 
 
 def pairs_of(raw: str | Column, between: str, within: str) -> Column:
@@ -46,8 +46,8 @@ def parse_chat_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     are dropped. Line ends around a line are no part of it. All other input columns are kept."""
     kept = [c for c in lines.columns if c != column]
     line = F.btrim(F.col(column), F.lit("\r\n"))
-    # All four groups in one pass of the pattern, joined by a character that only the last may contain.
-    groups = F.split(F.regexp_replace(line, MESSAGE_LINE, "$1\u0001$2\u0001$3\u0001$4"), "\u0001", 4)
+    # All four groups in one pass of the pattern, joined by line feeds, which none of them can hold.
+    groups = F.split(F.regexp_replace(line, MESSAGE_LINE, "$1\n$2\n$3\n$4"), "\n", 4)
     parts = lines.where(line.rlike(MESSAGE_LINE)).select(*kept, groups.alias("_g"))
     tags = F.col("_g")[0]
     return parts.select(
@@ -94,9 +94,11 @@ def enrich_accounts(rows: DataFrame, accounts: DataFrame) -> DataFrame:
         F.col("chatter_id").alias("_id"), "account_created_at", "broadcaster_type", "resolved_at"
     )
     in_time = F.col("resolved_at") <= F.col("captured_at")
-    # Messages without an id match nothing and would meet in one task.
-    nameless = F.when(F.col("chatter_id").isNull(), F.concat(F.lit("?"), F.xxhash64("channel", "message_text", "captured_at").cast("string")))
-    return rows.join(facts, F.coalesce("chatter_id", nameless) == F.col("_id"), "left").select(
+    # Messages without an id match nothing and would meet in one task: their keys are spread, and told from ids.
+    lane = F.when(F.col("chatter_id").isNull(), F.xxhash64("channel", "message_text", "captured_at")).otherwise(F.lit(0))
+    own = F.struct(lane.alias("lane"), F.coalesce("chatter_id", F.lit("")).alias("id"))
+    wanted = F.struct(F.lit(0).cast("long").alias("lane"), F.coalesce("_id", F.lit("")).alias("id"))
+    return rows.join(facts.where(F.col("_id").isNotNull()), own == wanted, "left").select(
         *rows.columns,
         F.when(in_time, F.col("account_created_at")).alias("account_created_at"),
         F.when(in_time, F.col("broadcaster_type")).alias("broadcaster_type"),

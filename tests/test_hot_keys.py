@@ -25,8 +25,19 @@ def con():
     return connect(SF_DIR)
 
 
+@pytest.fixture(scope="module")
+def measured(spark, tmp_path_factory):
+    """Models whose sequences are cut at measured borders; each is measured once for all tests."""
+    return tables.models(spark, SF_DIR, TIGHT).measured(str(tmp_path_factory.mktemp("stats")))
+
+
 @pytest.mark.parametrize("name", SLICED)
-def test_sliced_results_agree(spark, con, name):
+def test_sliced_results_agree(measured, con, name):
+    assert differences(queries.comparable(getattr(measured, name)), con, SQL[name]) == []
+
+
+@pytest.mark.parametrize("name", ["chat_inter_arrival", "chatter_leaderboard", "donation_rank", "mode_timeline", "donation_by_title"])
+def test_results_agree_without_statistics(spark, con, name):
     df = queries.comparable(getattr(tables.models(spark, SF_DIR, TIGHT), name))
     assert differences(df, con, SQL[name]) == []
 
@@ -76,3 +87,34 @@ def test_slices_hold_about_the_same_rows(spark, axis):
     assert max(sizes) <= 2 * max(target, most_equal)
     got = {r["id"]: r["prev"] and r["prev"]["id"] for r in previous_row(cut, ["k"], ["at", "id"], ["id"]).collect()}
     assert got == {i: i - 1 if i else None for i in range(n)}
+
+
+@pytest.mark.parametrize("axis", ["outlier", "pareto", "equal", "null"])
+def test_measured_borders_cut_evenly(spark, tmp_path, axis):
+    """Outliers and equal values do not matter: ties are cut by the second column."""
+    from pyspark.sql import functions as F
+
+    from streamtally.operators.key_stats import KeyStats
+    from streamtally.operators.ordered import SLICE, previous_row, slice_hot_keys
+
+    n, target = 4000, 100
+    value = {
+        "outlier": F.when(F.col("id") == 0, 0).otherwise(F.lit(1_700_000_000_000_000) + F.col("id") * 50_000_000),
+        "pareto": F.floor(F.lit(1e9) / F.pow(F.lit(n + 1.0) - F.col("id"), 1.2)),
+        "equal": F.lit(5),
+        "null": F.when(F.col("id") < n - 50, F.col("id")),
+    }[axis]
+    rows = spark.range(n).select(F.lit("hot").alias("k"), value.cast("long").alias("at"), "id")
+    rows = rows.unionByName(spark.range(30).select(F.col("id").cast("string").alias("k"), F.col("id").alias("at"), "id"))
+    settings = Settings(hot_key_rows=1000, hot_slice_rows=target, key_stats=KeyStats(str(tmp_path)))
+    cut = slice_hot_keys(rows, ["k"], F.col("at"), settings, name="numbers", ties=["id"])
+    sizes = {r[SLICE]: r["count"] for r in cut.where("k = 'hot'").groupBy(SLICE).count().collect()}
+    assert max(sizes.values()) <= target and len(sizes) >= n // target
+    assert {r[SLICE] for r in cut.where("k <> 'hot'").collect()} == {-1}
+    got = {r["id"]: r["prev"] and r["prev"]["id"] for r in previous_row(cut, ["k"], ["at", "id"], ["id"]).where("k = 'hot'").collect()}
+    assert got == {i: i - 1 if i else None for i in range(n)}
+    # Without a key, and without a hot one.
+    alone = slice_hot_keys(rows.where("k = 'hot'"), [], F.col("at"), settings, name="alone", ties=["id"])
+    assert max(r["count"] for r in alone.groupBy(SLICE).count().collect()) <= target
+    calm = slice_hot_keys(rows.where("k <> 'hot'"), ["k"], F.col("at"), settings, name="calm", ties=["id"])
+    assert calm.select(SLICE).distinct().collect() == [(-1,)] and "Join" not in calm._jdf.queryExecution().optimizedPlan().toString()

@@ -41,5 +41,38 @@ def test_spike_join_limits_first(spark):
     assert "TakeOrderedAndProject(limit=200" in text
 
 
+SCANS = {"mode_timeline": 1, "donation_deltas": 1, "donation_rank": 2, "donation_by_title": 2, "donation_spikes": 5, "chatter_leaderboard": 6}
+
+
+@pytest.mark.parametrize("name", SCANS)
+def test_planned_scans(spark, tmp_path, name):
+    """With measured keys no sequence reads its input again to find them."""
+    found = len(re.findall(r"FileScan parquet", plan(getattr(tables.models(spark, SF_DIR).measured(str(tmp_path)), name)).split("== Initial Plan ==")[-1]))
+    assert found <= SCANS[name]
+
+
+def test_laid_out_tables_are_not_shuffled(spark, tmp_path):
+    """Days are folders; join and grouping by channel and hour find their rows in place."""
+    from pyspark.sql import functions as F
+
+    from streamtally.plans import layout
+
+    m = tables.models(spark, SF_DIR)
+    chat = layout.lay_out(m.stg_chat.select("channel", "message_sent_at"), "channel", "message_sent_at", str(tmp_path / "chat"), 4, m.settings)
+    spans = m.stream_sessions.select("channel", "stream_started_at", "first_seen_at", "last_seen_at")
+    placed = layout.lay_out_spans(spans, "channel", "first_seen_at", "last_seen_at", str(tmp_path / "spans"), 4, m.settings)
+    hours = plan(layout.hourly_messages(chat, "2024-01-02", "2024-01-02"))
+    assert "Exchange" not in hours and re.search(r"PartitionFilters: \[[^\]]*event_day", hours) and "Bucketed: true" in hours
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = plan(layout.session_talk(chat, placed))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    below = met[met.index("SortMergeJoin") :]
+    assert "Exchange" not in below and below.count("Bucketed: true") == 2
+    assert chat.where(F.col("event_day") == "2024-01-02").count() == m.stg_chat.where(F.to_date("message_sent_at") == "2024-01-02").count()
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0

@@ -229,6 +229,7 @@ RESULTS = {
         f"join (select us, part from parts where {t.SNAPSHOT_FILTER}) on part <= turn group by all) using (turn) "
         "where now - seen - 1000000 > 300000000 qualify row_number() over (partition by channel, seen order by turn) = 1"
     ),
+    "laid_out_hourly_messages": "select channel, hour_bucket, message_count from hourly where hour_bucket >= timestamp '2024-01-02' and hour_bucket < timestamp '2024-01-04'",
     "stream_rolling_parquet": (
         "select channel, count(*) as row_count, count(distinct id) as id_count, true as files_within_limit from chat group by channel"
     ),
@@ -252,22 +253,33 @@ RESULTS = {
     ),
 }
 RESULTS["ingested_streamer_profile"] = MODEL_RESULTS["streamer_profile"]
+RESULTS["laid_out_session_talk"] = (
+    "select channel, stream_started_at, message_count_first_half, message_count_second_half from "
+    f"({MODEL_RESULTS['session_analysis']}) where message_count_first_half + message_count_second_half > 0"
+)
 RESULTS["dq_freshness"] = RESULTS["source_freshness"]
 
 
+_STAGED = {"stg_chat": "select * from chat", "stg_metadata": "select * from meta", "stg_goals": "select * from goals", "stg_emotes": "select * from emo"}
+STEPS |= {f"ruled_{model}": _STAGED.get(model) or MODEL_RESULTS[model] for model in dict.fromkeys(r.model for r in RULES)}
+
+
 def _violations(rule) -> str:
-    source, column = f"({_STAGED[rule.model]})", rule.columns[0]
+    source, column = f"ruled_{rule.model}", rule.columns[0]
     if rule.check == "unique":
         listed = ", ".join(rule.columns)
         known = f"where {column} is not null " if len(rule.columns) == 1 else ""
         found = f"select count(*) from (select {listed} from {source} {known}group by {listed} having count(*) > 1)"
     elif rule.check == "not_null":
         found = f"select count(*) from {source} where {column} is null"
+    elif rule.check == "between":
+        low, high = rule.bounds
+        outside = [f"{column} < {low}"] * (low is not None) + [f"{column} > {high}"] * (high is not None)
+        found = f"select count(*) from {source} where {' or '.join(outside)}"
     else:
         accepted = ", ".join(f"'{v}'" for v in rule.values)
         found = f"select count(distinct {column}) from {source} where {column} not in ({accepted})"
     return f"select '{rule.model}' as model, '{rule.check}' as \"check\", '{','.join(rule.columns)}' as columns, '{rule.severity}' as severity, ({found}) as violations"
 
 
-_STAGED = {"stg_chat": "select * from chat", "stg_metadata": "select * from meta", "stg_goals": "select * from goals", "stg_emotes": "select * from emo"}
-RESULTS["quality_report"] = " union all ".join(_violations(r) for r in RULES if r.model in _STAGED)
+RESULTS["quality_report"] = " union all ".join(map(_violations, RULES))

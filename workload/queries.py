@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from streamtally.plans import chatters
+from streamtally import Models
+from streamtally.plans import chatters, layout
 from streamtally.session import scratch_dir
 from workload import ingest, tables
 
@@ -54,12 +55,16 @@ MODELS = [
 ]
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> Models:
+    return tables.models(spark, sf_dir).measured(scratch_dir(spark, "key-stats"))
+
+
 def _model(name: str) -> Query:
-    return lambda spark, sf_dir: getattr(tables.models(spark, sf_dir), name)
+    return lambda spark, sf_dir: getattr(_measured(spark, sf_dir), name)
 
 
 def _board(pick: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: pick(tables.models(spark, sf_dir).chatter_leaderboard)
+    return lambda spark, sf_dir: pick(_measured(spark, sf_dir).chatter_leaderboard)
 
 
 def _incremental_quarter_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,12 +76,32 @@ def _incremental_quarter_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _laid_out_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = tables.models(spark, sf_dir)
+    chat = m.stg_chat.select("channel", "message_sent_at")
+    return layout.lay_out(chat, "channel", "message_sent_at", scratch_dir(spark, "chat-by-hour"), 16, m.settings)
+
+
+def laid_out_hourly_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second and third day, read from their folders only."""
+    return layout.hourly_messages(_laid_out_chat(spark, sf_dir), "2024-01-02", "2024-01-03")
+
+
+def laid_out_session_talk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = tables.models(spark, sf_dir)
+    spans = m.stream_sessions.select("channel", "stream_started_at", "first_seen_at", "last_seen_at")
+    placed = layout.lay_out_spans(spans, "channel", "first_seen_at", "last_seen_at", scratch_dir(spark, "sessions-by-hour"), 16, m.settings)
+    return layout.session_talk(_laid_out_chat(spark, sf_dir), placed)
+
+
 PLAIN: dict[str, Query] = {
     **{name: _model(name) for name in MODELS},
     "leaderboard_top_in_channel": _board(lambda b: chatters.top_in_channel(b, "ch3", 50)),
     "leaderboard_top_breadth": _board(lambda b: chatters.top_breadth(b, 50)),
     "leaderboard_top_event": _board(lambda b: chatters.top_event(b, 50)),
     "chatter_quarter_hour_incremental": _incremental_quarter_hours,
+    "laid_out_hourly_messages": laid_out_hourly_messages,
+    "laid_out_session_talk": laid_out_session_talk,
     **ingest.QUERIES,
 }
 

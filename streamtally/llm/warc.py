@@ -5,7 +5,9 @@ Both refer to the response (`WARC-Refers-To` its record id, `WARC-Refers-To-Targ
 `WARC-Refers-To-Date`), keep its HTTP headers, and carry the digest of the response's payload beside
 that of their own block. Record ids are made from what they name, so a repeated run gives the same
 records. Null headers or payloads count as empty; a payload without markup is its own text; a null
-URI is left out of the headers. Rows repeated in full give repeated records.
+URI is left out of the headers. Rows repeated in full give repeated records. A tag ends before the next `<`; a
+comment or script that is not closed runs to the end of the page. The work is linear in the page's length, so a very
+long page of open tags, comments or references is no more than a long page.
 
 Everything is a column expression, and no row is moved between tasks.
 """
@@ -20,14 +22,20 @@ from pyspark.sql import functions as F
 CRLF = "\r\n"
 # Frequent named character references; all others of HTML are looked up where they occur, numeric ones computed.
 ENTITIES = {"&nbsp;": " ", "&middot;": "·", "&copy;": "©", "&quot;": '"', "&apos;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
-RARE = {f"&{k}": v for k, v in html5.items() if k.endswith(";") and f"&{k}" not in ENTITIES and k != "AMP;"}
-LINK = r"""(?is)<(a|area|link|img|script|iframe|form|source)\b[^>]*?\s(href|src|action)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+RARE = {f"&{k}": v for k, v in html5.items() if k.endswith(";") and f"&{k}" not in ENTITIES}
+# A text is references, the text between them, and ampersands that begin none.
+REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});|[^&]+|&"
+# No pattern looks past the next `<` for the end of a tag, and what is not closed runs to the end of the page, so
+# every pattern is linear in the page, however its markup is broken.
+LINK = r"""(?is)<(a|area|link|img|script|iframe|form|source)\b[^<>]*?\s(href|src|action)\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 # Comments go; of scripts and the like the opening tag stays, as it may hold a link.
-UNSHOWN = r"(?is)<!--.*?-->|(<(script|style|noscript|template)\b[^>]*>).*?</\2\s*>"
+UNSHOWN = r"(?is)<!--(?:.*?-->|.*\z)|(<(script|style|noscript|template)\b[^<>]*>)(?:.*?</\2\s*>|.*\z)"
 # White space other than a single blank.
 WHITE_RUN = r"[ ]*[\t\n\x0B\f\r]\s*|[ ]{2,}"
-BREAK = r"(?i)</?(p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|nav|footer|header|title|body|head|html)\b[^>]*>"
-TAG = r"(?s)</?[a-zA-Z!][^>]*>"
+BREAK = r"(?i)</?(p|div|br|h[1-6]|li|ul|ol|tr|table|section|article|nav|footer|header|title|body|head|html)\b[^<>]*>"
+TAG = r"(?s)</?[a-zA-Z!][^<>]*>"
+# Blanks around line ends; a run of blanks is looked at from its start only.
+LINE_END = "(?<![ \u00a0])[ \u00a0]*+\\n[ \u00a0\\n]*+"
 
 
 def sha1(data: Column) -> Column:
@@ -75,27 +83,25 @@ def links(html: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    """Replaces references, in one pass each: numeric ones first, `&amp;` last, so that no reference is made up.
-    Names that HTML does not have stay."""
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), 0))
+    """Replaces the references of a text, each once, so that no reference is made up. Names that HTML does not have stay."""
+    known = F.map_from_arrays(*[F.split(F.lit("\x01".join(x)), "\x01") for x in (RARE.keys(), RARE.values())])
 
-    def character(m: Column) -> Column:
+    def numbered(m: Column) -> Column:
         code = F.when(m.rlike("(?i)^&#x"), F.conv(F.regexp_extract(m, "(?i)x([0-9a-f]+)", 1), 16, 10)).otherwise(F.regexp_extract(m, "([0-9]+)", 1)).cast("int")
         units = F.when(code < 0x10000, F.lpad(F.hex(code), 4, "0")).otherwise(
             F.concat(F.lpad(F.hex(F.lit(0xD800) + F.shiftright(code - 0x10000, 10)), 4, "0"), F.lpad(F.hex(F.lit(0xDC00) + (code - 0x10000) % 1024), 4, "0"))
         )
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(valid, F.decode(F.unhex(units), "UTF-16BE")).otherwise(F.lit("�"))
+        return F.when(valid, F.decode(F.unhex(units), "UTF-16BE")).otherwise(F.lit("\ufffd"))
 
-    numeric = F.when(F.size(numbers) > 0, F.aggregate(numbers, text, lambda out, m: F.replace(out, m, character(m)))).otherwise(text)
-    out = numeric
-    for name, value in ENTITIES.items():
-        if name != "&amp;":
-            out = F.replace(out, F.lit(name), F.lit(value))
-    known = F.map_from_arrays(*[F.split(F.lit("\x01".join(x)), "\x01") for x in (RARE.keys(), RARE.values())])
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit("&(?!(?:nbsp|middot|copy|quot|apos|lt|gt|amp|AMP);)[A-Za-z][A-Za-z0-9]{1,31};"), 0))
-    rare = F.when(F.size(found) > 0, F.aggregate(found, out, lambda so_far, m: F.replace(so_far, m, F.coalesce(F.try_element_at(known, m), m)))).otherwise(out)
-    return F.when(F.contains(text, F.lit("&AMP;")), F.regexp_replace(rare, "&(amp|AMP);", "&")).otherwise(F.replace(rare, F.lit("&amp;"), F.lit("&")))
+    def read(m: Column) -> Column:
+        out = F.when(~m.startswith("&") | (F.length(m) < 3), m).when(m.startswith("&#"), numbered(m))
+        for name, value in ENTITIES.items():
+            out = out.when(m == name, F.lit(value))
+        return out.otherwise(F.coalesce(F.try_element_at(known, m), m))
+
+    parts = F.regexp_extract_all(text, F.lit(REFERENCE), 0)
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(parts, read), "")).otherwise(text)
 
 
 def lines_of(html: Column) -> Column:
@@ -105,11 +111,11 @@ def lines_of(html: Column) -> Column:
 
 def plain_text(lines: Column) -> Column:
     """Visible text of `lines_of`: references replaced, no blanks around line ends."""
-    return F.btrim(F.regexp_replace(unescape(lines), "[ \u00a0]*\\n[ \u00a0\\n]*", "\n"), F.lit(" \t\n\x0b\f\r"))
+    return F.btrim(F.regexp_replace(unescape(lines), LINE_END, "\n"), F.lit(" \t\n\x0b\f\r"))
 
 
 def title_of(html: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1), r"\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_extract(html, r"(?is)<title\b[^<>]*>(.*?)(?:</title|\z)", 1), r"\s+", " "))
 
 
 def derive(df: DataFrame) -> DataFrame:

@@ -1,8 +1,10 @@
 """URL filter: rules by host and path, and gradient-boosted trees on lexical features for the rest.
 
-Features and predictions are column expressions. The trees are fitted on the driver, on at most
-`TRAINING_ROWS` labelled rows: those with the smallest hash of their id, so that the sample does not
-depend on the order of the rows. A null url, or one without `://`, has an empty host and path, fits
+Features and predictions are column expressions. The trees are fitted on the driver, on about
+`TRAINING_ROWS` labelled rows at most: those whose hash of id and url lies below the cut-off that the number of
+labelled rows gives, so every task sends its share only and the sample does not depend on the order of the rows.
+Suffix statistics are shares of blocked rows by the host's suffix, the path's first segment, and both; in
+training a row's shares come from the other folds, never from its own label. A null url, or one without `://`, has an empty host and path, fits
 no rule and is judged by its features like any other (all counts 0 for null). Equal urls get equal
 verdicts. Without labelled rows of both kinds the trees allow everything.
 """
@@ -22,6 +24,7 @@ SHRINKAGE = 0.2
 LEAST_ROWS = 20  # in a leaf
 BORDERS = 32  # tried per feature
 SUFFIX_PRIOR = 10.0  # rows by which a suffix's share is drawn to the overall share
+FOLDS = 5
 
 
 @dataclass(frozen=True)
@@ -57,6 +60,25 @@ def suffix(host: Column) -> Column:
     return F.regexp_extract(host, r"([^.]*\.?[^.]*)$", 1)
 
 
+def segment(path: Column) -> Column:
+    """The path's first segment with what follows up to its first character: `/en/1` of `/en/123`, `/x` of `/x`."""
+    return F.regexp_extract(path, r"(?s)^(/[^/]*(?:/.)?)", 1)
+
+
+# Suffix statistics: each has a name, a key and an own table of shares.
+def keys_of(host: Column, path: Column) -> dict[str, Column]:
+    first = F.regexp_extract(path, r"(?s)^(/[^/]*)", 1)
+    return {
+        "suffix_share": suffix(host),
+        "segment_share": first,
+        "place_share": F.concat(suffix(host), first),
+        "deep_share": F.concat(suffix(host), segment(path)),
+    }
+
+
+SHARES = ["suffix_share", "segment_share", "place_share", "deep_share"]
+
+
 def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
     u = F.coalesce(url, F.lit(""))
     n = F.greatest(F.length(u), F.lit(1)).cast("double")
@@ -89,7 +111,7 @@ def features(url: Column, host: Column, path: Column) -> dict[str, Column]:
 
 FEATURES = [
     "length", "host_length", "host_labels", "host_hyphens", "path_length", "depth", "digit_ratio", "entropy",
-    "parameters", "extension", "secure", "suffix_share",
+    "parameters", "extension", "secure", *SHARES,
 ]
 
 
@@ -105,7 +127,7 @@ class Split:
 class Model:
     start: float
     trees: tuple[Split | float, ...]
-    suffixes: dict[str, float]
+    shares: dict[str, dict[str, float]]  # of each of SHARES, by key
     prior: float
 
 
@@ -156,34 +178,45 @@ def _prepared(df: DataFrame, id_column: str, rules: list[Rule]) -> DataFrame:
     host, path = host_and_path(F.col("url"))
     placed = df.select(F.col(id_column).alias("id"), "url", host.alias("host"), path.alias("path"))
     rule, verdict = match_rules(F.col("host"), F.col("path"), rules)
-    return placed.select("*", rule.alias("rule"), verdict.alias("known"), suffix(F.col("host")).alias("suffix"))
+    keys = [k.alias(f"{n}_key") for n, k in keys_of(F.col("host"), F.col("path")).items()]
+    return placed.select("*", rule.alias("rule"), verdict.alias("known"), *keys)
 
 
 def train(df: DataFrame, id_column: str = "page_id", rules: list[Rule] | None = None, label: str | None = None) -> Model:
     """From rows with a label: a column of allow/block, or else the verdicts of the rules."""
-    base = _prepared(df, id_column, rules or [])
+    base = _prepared(df.drop("known") if label else df, id_column, rules or [])
     if label:
-        placed = df.select(F.col(id_column).alias("id"), F.col("url"), F.col(label).alias("known"))
+        labelled = df.select(F.col(id_column).alias("id"), F.col("url"), F.col(label).alias("_label"))
         host, path = host_and_path(F.col("url"))
-        base = placed.select("*", host.alias("host"), path.alias("path")).withColumn("suffix", suffix(F.col("host")))
-    chosen = (
-        base.where(F.col("known").isNotNull())
-        .orderBy(F.xxhash64("id"), "id", "url")
-        .limit(TRAINING_ROWS)
-        .select("suffix", F.col("known"), *[c.alias(n) for n, c in features(F.col("url"), F.col("host"), F.col("path")).items()])
-    )
-    rows = chosen.collect()  # TRAINING_ROWS at most
+        placed = labelled.select("id", "url", host.alias("host"), path.alias("path"), F.col("_label").alias("known"))
+        base = placed.select("*", *[k.alias(f"{n}_key") for n, k in keys_of(F.col("host"), F.col("path")).items()])
+    labelled = base.where(F.col("known").isNotNull())
+    n = labelled.count()
+    chosen = labelled
+    if n > TRAINING_ROWS:
+        cut = int(TRAINING_ROWS / n * (1 << 62))
+        chosen = labelled.where(F.shiftrightunsigned(F.xxhash64("id", "url"), 2) < cut)
+    by_name = features(F.col("url"), F.col("host"), F.col("path"))
+    # Copies of a row have one hash; folded, they cannot swell the sample.
+    rows = chosen.select("id", "url", "known", *[f"{s}_key" for s in SHARES], *[c.alias(f) for f, c in by_name.items()]).distinct().collect()
+    rows.sort(key=lambda r: (r["id"] is None, r["id"], r["url"] or ""))
     blocked = np.array([r["known"] == "block" for r in rows], float)
     prior = float(blocked.mean()) if len(rows) else 0.0
     if len(rows) < 2 * LEAST_ROWS or prior in (0.0, 1.0):
-        return Model(-1.0, (), {}, prior)
-    seen: dict[str, list[float]] = {}
-    for r, b in zip(rows, blocked, strict=True):
-        seen.setdefault(r["suffix"], []).append(b)
-    suffixes = {s: float((sum(v) + SUFFIX_PRIOR * prior) / (len(v) + SUFFIX_PRIOR)) for s, v in sorted(seen.items())}
-    x = np.array([[r[f] for f in FEATURES[:-1]] + [suffixes[r["suffix"]]] for r in rows], float)
-    start, trees = fit_trees(x, blocked)
-    return Model(start, trees, suffixes, prior)
+        return Model(-1.0, (), {s: {} for s in SHARES}, prior)
+    x = np.array([[r[f] for f in FEATURES[: -len(SHARES)]] for r in rows], float)
+    fold = np.arange(len(rows)) % FOLDS
+    shares, columns = {}, []
+    for s in SHARES:
+        names, key = np.unique(np.array([r[f"{s}_key"] for r in rows], object).astype(str), return_inverse=True)
+        hits, seen = np.zeros((len(names), FOLDS)), np.zeros((len(names), FOLDS))
+        np.add.at(hits, (key, fold), blocked)
+        np.add.at(seen, (key, fold), 1)
+        smooth = lambda h, m: (h + SUFFIX_PRIOR * prior) / (m + SUFFIX_PRIOR)
+        columns.append(smooth(hits.sum(axis=1)[key] - hits[key, fold], seen.sum(axis=1)[key] - seen[key, fold]))
+        shares[s] = dict(zip(names.tolist(), smooth(hits.sum(axis=1), seen.sum(axis=1)).tolist(), strict=True))
+    start, trees = fit_trees(np.column_stack([x, *columns]), blocked)
+    return Model(start, trees, shares, prior)
 
 
 def score(model: Model, values: list[Column]) -> Column:
@@ -204,14 +237,14 @@ def judge(df: DataFrame, model: Model, rules: list[Rule], id_column: str = "page
     """id, host, path, rule, verdict, block_odds (log odds by the trees); one row per row of (id, url)."""
     placed = _prepared(df, id_column, rules)
     by_name = features(F.col("url"), F.col("host"), F.col("path"))
-    if model.suffixes:
-        spark = df.sparkSession
-        shares = spark.createDataFrame(list(model.suffixes.items()), "suffix string, suffix_share double")
-        placed = placed.join(F.broadcast(shares), "suffix", "left")  # suffixes of the training rows at most
-        share = F.coalesce("suffix_share", F.lit(model.prior))
-    else:
-        share = F.lit(model.prior)
-    measured = placed.select("id", "host", "path", "rule", "known", *[c.alias(n) for n, c in by_name.items()], share.alias("suffix_share"))
+    for name in SHARES:
+        if model.shares[name]:
+            known = df.sparkSession.createDataFrame(list(model.shares[name].items()), f"{name}_key string, {name} double")
+            placed = placed.join(F.broadcast(known), f"{name}_key", "left")  # keys of the training rows at most
+        else:
+            placed = placed.withColumn(name, F.lit(None).cast("double"))
+    shares = [F.coalesce(name, F.lit(model.prior)).alias(name) for name in SHARES]
+    measured = placed.select("id", "host", "path", "rule", "known", *[c.alias(n) for n, c in by_name.items()], *shares)
     odds = score(model, [F.col(f) for f in FEATURES])
     verdict = F.coalesce("known", F.when(F.col("odds") > 0, "block").otherwise("allow"))
     scored = measured.select("id", "host", "path", "rule", "known", odds.alias("odds"))

@@ -1,5 +1,6 @@
 """Each text operator against a plain restatement, on the smallest tables and on odd rows."""
 
+import math
 import random
 import zlib
 from collections import Counter
@@ -130,6 +131,31 @@ def test_warc_empty(spark):
     assert records(spark, []) == []
 
 
+LONG = ["<a x ", "<!-- x ", "<script> x ", "<script x ", "<title> x ", "<p x ", "&nbsp;", "&#{};", "&eacute;", "<a href='x ", '<a href="x" ', " href", "</script   ", "\u00a0", "  ", "& "]
+
+
+@pytest.mark.parametrize("unit", LONG)
+def test_very_long_pages_of_open_markup(spark, unit):
+    """A megabyte of each takes seconds, not hours."""
+    import time
+
+    n = 1_000_000 // len(unit)
+    page = "<p>start</p>" + ("".join(unit.format(200 + k) for k in range(n)) if "{" in unit else unit * n)
+    start = time.monotonic()
+    text = next(r for r in records(spark, [(1, "u", page, "", "")]) if r["warc_type"] == "conversion")
+    assert time.monotonic() - start < 12 and text["block"].startswith("start")
+    if unit in ("<!-- x ", "<script> x "):
+        assert text["block"] == "start"
+
+
+def test_unclosed_parts_are_not_published(spark):
+    rows = [(1, "u", "<p>a</p><!-- secret <a href='/no'>", "", ""), (2, "u", "<p>a</p><script src='/s.js'>var secret", "", ""), (3, "u", "<title>T <b>", "", "")]
+    got = {(r["page_id"], r["warc_type"]): r for r in records(spark, rows)}
+    assert got[1, "conversion"]["block"] == "a" == got[2, "conversion"]["block"]
+    assert got[1, "metadata"]["n_links"] == 0 and "/s.js" in got[2, "metadata"]["block"] and "secret" not in got[2, "metadata"]["block"]
+    assert '"title":"T <b>"' in got[3, "metadata"]["block"]
+
+
 def test_all_named_references(spark):
     names = sorted(k for k in html5 if k.endswith(";") and k != "nbsp;")
     rows = [(" ".join(f"[&{k}]" for k in names),), ("&amp;eacute; &AMP;amp; &uuml;&#252;&uuml; &nosuchname; &eacute &szlig;&mdash;&rsquo;",), ("none",), (None,)]
@@ -156,6 +182,55 @@ def test_shards(table, request):
         assert max(sums) - min(sums) <= 3 * max(r["size"] for r in got)
 
 
+def kd_tree(rows, n, depth, whole=None):
+    """Plainly: rows are (id, size, tie, values); the leaves from left to right."""
+
+    def percentile(values, p):
+        known = sorted(v for v in values if v is not None)
+        return known[max(math.ceil(p * len(known)) - 1, 0)] if known else 0
+
+    def width(i, own):
+        return percentile([r[3][i] for r in own], shards.HIGH) - percentile([r[3][i] for r in own], shards.LOW)
+
+    whole = whole or [width(i, rows) for i in range(n)]
+    if not depth:
+        return [rows]
+    share = [width(i, rows) / w if w else 0.0 for i, w in enumerate(whole)]
+    i = max(range(n), key=lambda i: (share[i], -i))
+    place = lambda r: (r[3][i] is not None, r[3][i] or 0, r[2])
+    ordered, done, cut = sorted(rows, key=place), 0, None
+    for r in ordered:
+        done += r[1]
+        if done >= sum(r[1] for r in rows) / 2:
+            cut = place(r)
+            break
+    left, right = [r for r in rows if place(r) <= cut], [r for r in rows if place(r) > cut]
+    return kd_tree(left, n, depth - 1, whole) + (kd_tree(right, n, depth - 1, whole) if right else [[]] * (1 << (depth - 1)))
+
+
+@pytest.mark.parametrize("table", ["docs", "odd", "outlier"])
+def test_shards_are_a_plain_kd_tree(spark, table, request):
+    if table == "outlier":
+        far = [(20_001, "x", "en", "s", 10**12), (20_002, "y", "en", "s", -(10**15))]
+        df = spark.range(2000).select("id", F.lit("text").alias("text"), F.lit("en").alias("lang"), (F.col("id") % 7).cast("string").alias("source"), (F.col("id") * 37 % 1000).alias("n_chars"))
+        df = df.toDF("doc_id", "text", "lang", "source", "n_chars").unionByName(spark.createDataFrame(far, df.toDF("doc_id", "text", "lang", "source", "n_chars").schema))
+    else:
+        df = request.getfixturevalue(table)
+    dimensions = shards.metadata_dimensions()
+    if table == "outlier":
+        dimensions = {"n_chars": dimensions["n_chars"], "source": dimensions["source"]}
+    rows = [(r["doc_id"], r["size"], r["tie"], [r[f"d{i}"] for i in range(len(dimensions))]) for r in shards.measured(df, dimensions).collect()]
+    leaves = kd_tree(rows, len(dimensions), 3)
+    got = {}
+    for r in shards.shard(df, dimensions, shards=8).collect():
+        got.setdefault(r["shard"], set()).add(r["doc_id"])
+    assert [got.get(s, set()) for s in range(8)] == [{r[0] for r in leaf} for leaf in leaves]
+    if table == "outlier":
+        spans = sorted((min(r[3][0] for r in leaf), max(r[3][0] for r in leaf)) for leaf in leaves)
+        boxes = {(min(r[3][i] for r in leaf), max(r[3][i] for r in leaf)) for leaf in leaves for i in range(2)}
+        assert len(boxes) > 4 and sum(hi - lo > 999 for lo, hi in spans) <= 2  # only the leaves of the two far values
+
+
 def test_shards_split_a_hot_value(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit("same").alias("text"), F.lit("hot").alias("source"))
     got = shards.shard(rows, {"source": shards.text_place(F.col("source"))}, target_bytes=1250).groupBy("shard").sum("size").collect()
@@ -463,6 +538,30 @@ def test_url_trees_learn(spark):
     assert held.where("verdict <> label").count() <= 0.02 * held.count()
 
 
+def test_url_trees_on_held_out_pages(spark):
+    """Trees that never see the rules of the held-out rows agree with them."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    model = urls.train(pages.where("page_id % 5 > 0"), rules=queries.URL_RULES)
+    held = pages.where("page_id % 5 = 0")
+    want = urls.judge(held, model, queries.URL_RULES).where("rule is not null").select("page_id", F.col("verdict").alias("told"))
+    got = urls.judge(held, model, []).select("page_id", "verdict").join(want, "page_id")
+    wrong, n = got.where("verdict <> told").count(), got.count()
+    print(f"{wrong} of {n} held-out urls wrong")
+    assert n > 150 and wrong <= 0.05 * n
+
+
+def test_url_sample_has_a_bound(spark, monkeypatch):
+    monkeypatch.setattr(urls, "TRAINING_ROWS", 200)
+    rows = spark.range(5000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h"), F.col("id") % 7, F.lit(".example/a")).alias("url"), F.when(F.col("id") % 7 < 3, "block").otherwise("allow").alias("known"))
+    copies = rows.where("page_id = 1").crossJoin(spark.range(3000).select(F.col("id").alias("copy"))).drop("copy")
+    seen = []
+    real = urls.fit_trees
+    monkeypatch.setattr(urls, "fit_trees", lambda x, b: seen.append(len(b)) or real(x, b))
+    urls.train(rows.unionByName(copies), label="known")
+    urls.train(rows.limit(0), label="known")
+    assert len(seen) == 1 and 60 < seen[0] < 260
+
+
 def test_urls_same_score_in_columns_and_numpy(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     model = urls.train(pages, rules=queries.URL_RULES)

@@ -3,9 +3,8 @@
 Each distinct set of word shingles has a signature of TREES x DEPTH values. A tree is an order of all
 signatures, each tree rotated by DEPTH values, so the trees' first values are independent. Sets that
 share a tree's first DEPTH values are a region. In a region, the pairs whose signatures agree in
-CANDIDATE of the values are candidates; a region of more than REGION sets is cut where neighbours in
-the order share the fewest leading values, that is, at a greater depth, and all of it counts as
-connected, as does a region at the end of a task's range. Candidates only say which sets may be linked at all: the sets connected
+CANDIDATE of the values are candidates. A region of more than REGION sets, or at the end of a task's range,
+counts as connected as a whole and is left to the comparison below; a greater depth there would lose links. Candidates only say which sets may be linked at all: the sets connected
 by them are brought to one place, each once, and compared in full there, so what is linked does not
 depend on which candidates were found in which tree.
 

@@ -1,18 +1,29 @@
-"""Chat recovered from replay documents."""
+"""Chat recovered from replay documents.
+
+A document is one JSON object per file whose `comments` array holds the chat; it may have gigabytes. `read_comments`
+cuts files into blocks that many tasks read.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-DOCUMENT = (
-    "streamer struct<name: string, login: string, id: bigint>, video struct<id: string>, "
-    "comments array<struct<_id: string, created_at: timestamp, channel_id: string, content_offset_seconds: bigint, "
+ABOUT = "streamer struct<name: string, login: string, id: bigint>, video struct<id: string>"
+COMMENT = (
+    "_id: string, created_at: timestamp, channel_id: string, content_offset_seconds: bigint, "
     "commenter: struct<display_name: string, _id: string, name: string, created_at: timestamp>, "
     "message: struct<body: string, fragments: array<struct<text: string, emoticon: struct<emoticon_id: string>>>, "
-    "user_badges: array<struct<_id: string, version: string>>>>>"
+    "user_badges: array<struct<_id: string, version: string>>>"
 )
+DOCUMENT = f"{ABOUT}, comments array<struct<{COMMENT}>>"
+# Fixed: every comment has this key once, and text cannot hold it, as its quotes would be escaped there.
+MARK = '"content_offset_seconds"'
+PIECES = "file string, block long, place long, lead string, rest string, comments long"
 
 
 def read_replays(spark: SparkSession, path: str) -> DataFrame:
@@ -20,6 +31,77 @@ def read_replays(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces of text between two marks, in the order of their file. The n-th piece holds the rest of the n-th comment
+    and then the lead of the next one. Per comment a row with both, the lead null at the start of a block; per block
+    a row (place -1) with what it leaves for the next block, and the number of its comments. A file's first piece is the
+    document up to its first comment: a row (place -2) and a lead."""
+    decoder = json.JSONDecoder()
+    rows: list[tuple] = []
+    at, lead, n = None, None, 0
+
+    def batch() -> pa.RecordBatch:
+        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+        columns = list(zip(*rows, strict=True))
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["file", "block", "place", "lead", "rest", "comments"])
+
+    for given in batches:
+        for file, block, piece in zip(*(given.column(c).to_pylist() for c in ("file", "block", "value")), strict=True):
+            if (file, block) != at:
+                if at is not None:
+                    rows.append((*at, -1, lead, None, n))
+                at, lead, n = (file, block), None, 0
+                if block == 0:
+                    key = piece.rfind('"comments"')
+                    start = piece.find("[", key) + 1 if key >= 0 else 0
+                    if not start:
+                        raise ValueError(f"{file}: no comments array")
+                    rows.append((*at, -2, None, piece[:start], 0))
+                    lead = piece[start:]
+                    continue
+            own = "{" + MARK + piece
+            try:
+                _, end = decoder.raw_decode(own)
+            except json.JSONDecodeError as error:
+                raise ValueError(f"{file}: comment {n} of the block at {block} cannot be read") from error
+            rows.append((*at, n, lead, own[1:end], 0))
+            lead, n = own[end:], n + 1
+            if len(rows) >= 5000:
+                yield batch()
+    if at is not None:
+        rows.append((*at, -1, lead, None, n))
+        yield batch()
+
+
+def read_comments(spark: SparkSession, path: str) -> DataFrame:
+    """streamer, video, row_number (place in the document), _c (the comment) of every comment of the replay files.
+
+    Files are read in blocks of `spark.sql.files.maxPartitionBytes` wherever their store allows it. A comment that
+    crosses two blocks is put together from what the one leaves and the other has. An empty array has no rows.
+    """
+    pieces = spark.read.option("lineSep", MARK).option("recursiveFileLookup", "true").text(path)
+    cut = pieces.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").mapInArrow(_cut, PIECES)
+    # One row a block, and one a file.
+    in_file = Window.partitionBy("file").orderBy("block")
+    ends = cut.where("place = -1").select(
+        "file", "block", F.coalesce(F.sum("comments").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.lag("lead").over(in_file).alias("_left"), F.last("lead").over(in_file.rowsBetween(0, Window.unboundedFollowing)).alias("_trailer"),
+    )
+    heads = cut.where("place = -2").select("file", F.col("rest").alias("_head"))
+    # Without its comments a document is small; streamer and video may stand before or behind them.
+    about = ends.groupBy("file").agg(F.max("_trailer").alias("_trailer")).join(heads, "file")
+    told = about.select("file", F.from_json(F.concat("_head", "_trailer"), ABOUT).alias("_about"))
+    lead = F.ltrim(F.coalesce("lead", "_left"))
+    text = F.concat(F.regexp_replace(lead, r"^,\s*", ""), "rest")
+    return (
+        cut.where("place >= 0")
+        .join(ends.drop("_trailer"), ["file", "block"])
+        .join(told, "file")
+        .select("_about.streamer", "_about.video", (F.col("_before") + F.col("place")).cast("int").alias("row_number"), F.from_json(text, f"struct<{COMMENT}>").alias("_c"))
+    )
+
+
 def _emotes(fragments: Column) -> Column:
     ids = F.transform(
         F.filter(fragments, lambda f: f["emoticon"].isNotNull()), lambda f: f["emoticon"]["emoticon_id"]
@@ -33,13 +115,16 @@ def _emotes(fragments: Column) -> Column:
 
 
 def recover_replay_chat(documents: DataFrame, marker: str) -> DataFrame:
-    """Live-chat rows from replay documents. A row is named by its document - `batch_id` is the marker,
+    """Live-chat rows from whole documents; see `recover_comments`."""
+    return recover_comments(documents.select("streamer", "video", F.posexplode("comments").alias("row_number", "_c")), marker)
+
+
+def recover_comments(comments: DataFrame, marker: str) -> DataFrame:
+    """Live-chat rows from comments. A row is named by its document - `batch_id` is the marker,
     the channel and the video id - and its place in it, so recovering again with more documents gives
     the same names to the same messages."""
     source = F.concat_ws("/", F.lit(marker), "streamer.login", "video.id")
-    opened = documents.select(
-        source.alias("batch_id"), F.col("streamer.login").alias("channel"), F.posexplode("comments").alias("row_number", "_c")
-    )
+    opened = comments.select(source.alias("batch_id"), F.col("streamer.login").alias("channel"), "row_number", "_c")
     return opened.select(
         "batch_id",
         "row_number",

@@ -116,6 +116,15 @@ def recover_replay_chat(spark, d):
     return replay.recover_replay_chat(documents, "recovered")
 
 
+def recover_replay_files(spark, d):
+    """The same documents from files, each read in blocks of four kilobytes by as many tasks."""
+    root = scratch_dir(configure(spark), "replays")
+    documents = raw.replay_documents(tables.read(spark, d, "conversations"))
+    named = documents.select(F.to_json(F.struct(*documents.columns), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}).alias("value"), F.col("video.id").alias("video_id"))
+    named.write.partitionBy("video_id").text(root)
+    return replay.recover_comments(replay.read_comments(spark, root), "recovered")
+
+
 # Envelopes and stores --------------------------------------------------------------
 
 
@@ -366,7 +375,7 @@ QUERIES = {
         parse_chat_lines, parse_badges, parse_emotes, build_chat_rows, enrich_accounts, pending_accounts,
         parse_event_snapshot, latest_event, build_goal_rows, parse_emote_catalogs, flatten_emote_sets,
         merge_channel_emote_lists, emote_catalog_counts, build_metadata_snapshots, poll_summary, stream_end_events,
-        roster_additions, recover_replay_chat, explode_envelope, typed_chat_rows, route_by_stream, quarantine,
+        roster_additions, recover_replay_chat, recover_replay_files, explode_envelope, typed_chat_rows, route_by_stream, quarantine,
         append_dedup, staging_merge, upsert_latest, write_rolling_parquet, scan_bronze, dq_unique,
         dq_unique_combination, dq_not_null, dq_accepted_values, dq_between, dq_exclude_synthetic, quality_report, source_freshness,
         gap_detection, gap_detection_overall, stream_dedup, stream_hourly_chat, stream_quarter_hour,

@@ -257,6 +257,7 @@ RESULTS["laid_out_session_talk"] = (
     "select channel, stream_started_at, message_count_first_half, message_count_second_half from "
     f"({MODEL_RESULTS['session_analysis']}) where message_count_first_half + message_count_second_half > 0"
 )
+RESULTS["recover_replay_files"] = RESULTS["recover_replay_chat"]
 RESULTS["dq_freshness"] = RESULTS["source_freshness"]
 
 

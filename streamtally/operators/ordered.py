@@ -99,8 +99,8 @@ def slice_hot_keys(
         joined = spread.join(F.broadcast(borders(measured.join(F.broadcast(hot), by), kept)), by, "left")
     else:
         # One row; as scalars it needs no join, and a short sequence is not read again.
-        whole = measured.agg(*extent)
-        ends = {c: whole.select(F.when(large, F.col(c))).scalar() for c in ("_lo", "_hi")}
+        total = measured.agg(*extent)
+        ends = {c: total.select(F.when(large, F.col(c))).scalar() for c in ("_lo", "_hi")}
         starts = borders(measured.withColumns(ends).where(F.col("_lo").isNotNull()), []).select("_starts").scalar()
         joined = spread.withColumns({**ends, "_starts": starts})
     cut = (
@@ -119,7 +119,7 @@ def _cut_at_borders(
     position = F.struct(axis.cast("double").alias("axis"), *tied)
     borders = settings.key_stats.borders(name, measured, by, position, settings.hot_key_rows, settings.hot_slice_rows).table
     if borders is None:
-        return df.withColumns({SLICE: F.lit(_WHOLE), _CUT_FROM: F.lit(None).cast("double")})
+        return whole(df)
     if by:
         joined = df.join(F.broadcast(borders), by, "left")
     else:
@@ -132,6 +132,11 @@ def _cut_at_borders(
     return joined.withColumn(SLICE, cut.cast("int")).withColumnRenamed("_from", _CUT_FROM).drop("_starts")
 
 
+def whole(df: DataFrame) -> DataFrame:
+    """The rows as sequences that are not cut: without hot keys, every ordered operator on them is a plain window."""
+    return df.withColumns({SLICE: F.lit(_WHOLE), _CUT_FROM: F.lit(None).cast("double")})
+
+
 def uncut(df: DataFrame) -> DataFrame:
     """Drops the helper columns of `slice_hot_keys`."""
     return df.drop(*SLICES)

@@ -23,7 +23,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from streamtally.functions.time import seconds_between
 from streamtally.operators.latest import latest_per_key
-from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut
+from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut, whole
 from streamtally.schemas import MONEY
 from streamtally.settings import Settings
 from streamtally.sources.table_log import Table, bucket_of
@@ -94,8 +94,10 @@ def combined(rows: DataFrame, before: DataFrame, after: DataFrame, job: Job) ->
 
 
 def derive(once: DataFrame, job: Job, settings: Settings) -> DataFrame:
-    """The rows that are not `_old`, with struct `prev`."""
-    cut = slice_hot_keys(once, [job.key], micros(job.order[0]), settings)
+    """The rows that are not `_old`, with struct `prev`. `once` is persisted, so it is cheap to see first whether any key
+    is hot; only then are sequences cut."""
+    calm = once.groupBy(job.key).count().where(F.col("count") > settings.hot_key_rows).isEmpty()
+    cut = whole(once) if calm else slice_hot_keys(once, [job.key], micros(job.order[0]), settings)
     ordered = uncut(previous_row(cut, [job.key], list(job.order), list(job.carry)))
     return ordered.where(~F.col("_old")).drop("_old")
 

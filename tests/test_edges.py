@@ -1,6 +1,7 @@
 """Hand-computed results at the edges of the models."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,3 +218,32 @@ def test_rules_name_existing_models():
     from streamtally.plans import quality
 
     assert all(hasattr(Models, r.model) for r in quality.RULES)
+
+
+def test_quality_report_finds_every_kind_of_violation(spark):
+    """One violating row per kind of rule, in one read of the model; repeats, nulls and tiny time differences."""
+    from types import SimpleNamespace
+
+    from streamtally.plans import quality
+
+    ddl = "id bigint, batch_id string, row_number int, service string, amount decimal(10,2), at timestamp"
+    t = dt.datetime(2024, 1, 1, 12, 0, 0)
+    given = [
+        (1, "a", 0, "7tv", Decimal("1.00"), t), (1, "a", 1, "7tv", Decimal("-0.01"), t + dt.timedelta(microseconds=1)), (None, None, 2, "odd", None, None),
+        (None, None, 2, "odd", Decimal("5.00"), None), (3, "b", 0, None, Decimal("9.99"), t + dt.timedelta(microseconds=2)),
+    ]
+    rules = [
+        quality.Rule("m", "unique", ("id",)), quality.Rule("m", "unique", ("batch_id", "row_number")), quality.Rule("m", "unique", ("at",)),
+        quality.Rule("m", "not_null", ("id",)), quality.Rule("m", "accepted_values", ("service",), ("7tv",)),
+        quality.Rule("m", "between", ("amount",), severity="warn", bounds=(0, 9)), quality.Rule("n", "not_null", ("id",)), quality.Rule("n", "unique", ("id",)),
+    ]
+    rows = spark.createDataFrame(given, ddl)
+    report = quality.report(SimpleNamespace(m=rows, n=rows.limit(0)), rules)
+    got = [(r["model"], r["check"], r["columns"], r["severity"], r["violations"]) for r in report.collect()]
+    assert sorted(got) == sorted([
+        ("m", "unique", "id", "error", 1), ("m", "unique", "batch_id,row_number", "error", 1), ("m", "unique", "at", "error", 0),
+        ("m", "not_null", "id", "error", 2), ("m", "accepted_values", "service", "error", 1), ("m", "between", "amount", "warn", 2),
+        ("n", "not_null", "id", "error", 0), ("n", "unique", "id", "error", 0),
+    ])
+    for rule in rules:
+        assert rule.violations(rows if rule.model == "m" else rows.limit(0)).count() == next(v for m, c, n, _, v in got if (m, c, n) == (rule.model, rule.check, ",".join(rule.columns)))

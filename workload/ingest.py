@@ -318,13 +318,13 @@ def stream_rolling_parquet(spark, d):
     return written.groupBy("channel").agg(F.count(F.lit(1)).alias("row_count"), F.countDistinct("id").alias("id_count")).withColumn("files_within_limit", longest)
 
 
-def _ingested(spark, d, sent: list[DataFrame]) -> str:
+def _ingested(spark, d, sent: list[DataFrame], files: int = 16) -> str:
     """Envelopes, each sent twice, through the whole ingest in several micro-batches; the root of the tables."""
     root = scratch_dir(configure(spark), "ingest")
     for _ in range(2):
         for envelopes_ in sent:
             envelopes_.write.mode("append").text(f"{root}/inbox")
-    inbox = spark.readStream.option("maxFilesPerTrigger", 16).text(f"{root}/inbox")
+    inbox = spark.readStream.option("maxFilesPerTrigger", files).text(f"{root}/inbox")
     ingest.start(inbox, f"{root}/bronze", f"{root}/checkpoint", S, every=None).awaitTermination()
     return f"{root}/bronze"
 
@@ -358,7 +358,7 @@ def stream_channel_hops(spark, d):
 
 def stream_ingest(spark, d):
     """Chat and catalog envelopes, each sent twice, through the whole ingest."""
-    root = _ingested(spark, d, [raw.chat_envelopes(_base(spark, d)), raw.emote_envelopes(_part(spark, d))])
+    root = _ingested(spark, d, [raw.chat_envelopes(_base(spark, d)), raw.emote_envelopes(_part(spark, d))], 64)
     chat = ingest.stored(spark, root, "live_chat").select(
         F.lit("live_chat").alias("table"), F.concat_ws("/", "batch_id", "row_number").alias("identity"), "channel"
     )

@@ -166,6 +166,50 @@ def test_emote_tokens(spark):
     assert got == {("twitch", "25"): 2, ("7tv", "own"): 2, ("bttv", "all"): 2}
 
 
+def _catalog(spark, rows):
+    names = ("service", "scope", "channel", "emote_id", "emote_code")
+    return staging.emotes(table(spark, "emote_catalog", [dict(zip(names, r, strict=True)) for r in rows]))
+
+
+def test_emotes_with_several_codes_are_summed(spark):
+    """Repeated catalog rows, two codes of one emote, an emote both global and a channel's, a channel named like the scope."""
+    said = [("a", "x y y"), ("b", "x"), ("__global__", "y"), (None, "x")]
+    sent = messages(spark, [{"channel": c, "message_text": t, "message_sent_at": T0} for c, t in said])
+    catalog = _catalog(spark, [
+        ("7tv", "channel", "a", "twice", "x"), ("7tv", "channel", "a", "twice", "x"), ("7tv", "channel", "a", "codes", "x"),
+        ("7tv", "channel", "a", "codes", "y"), ("ffz", "channel", "a", "both", "y"), ("ffz", "global", "__global__", "both", "x"),
+        ("bttv", "global", "__global__", "all", "y"), ("bttv", "global", "__global__", None, "x"), ("bttv", "channel", "a", "none", None),
+    ])
+    want = sorted([
+        ("a", "7tv", "twice", 2), ("a", "7tv", "codes", 3), ("a", "ffz", "both", 3), ("a", "bttv", "all", 2), ("a", "bttv", "None", 1),
+        ("b", "ffz", "both", 1), ("b", "bttv", "None", 1), ("__global__", "bttv", "all", 2), ("None", "ffz", "both", 1), ("None", "bttv", "None", 1),
+    ])
+    for bucket in ({}, {"bucket": None}):
+        got = chat.emote_usage(sent, catalog, **bucket).collect()
+        assert sorted((str(r["channel"]), r["service"], str(r["emote_id"]), r["usage_count"]) for r in got) == want
+
+
+def test_emote_totals_do_not_grow_with_the_hours(spark):
+    """Days, channels and coverage are counted from the messages: a plan of them never pairs an emote with every hour."""
+    sent = messages(spark, [{"message_text": "x", "message_sent_at": at(3600 * h)} for h in range(24)])
+    rows = [("7tv", "channel", "a", f"e{i}", "x") for i in range(50)]
+    m = Models({"live_chat": sent, "emote_catalog": table(spark, "emote_catalog", [dict(zip(("service", "scope", "channel", "emote_id", "emote_code"), r, strict=True)) for r in rows])})
+    assert m.emote_usage.count() == 24 * 50
+    for name in ("emote_trends", "emote_catalog_coverage", "emote_catalog_utilization"):
+        df = getattr(m, name)
+        assert df.agg({"usage_count" if name == "emote_trends" else "total_usage_count": "sum"}).collect()[0][0] == 24 * 50
+        assert "date_trunc(hour" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matches_of_one_code_are_spread(spark):
+    """The parts of the join are not merged though its inputs are small, and no side of it is broadcast by its file size."""
+    catalog = _catalog(spark, [("7tv", "channel", "a", f"e{i}", f"c{i}") for i in range(200)])
+    sent = messages(spark, [{"message_text": " ".join(f"c{i}" for i in range(200)), "message_sent_at": T0}])
+    used = chat.emote_usage(sent, catalog)
+    used.count()
+    assert used.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).filter(lambda n: n > 0).count() > 2
+
+
 def test_bot_signal_needs_five_gaps(spark):
     rows = [{"chatter_id": who, "message_sent_at": at(10 * i)} for who, n in (("four", 5), ("five", 6)) for i in range(n)]
     m = Models({"live_chat": messages(spark, rows)})

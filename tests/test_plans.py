@@ -74,5 +74,20 @@ def test_laid_out_tables_are_not_shuffled(spark, tmp_path):
     assert chat.where(F.col("event_day") == "2024-01-02").count() == m.stg_chat.where(F.to_date("message_sent_at") == "2024-01-02").count()
 
 
+def test_small_files_of_many_rows_are_not_broadcast(spark, tmp_path):
+    """A file of a few MB holds millions of equal rows; read into the driver's memory they would not fit."""
+    from streamtally.session import configure
+
+    configure(spark).range(2_000_000).selectExpr("id", "'some text' as t").write.parquet(str(tmp_path / "large"))
+    large = spark.read.parquet(str(tmp_path / "large"))
+    assert "BroadcastHashJoin" not in plan(large.join(large.withColumnRenamed("t", "u"), "id"))
+
+
+def test_coverage_repeats_the_channels_not_the_catalog(spark):
+    text = plan(tables.models(spark, SF_DIR).emote_catalog_coverage)
+    repeated = re.findall(r"Generate .*, \[([^\]]*)\], false, \[_salt#", text)
+    assert repeated and not any("emote_id" in columns for columns in repeated)
+
+
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0

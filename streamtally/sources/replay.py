@@ -82,22 +82,21 @@ def read_comments(spark: SparkSession, path: str) -> DataFrame:
     """
     pieces = spark.read.option("lineSep", MARK).option("recursiveFileLookup", "true").text(path)
     cut = pieces.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), "value").mapInArrow(_cut, PIECES)
-    # One row a block, and one a file.
-    in_file = Window.partitionBy("file").orderBy("block")
-    ends = cut.where("place = -1").select(
-        "file", "block", F.coalesce(F.sum("comments").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        F.lag("lead").over(in_file).alias("_left"), F.last("lead").over(in_file.rowsBetween(0, Window.unboundedFollowing)).alias("_trailer"),
-    )
-    heads = cut.where("place = -2").select("file", F.col("rest").alias("_head"))
+    # One row a block, and one a file: the document up to its first comment, ahead of the file's first block.
+    in_file = Window.partitionBy("file").orderBy("block", "place")
+    whole_file = in_file.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Without its comments a document is small; streamer and video may stand before or behind them.
-    about = ends.groupBy("file").agg(F.max("_trailer").alias("_trailer")).join(heads, "file")
-    told = about.select("file", F.from_json(F.concat("_head", "_trailer"), ABOUT).alias("_about"))
+    document = F.concat(F.first("rest", ignorenulls=True).over(whole_file), F.last("lead").over(whole_file))
+    ends = cut.where("place < 0").select(
+        "file", "block", F.col("place").alias("_place"),
+        F.coalesce(F.sum("comments").over(in_file.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.lag("lead").over(in_file).alias("_left"), F.from_json(document, ABOUT).alias("_about"),
+    ).where("_place = -1").drop("_place")
     lead = F.ltrim(F.coalesce("lead", "_left"))
     text = F.concat(F.regexp_replace(lead, r"^,\s*", ""), "rest")
     return (
         cut.where("place >= 0")
-        .join(ends.drop("_trailer"), ["file", "block"])
-        .join(told, "file")
+        .join(ends, ["file", "block"])
         .select("_about.streamer", "_about.video", (F.col("_before") + F.col("place")).cast("int").alias("row_number"), F.from_json(text, f"struct<{COMMENT}>").alias("_c"))
     )
 

@@ -280,3 +280,23 @@ def test_a_broken_replay_is_an_error(spark, tmp_path):
     (tmp_path / "x.json").write_text(json.dumps({"comments": [comment(1)]})[:-60])
     with pytest.raises(PySparkException, match="cannot be read"):
         replay.read_comments(spark, str(tmp_path)).collect()
+
+
+def planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_replay_files_are_cut_twice_and_comments_move_once(spark, tmp_path):
+    """Once for what stands between blocks and once for the comments, which are shuffled for one join."""
+    text = planned(replay.read_comments(spark, str(tmp_path)))
+    assert text.count("MapInArrow") == 2 and text.count("SortMergeJoin") + text.count("HashJoin") == 1
+
+
+def test_rows_are_judged_in_one_pass(spark, tmp_path):
+    path = str(tmp_path / "sent")
+    spark.createDataFrame([("x",)], "value string").write.parquet(path)
+    rows = envelopes.explode_envelope(spark.read.parquet(path))
+    assert planned(envelopes.quarantine(rows)).count("FileScan parquet") == 1
+    # A filter on the parsed text has it as a column, not the parsing again.
+    filters = [line for line in planned(envelopes.typed_rows(rows, "live_chat")).splitlines() if "Filter" in line]
+    assert filters and not any("from_json" in line for line in filters)

@@ -7,8 +7,9 @@ own keys; all rows, in parts with their time span; and the last row of each key
 Rows that come in order need the first table only, so what a micro-batch reads does not grow with the stream. Of a
 key whose rows come late, the stored rows from the day of the earliest late row on are read, and the row before
 that day is found among the last rows of the days. All of them go through `previous_row`, which cuts a hot key's
-rows over many tasks: a late row finds its place, and the rows after it are derived again. A repeated micro-batch
-starts from the tables before it; of a row derived more than once the last result counts.
+rows over many tasks: a late row finds its place, and the row after it is derived again. Of the stored rows only
+those behind a new one are written again, so the results are at most twice the rows, in whatever order these came.
+A repeated micro-batch starts from the tables before it; of a row derived more than once the last result counts.
 """
 
 from __future__ import annotations
@@ -16,18 +17,21 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from streamtally.functions.time import seconds_between
 from streamtally.operators.latest import latest_per_key
-from streamtally.operators.ordered import micros, order_key, previous_row, slice_hot_keys, uncut, whole
+from streamtally.operators.ordered import SLICE, micros, order_key, previous_row, slice_hot_keys, uncut, whole
 from streamtally.schemas import MONEY
 from streamtally.settings import Settings
 from streamtally.sources.table_log import Table, bucket_of
 
+# Up to this many keys with late rows are sent to every task, so that only their stored rows are shuffled.
+BROADCAST_KEYS = 100_000
+
 
 @dataclass(frozen=True)
 class Job:
@@ -63,43 +67,56 @@ class Store:
         """Those of the rows' keys: `state_buckets` numbers at most."""
         return [r[0] for r in rows.select(self.bucket).distinct().collect()]
 
-    def around(self, rows: DataFrame, last: DataFrame, epoch: int) -> tuple[DataFrame, DataFrame]:
-        """Of the keys of `rows`: each one's last stored row before its first new row, and the stored rows after that."""
+    def around(self, rows: DataFrame, met: DataFrame, epoch: int) -> tuple[DataFrame, DataFrame]:
+        """Of the keys of `rows`: each one's last stored row before its first new row, and the stored rows after that.
+        `met` (`meeting`) is persisted."""
         job, clock = self.job, self.job.order[0]
         at = order_key(list(job.order))
-        lowest = rows.groupBy(job.key).agg(F.min(at).alias("_low"))
-        met = last.join(lowest, job.key)
         before = met.where(at < F.col("_low")).select(self.columns)
         late = met.where(at >= F.col("_low")).select(job.key, "_low")
         day = F.date_trunc("day", f"_low.{clock}")
-        first = late.agg(F.min(day).alias("day"), F.unix_micros(F.min(day)).alias("micros")).first()
+        first = late.agg(F.min(day).alias("day"), F.unix_micros(F.min(day)).alias("micros"), F.count(F.lit(1)).alias("keys")).first()
         if first["day"] is None:
             return before, before.limit(0)
+        if first["keys"] <= BROADCAST_KEYS:
+            late = F.broadcast(late)
         near = self.rows.read(epoch, low=first["micros"]).where(F.unix_micros(clock) >= first["micros"]).join(late, job.key)
         far = self.tails.read(epoch, high=first["micros"]).where(F.unix_micros(clock) < first["micros"]).join(late, job.key)
         earlier = near.where(at < F.col("_low")).select(self.columns).unionByName(far.select(self.columns))
         return before.unionByName(self.latest(earlier)), near.where(at > F.col("_low")).select(self.columns)
 
+    def meeting(self, rows: DataFrame, last: DataFrame) -> DataFrame:
+        """The last stored row of each key that has new rows, with the place of the first of these."""
+        lowest = rows.groupBy(self.job.key).agg(F.min(order_key(list(self.job.order))).alias("_low"))
+        return last.join(lowest, self.job.key)
+
     def keep(self, rows: DataFrame, last: DataFrame, epoch: int) -> None:
         self.rows.append(rows, epoch)
-        self.tails.append(self.latest(rows, F.to_date(self.job.order[0])), epoch)
-        self.state.replace(self.latest(last.unionByName(rows)), epoch)
+        tails = self.tails.rows_of(self.tails.append(self.latest(rows, F.to_date(self.job.order[0])), epoch))
+        self.state.replace(self.latest(last.unionByName(tails)), epoch)
+
+
+def combined(rows: DataFrame, before: DataFrame, after: DataFrame) -> DataFrame:
+    """The new rows, marked `_new`, and the stored ones around them."""
+    return rows.withColumn("_new", F.lit(True)).unionByName(before.unionByName(after).withColumn("_new", F.lit(False)))
 
 
-def combined(rows: DataFrame, before: DataFrame, after: DataFrame, job: Job) -> DataFrame:
-    """The new rows, the stored ones that are derived again, and the ones before them, marked `_old`."""
-    fresh = rows.unionByName(after).withColumn("_old", F.lit(False)).unionByName(before.withColumn("_old", F.lit(True)))
-    # A row delivered twice is one row.
-    return fresh.dropDuplicates([job.key, *job.order])
+def is_calm(rows: DataFrame, job: Job, settings: Settings) -> bool:
+    """Whether no key is hot. Only the keys are read."""
+    return rows.groupBy(job.key).count().where(F.col("count") > settings.hot_key_rows).isEmpty()
 
 
-def derive(once: DataFrame, job: Job, settings: Settings) -> DataFrame:
-    """The rows that are not `_old`, with struct `prev`. `once` is persisted, so it is cheap to see first whether any key
-    is hot; only then are sequences cut."""
-    calm = once.groupBy(job.key).count().where(F.col("count") > settings.hot_key_rows).isEmpty()
-    cut = whole(once) if calm else slice_hot_keys(once, [job.key], micros(job.order[0]), settings)
-    ordered = uncut(previous_row(cut, [job.key], list(job.order), list(job.carry)))
-    return ordered.where(~F.col("_old")).drop("_old")
+def derive(found: DataFrame, job: Job, settings: Settings, calm: bool) -> DataFrame:
+    """The new rows and the stored ones behind a new one, with struct `prev`. Only if a key is hot are sequences cut."""
+    cut = found if calm else slice_hot_keys(found, [job.key], micros(job.order[0]), settings)
+    place = F.struct(*job.order)
+    line = Window.partitionBy(job.key, *([] if calm else [SLICE])).orderBy(*[F.col(c).asc_nulls_last() for c in job.order], F.col("_new").desc())
+    # A row delivered twice is one row; the new one counts. Its copies stand side by side, in the order that is needed next.
+    once = cut.withColumn("_copy", F.lag(place).over(line).eqNullSafe(place)).where(~F.col("_copy")).drop("_copy")
+    ordered = uncut(previous_row(whole(once) if calm else once, [job.key], list(job.order), [*job.carry, "_new"]))
+    changed = ordered.where(F.col("_new") | F.coalesce("prev._new", F.lit(False)))
+    prev = F.when(F.col("prev").isNotNull(), F.struct(*[F.col(f"prev.{c}").alias(c) for c in job.carry]))
+    return changed.withColumn("prev", prev).drop("_new")
 
 
 def _results(spark: SparkSession, root: str, schema: StructType) -> Table:
@@ -114,17 +131,22 @@ def start(
     def store(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         rows = batch.where(F.col(job.key).isNotNull() & F.col(job.order[0]).isNotNull()).persist()
+        held = [rows]
         try:
             tables = Store(spark, root, job, rows.schema, settings)
             last = tables.state.read(epoch, buckets=tables.buckets(rows))
-            # Read several times by what follows.
-            once = combined(rows, *tables.around(rows, last, epoch), job).persist()
-            derived = derive(once, job, settings).withColumn("epoch", F.lit(epoch).cast("long"))
+            met = tables.meeting(rows, last).persist()
+            held.append(met)
+            found = combined(rows, *tables.around(rows, met, epoch))
+            calm = is_calm(found, job, settings)
+            if not calm:
+                held.append(found.persist())  # read several times to be cut
+            derived = derive(found, job, settings, calm).withColumn("epoch", F.lit(epoch).cast("long"))
             _results(spark, root, derived.schema).append(derived, epoch)
-            once.unpersist()
             tables.keep(rows, last, epoch)
         finally:
-            rows.unpersist()
+            for table in held:
+                table.unpersist()
 
     writer = job.rows(stream).writeStream.option("checkpointLocation", f"{root}/checkpoint").foreachBatch(store)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
@@ -136,9 +158,10 @@ def read(stream: DataFrame, job: Job, root: str, settings: Settings = Settings()
     fields = {f.name: f for f in schema.fields}
     prev = StructField("prev", StructType([fields[c] for c in job.carry]))
     versions = _results(spark, root, StructType([*schema.fields, prev, StructField("epoch", LongType())])).read()
-    keys = [job.key, *job.order]
-    rest = [c for c in versions.columns if c not in (*keys, "epoch")]
-    return job.result(latest_per_key(versions, keys, ["epoch"], rest), settings)
+    # A row has few versions, so they are ordered, not aggregated: its last one has none behind it.
+    later = F.lead("epoch").over(Window.partitionBy(job.key, *job.order).orderBy("epoch"))
+    newest = versions.withColumn("_later", later).where("_later is null").drop("_later", "epoch")
+    return job.result(newest, settings)
 
 
 def _deltas(rows: DataFrame, settings: Settings) -> DataFrame:

@@ -130,22 +130,21 @@ def edited_fingerprints(df: DataFrame, samples: int = SAMPLES) -> DataFrame:
     versions = rows.select("range", "place", *told, F.inline(F.when(F.col("guest") == 1, F.array(first)).otherwise(F.array(first, second))))
     words = versions.select("range", "place", "version", *told, F.explode(_words(F.col("body"))).alias("word")).where("word is null or word <> ''")
 
-    # A document's own row (its word is null) carries what belongs to the document through both sums.
+    # A document's own row (its word is null) carries what belongs to the document through both sums. A word's draws are
+    # the same in both versions: outside of conditions, they are computed once for both; without a weight there is no sample.
     head = F.col("word").isNull()
-    group = ["range", "place", "version"]
-    counted = words.groupBy(*group, F.when(~head, F.xxhash64("word")).alias("h")).agg(
-        F.count(F.lit(1)).alias("n"), *[F.max(F.when(head, F.col(c))).alias(c) for c in told]
-    )
-    drawn = [F.min(F.when(F.col("h").isNotNull(), sample(F.col("h"), F.log("n"), k))).alias(f"m{k}") for k in range(samples)]
-    signed = counted.groupBy(*group).agg(*drawn, *[F.max(c).alias(c) for c in told])
+    group = ["range", "place"]
+    counts = [F.count(F.when(F.col("version") == v, 1)).alias(f"n{v}") for v in (0, 1)]
+    counted = words.groupBy(*group, F.when(~head, F.xxhash64("word")).alias("h")).agg(*counts, *[F.max(F.when(head, F.col(c))).alias(c) for c in told])
+    weights = [F.when(F.col("h").isNotNull() & (F.col(f"n{v}") > 0), F.log(f"n{v}")).alias(f"w{v}") for v in (0, 1)]
+    weighed = counted.select(*group, "h", *weights, *told)
+    drawn = [F.min(sample(F.col("h"), F.col(f"w{v}"), k)).alias(f"m{v}_{k}") for k in range(samples) for v in (0, 1)]
+    signed = weighed.groupBy(*group).agg(*drawn, *[F.max(c).alias(c) for c in told])
     sha = F.lower(F.concat(*[F.lpad(F.hex(f"s{i}"), 8, "0") for i in range(8)]))
-    signed = signed.select(*group, "guest", "doc_id", "n_chars", sha.alias("sha"), names([F.col(f"m{k}") for k in range(samples)]).alias("print"))
-    # In a range: a document, its edited version, the next document.
-    line = Window.partitionBy("range").orderBy("place", "version")
-    seen = signed.select(
-        "*", F.lead("print", 1).over(line).alias("edited_print"), F.lead("sha", 1).over(line).alias("edited_sha256"),
-        F.lead("print", 2).over(line).alias("next_print"),
-    ).where("version = 0 and guest = 0")
+    prints = [names([F.col(f"m{v}_{k}") for k in range(samples)]).alias(p) for v, p in enumerate(("print", "edited_print"))]
+    signed = signed.select(*group, "guest", "doc_id", "n_chars", sha.alias("edited_sha256"), *prints)
+    line = Window.partitionBy("range").orderBy("place")
+    seen = signed.select("*", F.lead("print").over(line).alias("next_print")).where("guest = 0")
     return seen.select(
         "doc_id", "n_chars", "edited_sha256", text_form(F.col("print")).alias("fingerprint"), text_form(F.col("edited_print")).alias("edited_fingerprint"),
         likeness(F.col("print"), F.col("edited_print")).alias("near_edited"), likeness(F.col("print"), F.col("next_print")).alias("near_next"),

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 from html.entities import html5
@@ -75,6 +76,12 @@ def test_fingerprints_use_no_python(docs):
     assert "Arrow" not in plan and "Python" not in plan
 
 
+def test_words_of_both_versions_are_drawn_once(docs):
+    plan = fingerprints.edited_fingerprints(docs)._jdf.queryExecution().executedPlan().toString()
+    keys = [k for k in re.findall(r"HashAggregate\(keys=\[(.*?)\]", plan) if "place" in k]
+    assert keys and not any("version" in k for k in keys)
+
+
 def test_fingerprints_of_rows_without_ids(nulls, empty):
     assert fingerprints.edited_fingerprints(nulls).count() == 5
     assert fingerprints.edited_fingerprints(empty).count() == 0

@@ -91,3 +91,24 @@ def test_coverage_repeats_the_channels_not_the_catalog(spark):
 
 def test_entry_has_rows(spark):
     assert contract.entry(spark).count() > 0
+
+
+def test_rules_work_through_the_sources_once(spark, tmp_path, monkeypatch):
+    """Only the staging models read the sources; all others read models that were written before them, each once."""
+    from streamtally import Models
+    from streamtally.plans import quality
+
+    read, real = {}, Models.materialize
+
+    def watched(self, names, root, *more):
+        names = list(names)
+        read.update({n: {f.split("/")[-2 if "/models/" in f else -1] for f in getattr(self, n).inputFiles()} for n in names if n not in read})
+        return real(self, names, root, *more)
+
+    monkeypatch.setattr(Models, "materialize", watched)
+    rules = [r for r in quality.RULES if r.model in ("stg_chat", "mode_changes", "donation_rank_hourly", "bot_signal", "chatter_enriched", "chatter_profile")]
+    quality.stage(tables.models(spark, SF_DIR), str(tmp_path / "models"), rules)
+    assert {n for n, files in read.items() if files & {"events.parquet", "part.parquet"}} == set(quality.SHARED[0])
+    assert read["mode_changes"] == read["donation_rank_hourly"] == {"stg_snapshots"} and read["chatter_profile"] == {"chatter_rollup"}
+    assert read["bot_signal"] == read["chatter_enriched"] == {"chatter_rollup", "chatter_regularity"}
+    assert {r.model for r in rules} <= set(read)
